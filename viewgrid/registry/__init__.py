@@ -5,3 +5,5 @@ every registry module, which registers its entries."""
 from viewgrid.registry.base import ORACLES, QUERIES  # noqa: F401
 from viewgrid.registry import models  # noqa: F401,E402
 from viewgrid.registry import ops  # noqa: F401,E402
+from viewgrid.registry import io  # noqa: F401,E402
+from viewgrid.registry import quality  # noqa: F401,E402

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.driver.memory"] = os.environ.get("VIEWGRID_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -74,7 +76,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-directory of the shared folder for one written table."""
-    base = shared_dir(spark)
-    sub = tempfile.mkdtemp(prefix=f"{name}-", dir=base) if os.path.isdir(base) else f"{base}/{name}-{os.getpid()}-{id(name)}"
-    return sub
+    """A fresh, never-reused location under the shared folder for one table."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
