@@ -23,6 +23,18 @@ from pyspark.sql import functions as F
 UNBOUNDED = Window.unboundedPreceding
 
 
+def _join_back(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """rows INNER JOIN summary on ``keys`` with NULL-safe equality (a NULL
+    network or title is a group of its own, as in PARTITION BY)."""
+    r = summary.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                       *[c for c in summary.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = rows[k].eqNullSafe(r[f"__r_{k}"])
+        cond = e if cond is None else cond & e
+    return rows.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
+
+
 def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int,
             bucket: str = "hour") -> DataFrame:
     """Add ``island_no`` (1, 2, ... per key in time order) to every row.
@@ -40,7 +52,7 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: i
     per_bucket = d.groupBy(*kb).agg(F.max(end).alias("__bmax"))
     wk = Window.partitionBy(*keys).orderBy(b)
     carry = per_bucket.withColumn("__carry_max", F.max("__bmax").over(wk.rowsBetween(UNBOUNDED, -1)))
-    d = d.join(carry.drop("__bmax"), kb, "inner")
+    d = _join_back(d, carry.drop("__bmax"), kb)
 
     # level 1: inside the bucket
     wb = Window.partitionBy(*kb).orderBy(start, end)
@@ -53,7 +65,7 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: i
     opened = d.groupBy(*kb).agg(F.sum("__new").alias("__bnew"))
     carry_n = opened.withColumn(
         "__carry_n", F.coalesce(F.sum("__bnew").over(wk.rowsBetween(UNBOUNDED, -1)), F.lit(0)))
-    d = d.join(carry_n.drop("__bnew"), kb, "inner")
+    d = _join_back(d, carry_n.drop("__bnew"), kb)
     return d.withColumn("island_no", F.col("__carry_n") + F.col("__local_no")).drop(
         b, "__carry_max", "__new", "__local_no", "__carry_n")
 
@@ -84,7 +96,7 @@ def with_next(df: DataFrame, keys: list[str], start: str, order: list[str], valu
     firsts = d.groupBy(*kb).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("__first"))
     wk = Window.partitionBy(*keys).orderBy(b)
     nxt = firsts.select(*kb, F.lead("__first").over(wk).alias("__next_bucket_first"))
-    d = d.join(nxt, kb, "inner")
+    d = _join_back(d, nxt, kb)
     wb = Window.partitionBy(*kb).orderBy(*order)
     for v in values:
         d = d.withColumn(prefix + v, F.coalesce(

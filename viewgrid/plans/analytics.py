@@ -51,8 +51,9 @@ def campaign_coviewing(campaign: DataFrame, commercial_summary: DataFrame) -> Da
 def sports_high_value(attributes: DataFrame, content_summary: DataFrame, min_income_k: int = 100,
                       genre: str = "sports") -> DataFrame:
     cs = content_summary.filter(text.csv_contains("GENRE_STR_LIST", genre))
-    a = attributes.filter(F.col("HOUSEHOLD_INCOME_K") >= min_income_k)
-    j = a.join(cs, "AKKIO_ID", "inner")
+    a = attributes.filter(F.col("HOUSEHOLD_INCOME_K") >= min_income_k).select(
+        "AKKIO_ID", "AGE", "GENDER", "HOUSEHOLD_INCOME_K", "EDUCATION_LEVEL")
+    j = a.join(cs.select("AKKIO_ID", "PARTITION_DATE", "TOTAL_VIEWING_SECONDS"), "AKKIO_ID", "inner")
     return j.select("AKKIO_ID", "PARTITION_DATE", "AGE", "GENDER", "HOUSEHOLD_INCOME_K", "EDUCATION_LEVEL",
                     (F.col("TOTAL_VIEWING_SECONDS") / 3600).alias("total_hours"))
 
@@ -226,8 +227,9 @@ def creative_totals(ads: DataFrame, spend: DataFrame) -> DataFrame:
     imp = ads.groupBy("CREATIVE_ID").agg(F.count(F.lit(1)).alias("impressions"),
                                           F.countDistinct("AKKIO_ID").alias("reach"))
     sp = spend.groupBy(F.col("value").alias("CREATIVE_ID")).agg(
-        F.sum("cost").alias("cost"), F.sum("clicks").alias("clicks"), F.sum("conversions").alias("conversions"),
-        F.sum("revenue").alias("revenue"), F.sum("video_views").alias("video_views"),
+        F.round(F.sum("cost"), 4).alias("cost"), F.sum("clicks").alias("clicks"),
+        F.sum("conversions").alias("conversions"),
+        F.round(F.sum("revenue"), 4).alias("revenue"), F.sum("video_views").alias("video_views"),
         F.sum("video_completions").alias("video_completions"))
     return imp.join(sp, "CREATIVE_ID", "full")
 
@@ -256,7 +258,8 @@ def ad_cost_metrics(ads: DataFrame, spend: DataFrame) -> DataFrame:
 
 def ad_cost_totals(ads: DataFrame, spend: DataFrame) -> DataFrame:
     """Averages as ratios of totals (one row)."""
-    t = creative_totals(ads, spend).agg(*[F.sum(x).alias(x) for x in (
+    money = ("cost", "revenue")
+    t = creative_totals(ads, spend).agg(*[(F.round(F.sum(x), 4) if x in money else F.sum(x)).alias(x) for x in (
         "impressions", "cost", "clicks", "conversions", "revenue", "video_views", "video_completions")])
     return cost_metrics(t)
 
@@ -270,7 +273,7 @@ def segment_efficiency(ads: DataFrame, ind: DataFrame, spend: DataFrame, segment
     """Creative cost / devices of a segment the creative reached."""
     seg_reach = ads.select("CREATIVE_ID", "AKKIO_ID").join(ind.select("AKKIO_ID", segment), "AKKIO_ID", "inner") \
         .groupBy("CREATIVE_ID", segment).agg(F.countDistinct("AKKIO_ID").alias("segment_reach"))
-    cost = spend.groupBy(F.col("value").alias("CREATIVE_ID")).agg(F.sum("cost").alias("cost"))
+    cost = spend.groupBy(F.col("value").alias("CREATIVE_ID")).agg(F.round(F.sum("cost"), 4).alias("cost"))
     j = seg_reach.join(cost, "CREATIVE_ID", "left")
     return j.withColumn("cost_per_reached", safe_metric(F.col("cost"), F.col("segment_reach")))
 

@@ -47,7 +47,10 @@ def oracle(select: str, *deps: str) -> str:
     if not order:
         return select.strip()
     withs = ",\n".join(f"{n} AS ({ORACLE_CTES[n][0].strip()})" for n in order)
-    return f"WITH {withs}\n{select.strip()}"
+    body = select.strip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {withs},\n{body[5:]}"
+    return f"WITH {withs}\n{body}"
 
 
 def register(name: str, sql: str | None = None, deps: tuple[str, ...] = ()):

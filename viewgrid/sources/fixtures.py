@@ -170,11 +170,13 @@ GROUP BY user_id"""
 
 _FIRST_PARTY = f"""
 SELECT CAST(c_custkey AS STRING) AS client_record_id,
-  concat(CASE WHEN c_custkey % 5 = 0 THEN ' ' ELSE '' END,
+  CASE WHEN c_custkey % 11 = 0 THEN concat(c_name, ' at example.com')
+       ELSE concat(CASE WHEN c_custkey % 5 = 0 THEN ' ' ELSE '' END,
          CASE WHEN c_custkey % 2 = 0 THEN upper(replace(c_name, '#', '.')) ELSE lower(replace(c_name, '#', '.')) END,
-         '@example.com') AS email,
+         '@example.com') END AS email,
   CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE concat('+1-555-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) END AS phone,
-  lpad(CAST(c_custkey * 37 % 100000 AS STRING), 5, '0') AS zip,
+  CASE WHEN c_custkey % 13 = 0 THEN CAST(c_custkey % 10000 AS STRING)
+       ELSE lpad(CAST(c_custkey * 37 % 100000 AS STRING), 5, '0') END AS zip,
   concat('10.0.', CAST(c_custkey % 200 AS STRING), '.', CAST(c_custkey % 3 AS STRING)) AS ip,
   c_mktsegment AS segment_hint,
   c_acctbal AS lifetime_value,
