@@ -7,31 +7,47 @@ Every rule is "first match wins" over columns tested with
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _present(col: str) -> str:
+    return f"coalesce({col}, 0) >= 1"
+
+
 def present(col: str) -> Column:
-    return F.coalesce(F.col(col), F.lit(0)) >= 1
+    return F.expr(_present(col))
+
+
+def _any_present(cols) -> str:
+    return "(" + " OR ".join(_present(c) for c in cols) + ")"
 
 
 def any_present(cols) -> Column:
-    return reduce(lambda a, b: a | b, [present(c) for c in cols])
+    return F.expr(_any_present(cols))
+
+
+def _row_total(cols) -> str:
+    return "(" + " + ".join(f"coalesce({c}, 0)" for c in cols) + ")"
 
 
 def row_total(cols) -> Column:
     """Horizontal sum with NULL as 0."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in cols])
+    return F.expr(_row_total(cols))
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
 
 
 def first_match(rules, otherwise=None) -> Column:
-    """rules: [(condition Column, value)]; first true condition wins."""
-    expr = None
-    for cond, value in rules:
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    return expr.otherwise(F.lit(otherwise)) if otherwise is not None else expr
+    """rules: [(condition SQL text, value)]; first true condition wins.
+
+    Built as one CASE expression (one JVM call per output column).
+    """
+    whens = " ".join(f"WHEN {cond} THEN {_lit(v)}" for cond, v in rules)
+    tail = f" ELSE {_lit(otherwise)}" if otherwise is not None else ""
+    return F.expr(f"CASE {whens}{tail} END")
 
 
 # Age bands (column suffix, lower bound, bucket code).
@@ -69,11 +85,11 @@ FEMALE = [f"demo_female_{b}" for b, _, _ in AGE_BANDS]
 
 
 def gender() -> Column:
-    return first_match([(row_total(MALE) > 0, "M"), (row_total(FEMALE) > 0, "F")])
+    return first_match([(f"{_row_total(MALE)} > 0", "M"), (f"{_row_total(FEMALE)} > 0", "F")])
 
 
-def _age_present(band: str) -> Column:
-    return any_present([f"demo_male_{band}", f"demo_female_{band}"])
+def _age_present(band: str) -> str:
+    return _any_present([f"demo_male_{band}", f"demo_female_{band}"])
 
 
 def age() -> Column:
@@ -85,31 +101,31 @@ def age_bucket() -> Column:
 
 
 def education() -> Column:
-    return first_match([(present(c), v) for c, v in EDUCATION])
+    return first_match([(_present(c), v) for c, v in EDUCATION])
 
 
 def ethnicity() -> Column:
-    return first_match([(present(c), v) for c, v in ETHNICITY])
+    return first_match([(_present(c), v) for c, v in ETHNICITY])
 
 
 def marital_status() -> Column:
-    return first_match([(present(c), v) for c, v in MARITAL])
+    return first_match([(_present(c), v) for c, v in MARITAL])
 
 
 def home_ownership() -> Column:
-    return first_match([(present("home_owner_hh"), 1), (present("home_renter_hh"), 0)])
+    return first_match([(_present("home_owner_hh"), 1), (_present("home_renter_hh"), 0)])
 
 
 def income_k() -> Column:
-    return first_match([(present(c), lo) for c, lo, _ in INCOME_BRACKETS])
+    return first_match([(_present(c), lo) for c, lo, _ in INCOME_BRACKETS])
 
 
 def income_bucket() -> Column:
-    return first_match([(present(c), code) for c, _, code in INCOME_BRACKETS], INCOME_BUCKET_UNKNOWN)
+    return first_match([(_present(c), code) for c, _, code in INCOME_BRACKETS], INCOME_BUCKET_UNKNOWN)
 
 
 def yn(col: str) -> Column:
-    return F.when(present(col), F.lit("Y")).otherwise(F.lit("N"))
+    return first_match([(_present(col), "Y")], "N")
 
 
 def hh_size() -> Column:

@@ -8,3 +8,4 @@ from viewgrid.registry import ops  # noqa: F401,E402
 from viewgrid.registry import io  # noqa: F401,E402
 from viewgrid.registry import quality  # noqa: F401,E402
 from viewgrid.registry import analytics  # noqa: F401,E402
+from viewgrid.registry import audience  # noqa: F401,E402
