@@ -35,51 +35,75 @@ def _join_back(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFram
     return rows.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
-def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int,
-            bucket: str = "hour") -> DataFrame:
-    """Add ``island_no`` (1, 2, ... per key in time order) to every row.
-
-    A row opens a new island when no earlier row of its key exists or its
-    start is more than ``gap_seconds`` after the running maximum end of all
-    earlier rows (a gap of exactly ``gap_seconds`` stays connected).
-    """
+def _local_pass(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int, bucket: str):
+    """Rows with ``__bucket``, ``__local_no`` (islands opened so far inside
+    the bucket, 0 = continues an island from an earlier bucket) and
+    ``__new`` (row opens an island).  Row data is read twice: once for the
+    per-bucket max end (partially aggregated map-side), once for the window
+    pass partitioned by (key, bucket)."""
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
     b = "__bucket"
     d = df.withColumn(b, F.date_trunc(bucket, F.col(start)))
     kb = keys + [b]
-
-    # level 2a: max end of all earlier buckets of the key
     per_bucket = d.groupBy(*kb).agg(F.max(end).alias("__bmax"))
     wk = Window.partitionBy(*keys).orderBy(b)
     carry = per_bucket.withColumn("__carry_max", F.max("__bmax").over(wk.rowsBetween(UNBOUNDED, -1)))
     d = _join_back(d, carry.drop("__bmax"), kb)
-
-    # level 1: inside the bucket
     wb = Window.partitionBy(*kb).orderBy(start, end)
-    prev_local = F.max(end).over(wb.rowsBetween(UNBOUNDED, -1))
-    prev_end = F.greatest(prev_local, F.col("__carry_max"))
+    prev_end = F.greatest(F.max(end).over(wb.rowsBetween(UNBOUNDED, -1)), F.col("__carry_max"))
     d = d.withColumn("__new", F.when(prev_end.isNull() | (F.col(start) > prev_end + gap), 1).otherwise(0))
-    d = d.withColumn("__local_no", F.sum("__new").over(wb.rowsBetween(UNBOUNDED, 0)))
+    return d.withColumn("__local_no", F.sum("__new").over(wb.rowsBetween(UNBOUNDED, 0))), kb, wk
+
 
-    # level 2b: islands opened in earlier buckets
-    opened = d.groupBy(*kb).agg(F.sum("__new").alias("__bnew"))
+def _island_numbers(pieces: DataFrame, keys: list[str], kb: list[str], wk) -> DataFrame:
+    """Add ``island_no`` to per-(key, bucket, local_no) pieces: islands opened
+    in earlier buckets (a window over one row per bucket) + local number."""
+    opened = pieces.groupBy(*kb).agg(F.max("__local_no").alias("__bnew"))
     carry_n = opened.withColumn(
         "__carry_n", F.coalesce(F.sum("__bnew").over(wk.rowsBetween(UNBOUNDED, -1)), F.lit(0)))
-    d = _join_back(d, carry_n.drop("__bnew"), kb)
-    return d.withColumn("island_no", F.col("__carry_n") + F.col("__local_no")).drop(
-        b, "__carry_max", "__new", "__local_no", "__carry_n")
+    out = _join_back(pieces, carry_n.drop("__bnew"), kb)
+    return out.withColumn("island_no", F.col("__carry_n") + F.col("__local_no")).drop("__carry_n")
+
+
+def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int,
+            bucket: str = "hour") -> DataFrame:
+    """Add ``island_no`` (1, 2, ... per key in time order) to every row.
+
+    A row opens a new island when no earlier row of its key exists or its
+    start is more than ``gap_seconds`` after the running maximum end of all
+    earlier rows (a gap of exactly ``gap_seconds`` stays connected).
+    """
+    d, kb, wk = _local_pass(df, keys, start, end, gap_seconds, bucket)
+    counts = d.groupBy(*kb, "__local_no").agg(F.count(F.lit(1)).alias("__n"))
+    nums = _island_numbers(counts, keys, kb, wk).drop("__n")
+    out = _join_back(d, nums, kb + ["__local_no"])
+    return out.drop("__bucket", "__carry_max", "__new", "__local_no")
 
 
 def island_summary(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int,
                    seconds: Column | None = None, bucket: str = "hour",
                    extra_aggs: list[Column] | None = None) -> DataFrame:
-    """One row per island: start, end, row count, summed seconds."""
-    tagged = islands(df, keys, start, end, gap_seconds, bucket)
+    """One row per island: start, end, row count, summed seconds.
+
+    Rows are first folded into pieces -- one per (key, bucket, local island)
+    -- in the same partitioning as the window pass (no extra shuffle of row
+    data); pieces are numbered and merged per island.  ``extra_aggs`` must be
+    mergeable from pieces, so they are computed on the numbered rows instead.
+    """
     secs = seconds if seconds is not None else F.timestamp_diff("SECOND", F.col(start), F.col(end))
-    return tagged.groupBy(*keys, "island_no").agg(
-        F.min(start).alias("island_start"), F.max(end).alias("island_end"),
-        F.count(F.lit(1)).alias("sessions"), F.sum(secs).alias("total_seconds"),
-        *(extra_aggs or []))
+    if extra_aggs:
+        tagged = islands(df, keys, start, end, gap_seconds, bucket)
+        return tagged.groupBy(*keys, "island_no").agg(
+            F.min(start).alias("island_start"), F.max(end).alias("island_end"),
+            F.count(F.lit(1)).alias("sessions"), F.sum(secs).alias("total_seconds"), *extra_aggs)
+    d, kb, wk = _local_pass(df, keys, start, end, gap_seconds, bucket)
+    pieces = d.withColumn("__secs", secs).groupBy(*kb, "__local_no").agg(
+        F.min(start).alias("__s"), F.max(end).alias("__e"), F.count(F.lit(1)).alias("__n"),
+        F.sum("__secs").alias("__sum"))
+    nums = _island_numbers(pieces, keys, kb, wk)
+    return nums.groupBy(*keys, "island_no").agg(
+        F.min("__s").alias("island_start"), F.max("__e").alias("island_end"),
+        F.sum("__n").alias("sessions"), F.sum("__sum").alias("total_seconds"))
 
 
 def with_next(df: DataFrame, keys: list[str], start: str, order: list[str], values: list[str],

@@ -85,6 +85,39 @@ class Project:
                                    self.ref("attributes_latest"), with_ue=True, window=w)
         raise KeyError(f"unknown model {name!r}")
 
+    def materialize(self, names, root: str, clustered: bool = False) -> dict[str, str]:
+        """Write ``names`` and their upstream models under ``root`` (in
+        dependency order) and switch ``ref`` to the written tables.
+
+        This is what a build does before its tests run: every model is
+        computed once, and checks read small, flat plans over files.
+        """
+        from viewgrid.sinks.writers import write_model, write_table
+
+        need: set[str] = set()
+
+        def add(n):
+            if n not in need:
+                need.add(n)
+                for d in MODEL_DEPS[n]:
+                    add(d)
+
+        for n in names:
+            add(n)
+        paths = {}
+        for name in MODEL_DEPS:
+            if name not in need:
+                continue
+            df = self.ref(name)
+            path = f"{root.rstrip('/')}/{name}"
+            if clustered:
+                write_model(df, path, name)
+            else:
+                write_table(df, path)
+            paths[name] = path
+            self._models[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        return paths
+
     def build_all(self, root: str, mode: str = "overwrite") -> dict[str, str]:
         """Write every model under ``root`` in dependency order; return paths.
 

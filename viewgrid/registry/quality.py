@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from viewgrid.operators import quality
 from viewgrid.operators.quality import DECLARED_CHECKS, Check
 from viewgrid.registry.base import project, register
+from viewgrid.session import scratch_path
 
 MODEL_TABLES = sorted({c.table for c in DECLARED_CHECKS})
 
@@ -48,6 +49,7 @@ def _register_dq(name: str, pred):
     @register(name, _sql_report(checks), tuple(tables))
     def q(spark, sf):
         p = project(spark, sf)
+        p.materialize(tables, scratch_path(spark, "dq_build"))
         return quality.report({t: p.ref(t) for t in tables}, checks)
     return q
 

@@ -238,10 +238,12 @@ class Sources:
     once (Spark still re-reads parquet per action unless a caller persists).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, min_partitions: int | None = -1):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.tables = Tables(spark, sf_dir)
+        if min_partitions == -1:  # default: one split per core at least
+            min_partitions = spark.sparkContext.defaultParallelism
+        self.tables = Tables(spark, sf_dir, min_partitions)
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
