@@ -7,7 +7,7 @@ unique_combination) are one partial+final hash aggregate per distinct key set.
 The report has one row per check:
 (table_name, column_name, check_name, severity, failing_rows, status).
 
-Semantics follow the public dbt / dbt_utils tests: a row fails an expression
+Semantics follow the usual declarative test rules: a row fails an expression
 or range test only when the predicate is false (NULL passes); ``unique``
 ignores NULL values; the failure count of a key test is the number of key
 values that occur more than once.
