@@ -19,21 +19,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A mapping table with at most this many rows is broadcast.  At ~100 bytes a
-# row this keeps the broadcast relation under ~200 MB per executor.
+# A mapping table is broadcast only when it provably has at most this many
+# rows AND this many bytes of payload (measured, not estimated).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
+_FIXED_WIDTH = {"ByteType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4, "FloatType": 4,
+                "BooleanType": 1}
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows.
 
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is exceeded, so it costs at most one bounded scan of the small
-    side.  Otherwise ``df`` is returned unchanged and the join is planned by
-    size statistics / AQE.
+def _row_bytes(df: DataFrame):
+    """Column expression: payload bytes of one row (strings/binary by their
+    actual length, fixed-width types by their width, others 8 bytes)."""
+    parts = []
+    for f in df.schema.fields:
+        t = type(f.dataType).__name__
+        if t in ("StringType", "BinaryType", "VarcharType", "CharType"):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(t, 8)))
+    expr = parts[0]
+    for p in parts[1:]:
+        expr = expr + p
+    return expr.cast("long")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows and
+    ``max_bytes`` payload bytes; otherwise ``df`` unchanged.
+
+    One bounded job: ``limit(max_rows + 1)`` then count and summed row bytes,
+    so it stops reading once the row bound is exceeded.  Beyond the bound
+    the join is planned from size statistics / AQE (sort-merge, with skew
+    splitting).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    n, b = r["n"], r["b"] or 0
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 
 def left_enrich(fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str,

@@ -82,28 +82,24 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: i
 
 def island_summary(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: int,
                    seconds: Column | None = None, bucket: str = "hour",
-                   extra_aggs: list[Column] | None = None) -> DataFrame:
+                   piece_aggs: list[Column] | None = None, merge_aggs: list[Column] | None = None) -> DataFrame:
     """One row per island: start, end, row count, summed seconds.
 
-    Rows are first folded into pieces -- one per (key, bucket, local island)
-    -- in the same partitioning as the window pass (no extra shuffle of row
-    data); pieces are numbered and merged per island.  ``extra_aggs`` must be
-    mergeable from pieces, so they are computed on the numbered rows instead.
+    Rows are folded into pieces -- one per (key, bucket, local island) -- in
+    the same partitioning as the window pass (no extra shuffle of row data);
+    pieces are numbered and merged per island.  Extra measures are given as
+    a piece-level aggregate plus the aggregate that merges pieces (e.g. a
+    per-piece ``collect_set`` merged by union and ``size``).
     """
     secs = seconds if seconds is not None else F.timestamp_diff("SECOND", F.col(start), F.col(end))
-    if extra_aggs:
-        tagged = islands(df, keys, start, end, gap_seconds, bucket)
-        return tagged.groupBy(*keys, "island_no").agg(
-            F.min(start).alias("island_start"), F.max(end).alias("island_end"),
-            F.count(F.lit(1)).alias("sessions"), F.sum(secs).alias("total_seconds"), *extra_aggs)
     d, kb, wk = _local_pass(df, keys, start, end, gap_seconds, bucket)
     pieces = d.withColumn("__secs", secs).groupBy(*kb, "__local_no").agg(
         F.min(start).alias("__s"), F.max(end).alias("__e"), F.count(F.lit(1)).alias("__n"),
-        F.sum("__secs").alias("__sum"))
+        F.sum("__secs").alias("__sum"), *(piece_aggs or []))
     nums = _island_numbers(pieces, keys, kb, wk)
     return nums.groupBy(*keys, "island_no").agg(
         F.min("__s").alias("island_start"), F.max("__e").alias("island_end"),
-        F.sum("__n").alias("sessions"), F.sum("__sum").alias("total_seconds"))
+        F.sum("__n").alias("sessions"), F.sum("__sum").alias("total_seconds"), *(merge_aggs or []))
 
 
 def with_next(df: DataFrame, keys: list[str], start: str, order: list[str], values: list[str],

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from viewgrid.plans import models
 
 
-def land(feed: DataFrame, path: str, files_per_day: int = 1) -> None:
-    """Write a feed as day-clustered parquet files (the landing zone)."""
-    feed.repartition(files_per_day * 1, "date_partition").write.mode("append").parquet(path)
+def land(feed: DataFrame, path: str) -> None:
+    """Append a feed's rows as parquet files to the landing zone (one file
+    per input partition; no funnelling through a single task)."""
+    feed.write.mode("append").parquet(path)
 
 
 def run(spark: SparkSession, landing: str, target: str, checkpoint: str, schema,
