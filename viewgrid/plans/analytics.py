@@ -344,7 +344,7 @@ def ad_breaks(ads: DataFrame, gap_seconds: int = AD_BREAK_GAP_SECONDS) -> DataFr
         ads, ["AKKIO_ID", "PARTITION_DATE"], "AD_MATCH_START_TIME_UTC", "AD_MATCH_END_TIME_UTC", gap_seconds,
         seconds=F.col("AD_LENGTH"),
         piece_aggs=[F.collect_set("BRAND_NAME").alias("__brands")],
-        merge_aggs=[F.size(F.array_distinct(F.flatten(F.collect_list("__brands")))).alias("brands")])
+        merge_aggs=[F.size(F.array_distinct(F.flatten(F.collect_list("__brands")))).cast("long").alias("brands")])
 
 
 def ad_context(ads: DataFrame) -> DataFrame:

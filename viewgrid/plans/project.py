@@ -85,15 +85,8 @@ class Project:
                                    self.ref("attributes_latest"), with_ue=True, window=w)
         raise KeyError(f"unknown model {name!r}")
 
-    def materialize(self, names, root: str, clustered: bool = False) -> dict[str, str]:
-        """Write ``names`` and their upstream models under ``root`` (in
-        dependency order) and switch ``ref`` to the written tables.
-
-        This is what a build does before its tests run: every model is
-        computed once, and checks read small, flat plans over files.
-        """
-        from viewgrid.sinks.writers import write_model, write_table
-
+    def _levels(self, names) -> list[list[str]]:
+        """``names`` plus their upstream models, grouped into dependency levels."""
         need: set[str] = set()
 
         def add(n):
@@ -104,18 +97,47 @@ class Project:
 
         for n in names:
             add(n)
-        paths = {}
-        for name in MODEL_DEPS:
-            if name not in need:
-                continue
+        levels: list[list[str]] = []
+        done: set[str] = set()
+        while len(done) < len(need):
+            level = [n for n in MODEL_DEPS if n in need and n not in done and set(MODEL_DEPS[n]) <= done]
+            levels.append(level)
+            done |= set(level)
+        return levels
+
+    def materialize(self, names, root: str, clustered: bool = False, threads: int = 4) -> dict[str, str]:
+        """Write ``names`` and their upstream models under ``root`` and switch
+        ``ref`` to the written tables.
+
+        Models of one dependency level are independent and are written by
+        ``threads`` concurrent Spark jobs (a build's model concurrency); the
+        next level starts from the files just written.  This is what a build
+        does before its tests run: every model is computed once, and checks
+        read short plans over files.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        from viewgrid.sinks.writers import write_model, write_table
+
+        paths: dict[str, str] = {}
+
+        def one(name: str):
             df = self.ref(name)
             path = f"{root.rstrip('/')}/{name}"
             if clustered:
                 write_model(df, path, name)
             else:
                 write_table(df, path)
-            paths[name] = path
-            self._models[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+            return name, path, df
+
+        for level in self._levels(names):
+            for n in level:          # build plans on this thread (py4j-safe), run jobs concurrently
+                self.ref(n)
+            with ThreadPoolExecutor(max_workers=max(1, min(threads, len(level)))) as pool:
+                results = list(pool.map(one, level))
+            for name, path, df in results:
+                paths[name] = path
+                self._models[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return paths
 
     def build_all(self, root: str, mode: str = "overwrite") -> dict[str, str]:

@@ -324,7 +324,7 @@ _LOCAL = "CAST((SESSION_START_TIME_UTC AT TIME ZONE 'UTC') AT TIME ZONE TIMEZONE
 @register("m_daypart", f"""
 SELECT CASE WHEN hour({_LOCAL}) BETWEEN 20 AND 22 THEN 'prime' WHEN hour({_LOCAL}) BETWEEN 9 AND 16 THEN 'daytime'
             WHEN hour({_LOCAL}) IS NOT NULL THEN 'other' END AS daypart,
-  hour({_LOCAL}) AS local_hour, count(*) AS sessions, CAST(sum(TOTAL_SECONDS) AS BIGINT) AS seconds,
+  CAST(hour({_LOCAL}) AS INTEGER) AS local_hour, count(*) AS sessions, CAST(sum(TOTAL_SECONDS) AS BIGINT) AS seconds,
   count(DISTINCT AKKIO_ID) AS viewers
 FROM content_detail GROUP BY ALL""", ("content_detail",))
 def m_daypart(spark, sf):

@@ -57,13 +57,18 @@ def shared_dir(spark: SparkSession) -> str:
     directory).  Only when neither is set -- local tests -- a fresh directory
     is created and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        d = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - conf key absent
+        d = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the conf is visible
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+        return d.rstrip("/")
     if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - conf key absent
-            d = None
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:

@@ -242,7 +242,10 @@ class Sources:
         self.spark = spark
         self.sf_dir = sf_dir
         if min_partitions == -1:  # default: one split per core at least
-            min_partitions = spark.sparkContext.defaultParallelism
+            try:
+                min_partitions = spark.sparkContext.defaultParallelism
+            except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave scans as they are
+                min_partitions = None
         self.tables = Tables(spark, sf_dir, min_partitions)
         self._cache: dict[str, DataFrame] = {}
 
