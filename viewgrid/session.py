@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir", None)
+    if d and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)  # configured folder, so DataFrame.checkpoint() can use it
     if not d:
         d = sc.getCheckpointDir()
     if not d:
