@@ -55,6 +55,20 @@ def _local_pass(df: DataFrame, keys: list[str], start: str, end: str, gap_second
     return d.withColumn("__local_no", F.sum("__new").over(wb.rowsBetween(UNBOUNDED, 0))), kb, wk
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder.
+
+    Used where one windowed result feeds two consumers (a per-bucket count
+    and the join back): without the cut, the sort + window would run once per
+    consumer.  The checkpoint also ends the lineage, so a lost executor does
+    not recompute the upstream ordered pass.
+    """
+    from viewgrid.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _island_numbers(pieces: DataFrame, keys: list[str], kb: list[str], wk) -> DataFrame:
     """Add ``island_no`` to per-(key, bucket, local_no) pieces: islands opened
     in earlier buckets (a window over one row per bucket) + local number."""
@@ -74,6 +88,7 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: i
     earlier rows (a gap of exactly ``gap_seconds`` stays connected).
     """
     d, kb, wk = _local_pass(df, keys, start, end, gap_seconds, bucket)
+    d = _cut(d)
     counts = d.groupBy(*kb, "__local_no").agg(F.count(F.lit(1)).alias("__n"))
     nums = _island_numbers(counts, keys, kb, wk).drop("__n")
     out = _join_back(d, nums, kb + ["__local_no"])
@@ -96,7 +111,7 @@ def island_summary(df: DataFrame, keys: list[str], start: str, end: str, gap_sec
     pieces = d.withColumn("__secs", secs).groupBy(*kb, "__local_no").agg(
         F.min(start).alias("__s"), F.max(end).alias("__e"), F.count(F.lit(1)).alias("__n"),
         F.sum("__secs").alias("__sum"), *(piece_aggs or []))
-    nums = _island_numbers(pieces, keys, kb, wk)
+    nums = _island_numbers(_cut(pieces), keys, kb, wk)
     return nums.groupBy(*keys, "island_no").agg(
         F.min("__s").alias("island_start"), F.max("__e").alias("island_end"),
         F.sum("__n").alias("sessions"), F.sum("__sum").alias("total_seconds"), *(merge_aggs or []))
