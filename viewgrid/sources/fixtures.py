@@ -230,6 +230,14 @@ ORACLE_FX["fx_dense"] = _duck(
 FX_DEPS = {name: deps for name, (_, deps) in FX_SPARK.items()}
 
 
+# Projections with real per-row work (string building, generators, joins)
+# whose fact input may be spread over the cores when it arrives as a single
+# split.  Aggregating projections (time-zone map, opt-out list) are not: their
+# partial aggregation already shrinks the data, so a spread would only add a
+# shuffle.
+ROW_HEAVY = {"fx_content", "fx_commercial", "fx_ipage", "fx_attr", "fx_first_party", "fx_ad_spend"}
+
+
 class Sources:
     """Raw feeds for one scale-factor directory, built lazily and memoised.
 
@@ -253,7 +261,8 @@ class Sources:
         if name not in self._cache:
             if name in FX_SPARK:
                 tpl, deps = FX_SPARK[name]
-                args = {d: self[d] for d in deps}
+                spread = name in ROW_HEAVY
+                args = {d: (self.tables.spread(d) if spread and d in self.tables.FACT else self[d]) for d in deps}
                 self._cache[name] = self.spark.sql(tpl, **args)
             else:
                 self._cache[name] = self.tables[name]

@@ -27,27 +27,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Read one table.
-
-    ``min_partitions``: when the scan yields fewer input splits than this (a
-    small table stored as one unsplittable row group), spread it round-robin
-    so the per-row work after the scan runs on all cores.  Large inputs
-    already have many splits and are returned untouched -- no extra shuffle
-    at scale.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DRIVER_TABLES:
         raise KeyError(f"unknown driver table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if min_partitions and name in FACT_TABLES:
-        target = min(min_partitions, MAX_SPREAD)
-        try:
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - RDD API unavailable (Spark Connect)
-            splits = target
-        if splits < target:
-            df = df.repartition(target)
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Spread a scan with fewer input splits than ``min_partitions`` (capped
+    at MAX_SPREAD) round-robin, so per-row work after it uses all cores.
+
+    Only for single-split inputs such as a small table stored as one row
+    group; an input that already has that many splits -- any large table --
+    is returned untouched, so there is no extra shuffle at scale.  Column
+    pruning and filters still reach the scan below the exchange.
+    """
+    if not min_partitions:
+        return df
+    target = min(min_partitions, MAX_SPREAD)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - RDD API unavailable (Spark Connect)
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 class Tables:
@@ -58,6 +60,13 @@ class Tables:
         self.sf_dir = sf_dir
         self.min_partitions = min_partitions
 
+    FACT = FACT_TABLES
+
     @lru_cache(maxsize=None)  # noqa: B019 - one Tables per query build
     def __getitem__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name, self.min_partitions)
+        return read_table(self.spark, self.sf_dir, name)
+
+    @lru_cache(maxsize=None)  # noqa: B019
+    def spread(self, name: str) -> DataFrame:
+        """The fact table ``name``, spread over the cores if it is a single split."""
+        return spread(self[name], self.min_partitions)
