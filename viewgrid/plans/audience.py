@@ -188,7 +188,8 @@ def export_rows(seg: DataFrame, partners=PARTNERS) -> DataFrame:
 
 def export(seg: DataFrame, path: str, partners=PARTNERS) -> None:
     """Write one directory per partner and segment (the pull-model drop)."""
-    export_rows(seg, partners).write.mode("overwrite").partitionBy("partner", "segment_id").parquet(path)
+    rows = export_rows(seg, partners).hint("rebalance", "partner", "segment_id")  # even files, hot segments split
+    rows.write.mode("overwrite").partitionBy("partner", "segment_id").parquet(path)
 
 
 def usage_report(seg: DataFrame, suppressed: DataFrame, exported: DataFrame) -> DataFrame:

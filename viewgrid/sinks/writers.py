@@ -64,6 +64,10 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
         df = with_comments(df, comments)
     if cluster_by:
         df = clustered(df, cluster_by)
+    elif partition_by:
+        # REBALANCE: AQE sizes the write partitions evenly per date directory
+        # and splits a hot date over several tasks/files (no single-task date)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
