@@ -33,7 +33,7 @@ FIRST_PARTY_SCHEMA = T.StructType([
 ])
 
 # Activation partners (export destinations) and match priorities.
-PARTNERS = ["liveramp", "meta", "thetradedesk"]
+PARTNERS = ["clean_room", "social", "dsp"]
 MATCH_PRIORITY = {"known_id": 1, "email": 2, "ip": 3}
 
 

@@ -53,7 +53,7 @@ SELECT s.* FROM segments s WHERE NOT EXISTS (SELECT 1 FROM fx_optout o WHERE o.h
 
 cte("exported", """
 SELECT p.partner, s.segment_id, sha256(concat_ws(':', p.partner, s.AKKIO_ID)) AS hashed_id
-FROM suppressed s CROSS JOIN (VALUES ('liveramp'), ('meta'), ('thetradedesk')) AS p(partner)""", "suppressed")
+FROM suppressed s CROSS JOIN (VALUES ('clean_room'), ('social'), ('dsp')) AS p(partner)""", "suppressed")
 
 
 def _ctx(spark, sf):
