@@ -68,3 +68,30 @@ def test_top1_aggregates_equal_row_number(spark):
     w2 = Window.partitionBy("dev").orderBy(F.col("s").desc(), F.col("e").desc())
     ref2 = df.withColumn("rn", F.row_number().over(w2)).filter("rn = 1").select("dev", "net", "s")
     assert same(last_by(df, ["dev"], ["s", "e"], ["net", "s"]).select("dev", "net", "s"), ref2)
+
+
+def test_models_with_a_hot_device_equal_window_forms(spark):
+    """A third of the device feed rewritten onto one device (derived from the
+    given tables): the min_by/max_by models equal the window definitions."""
+    from conftest import SF_SMALL
+    from viewgrid.plans import models
+    from viewgrid.sources.fixtures import Sources
+
+    s = Sources(spark, SF_SMALL)
+    hot = s.device.withColumn("hash", F.when(F.pmod(F.xxhash64("ts_start", "city"), F.lit(3)) == 0, F.lit("tvHOT"))
+                              .otherwise(F.col("hash")))
+    got = models.standard_detail(hot, s.tz_map).select("PARTITION_DATE", "AKKIO_ID", "TOTAL_SECONDS", "CITY", "ZIP_CODE")
+    w = Window.partitionBy("date_partition", "hash")
+    ref = (hot.filter(F.col("hash").isNotNull())
+           .withColumn("rn", F.row_number().over(w.orderBy("ts_start", "ts_end", "city", "zipcode")))
+           .withColumn("tot", F.sum(F.timestamp_diff("SECOND", F.col("ts_start"), F.col("ts_end"))).over(w))
+           .filter("rn = 1")
+           .select(F.col("date_partition").alias("PARTITION_DATE"), F.col("hash").alias("AKKIO_ID"),
+                   F.col("tot").alias("TOTAL_SECONDS"), F.col("city").alias("CITY"), F.col("zipcode").alias("ZIP_CODE")))
+    assert same(got, ref)
+    assert hot.filter(F.col("hash") == "tvHOT").count() > hot.count() / 4
+    latest = models.latest_location(hot)
+    w2 = Window.partitionBy("hash").orderBy(*[F.col(c).desc() for c in models.LATEST_LOCATION_ORDER])
+    ref2 = hot.filter(F.col("hash").isNotNull()).withColumn("rn", F.row_number().over(w2)).filter("rn = 1").select(
+        "hash", "city", F.col("iso_state").alias("state"), "dma", F.col("zipcode").alias("zip_code"))
+    assert same(latest, ref2)
