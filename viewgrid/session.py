@@ -31,12 +31,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Create (or fetch) a session with the recommended settings.
 
     ``master`` defaults to ``local[$VIEWGRID_CPUS or 8]``.  On a cluster, pass
-    ``master=None`` through spark-submit and size ``shuffle_partitions`` to the
+    ``master=""`` (keep spark-submit's master) and size ``shuffle_partitions`` to the
     data (roughly input bytes / 128 MB); AQE coalesces what is too many.
     """
     cpus = int(os.environ.get("VIEWGRID_CPUS", os.environ.get("BENCH_CPUS", "8")))
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
+    if master != "":  # "" = keep the master given by spark-submit / the cluster
+        builder = builder.master(master or f"local[{cpus}]")
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf["spark.ui.enabled"] = "false"

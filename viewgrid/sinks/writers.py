@@ -39,7 +39,9 @@ MODEL_LAYOUT = {
 def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort on ``cluster_by`` (with a hash tiebreaker)."""
     cols = [F.col(c) for c in cluster_by]
-    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    # deterministic tiebreaker over the hashable columns (maps cannot be hashed)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    tiebreak = F.xxhash64(*[F.col(c) for c in hashable])
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *cols, tiebreak).sortWithinPartitions(*cols)
 
