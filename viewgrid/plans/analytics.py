@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from viewgrid.functions import text
 from viewgrid.functions.ratios import pct, ratio, safe_metric
 from viewgrid.functions.timefn import daypart, local_time
-from viewgrid.operators.sessions import island_summary, islands, with_next
+from viewgrid.operators.sessions import island_summary, with_next
 
 CONNECT_GAP_SECONDS = 300      # documented: gaps <= 5 min stay connected
 CONSECUTIVE_THRESHOLD = 300    # documented example: 5 consecutive minutes
