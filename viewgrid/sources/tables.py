@@ -19,7 +19,7 @@ DRIVER_TABLES = (
 
 # Fact-sized tables (rows grow with the data) that may be spread when they
 # arrive as a single split; dimension tables never are.
-FACT_TABLES = {"events", "lineitem", "orders", "documents", "pages", "conversations"}
+FACT_TABLES = {"events", "lineitem", "orders"}
 MAX_SPREAD = 64
 
 
