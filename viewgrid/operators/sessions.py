@@ -133,9 +133,8 @@ def with_next(df: DataFrame, keys: list[str], start: str, order: list[str], valu
     nxt = firsts.select(*kb, F.lead("__first").over(wk).alias("__next_bucket_first"))
     d = _join_back(d, nxt, kb)
     wb = Window.partitionBy(*kb).orderBy(*order)
+    last_in_bucket = F.lead(F.lit(True)).over(wb).isNull()
     for v in values:
-        d = d.withColumn(prefix + v, F.coalesce(
-            F.lead(v).over(wb),
-            F.when(F.row_number().over(wb) == F.count(F.lit(1)).over(Window.partitionBy(*kb)),
-                   F.col(f"__next_bucket_first.{v}"))))
+        d = d.withColumn(prefix + v, F.when(last_in_bucket, F.col(f"__next_bucket_first.{v}"))
+                         .otherwise(F.lead(v).over(wb)))
     return d.drop(b, "__next_bucket_first")
