@@ -55,10 +55,15 @@ def count_maps(df: DataFrame, keys: list[str], categories: dict[str, Column],
     exploded = df.select(*keys, F.explode(_tagged(df, categories)).alias("t"))
     counted = (exploded.groupBy(*keys, F.col("t.f").alias("f"), F.col("t.k").alias("k"))
                .agg(F.count(F.lit(1)).alias("v")))
-    entries = F.struct(F.col("k"), F.col("v"))
-    aggs = [F.map_from_entries(F.collect_list(F.when(F.col("f") == name, entries))).alias(name)
-            for name in categories]
-    return counted.groupBy(*keys).agg(*aggs)
+    # one list per group (not one per family: partial buffers would carry the
+    # empty lists of the other families), split into the maps afterwards
+    grouped = counted.groupBy(*keys).agg(F.collect_list(F.struct("f", "k", "v")).alias("__e"))
+    return grouped.select(*keys, *[_family_map(i).alias(name) for i, name in enumerate(categories)])
+
+
+def _family_map(i: int) -> Column:
+    only = F.filter(F.col("__e"), lambda e: e["f"] == i)
+    return F.map_from_entries(F.transform(only, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
 
 
 def count_entries(df: DataFrame, keys: list[str], categories: dict[str, Column],
@@ -66,20 +71,27 @@ def count_entries(df: DataFrame, keys: list[str], categories: dict[str, Column],
                   value_name: str = "sessions") -> DataFrame:
     """Long form of ``count_maps``: (keys, family, category, count) rows."""
     exploded = df.select(*keys, F.explode(_tagged(df, categories)).alias("t"))
-    return (exploded.groupBy(*keys, F.col("t.f").alias(family_name), F.col("t.k").alias(key_name))
-            .agg(F.count(F.lit(1)).alias(value_name)))
+    counted = (exploded.groupBy(*keys, F.col("t.f").alias("__f"), F.col("t.k").alias(key_name))
+               .agg(F.count(F.lit(1)).alias(value_name)))
+    names = F.array(*[F.lit(n) for n in categories])
+    return counted.select(*keys, F.element_at(names, F.col("__f").cast("int") + 1).alias(family_name),
+                          key_name, value_name)
 
 
-def _tag(name: str):
-    return lambda x: F.struct(F.lit(name).alias("f"), x.alias("k"))
+def _tag(i: int):
+    return lambda x: F.struct(F.lit(i).cast("tinyint").alias("f"), x.alias("k"))
 
 
 def _tagged(df: DataFrame, categories: dict[str, Column]) -> Column:
-    """array<struct<f: family, k: category>> for one row, all families."""
+    """array<struct<f: family index, k: category>> for one row, all families.
+
+    The family travels through the shuffles as a one-byte index, not its
+    name; names are attached after aggregation.
+    """
     parts = []
-    for name, expr in categories.items():
+    for i, expr in enumerate(categories.values()):
         arr = expr if _is_array(df, expr) else F.array(expr)
-        parts.append(F.transform(arr, _tag(name)))
+        parts.append(F.transform(arr, _tag(i)))
     return F.concat(*parts)
 
 
