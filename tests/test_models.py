@@ -180,3 +180,11 @@ def test_runner_full_then_incremental_then_backfill(spark):
     assert got.exceptAll(expect.ref("commercial_summary")).count() == 0
     rep = test_models(spark, out).collect()
     assert len(rep) == 64 and all(r.status != "fail" for r in rep)
+
+
+def test_broadcast_respects_byte_bound(spark):
+    from viewgrid.operators.enrich import bounded_broadcast
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 1000).alias("s"))   # ~50 KB of payload
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in plan(bounded_broadcast(wide, max_rows=100, max_bytes=1_000_000))
+    assert "broadcast" not in plan(bounded_broadcast(wide, max_rows=100, max_bytes=10_000))
