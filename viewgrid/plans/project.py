@@ -109,9 +109,9 @@ class Project:
         """Write ``names`` and their upstream models under ``root`` and switch
         ``ref`` to the written tables.
 
-        Models of one dependency level are independent and are written by
-        ``threads`` concurrent Spark jobs (a build's model concurrency); the
-        next level starts from the files just written.  This is what a build
+        Models of one dependency level are independent: each is planned and
+        written on its own thread (``threads`` concurrent Spark jobs, a build's
+        model concurrency); the next level starts from the files just written.  This is what a build
         does before its tests run: every model is computed once, and checks
         read short plans over files.
         """
@@ -131,8 +131,6 @@ class Project:
             return name, path, df
 
         for level in self._levels(names):
-            for n in level:          # build plans on this thread (py4j-safe), run jobs concurrently
-                self.ref(n)
             with ThreadPoolExecutor(max_workers=max(1, min(threads, len(level)))) as pool:
                 results = list(pool.map(one, level))
             for name, path, df in results:
