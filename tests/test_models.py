@@ -188,3 +188,13 @@ def test_broadcast_respects_byte_bound(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" in plan(bounded_broadcast(wide, max_rows=100, max_bytes=1_000_000))
     assert "broadcast" not in plan(bounded_broadcast(wide, max_rows=100, max_bytes=10_000))
+
+
+def test_cli_build_selected_models(spark, capsys):
+    from viewgrid.plans.runner import main
+    out = scratch_path(spark, "cli_warehouse")
+    rc = main(["build", "--sf", SF_SMALL, "--out", out, "--select", "content_detail,content_summary"])
+    printed = capsys.readouterr().out
+    assert rc == 0
+    assert "content_detail: full" in printed and "content_summary: table" in printed
+    assert spark.read.parquet(f"{out}/content_summary").count() == Project(spark, SF_SMALL).ref("content_summary").count()
