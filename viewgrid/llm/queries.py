@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewgrid.llm import chunk_bpe, token_counts, token_files
+from viewgrid.llm import chunk_bpe, substring, token_counts, token_files
 from viewgrid.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,9 +26,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digest(spark, path)
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op9_chunk_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op9_chunk_bpe)}
 ORACLES: dict[str, str] = {}
