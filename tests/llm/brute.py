@@ -24,3 +24,34 @@ def substring(docs, length=20):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         out[doc_id] = (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
+
+
+def shingles(text, k):
+    w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words(text)]
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
+
+
+def near(docs, k=4, percent=80):
+    """docs: [(doc_id, text)] with distinct ids -> {doc_id: (n_shingles, component_id, kept)}; every pair that shares a shingle."""
+    sets = {d: shingles(t, k) for d, t in docs}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    where = {}
+    for d in sorted(sets):
+        near_ = {}
+        for s in sets[d]:
+            for e in where.setdefault(s, []):
+                near_[e] = near_.get(e, 0) + 1
+            where[s].append(d)
+        for e, n in near_.items():
+            if 100 * n >= percent * (len(sets[d]) + len(sets[e]) - n):
+                a, b = find(d), find(e)
+                root[max(a, b)] = min(a, b)
+    return {d: (len(sets[d]), find(d), find(d) == d) for d in sets}

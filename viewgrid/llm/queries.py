@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewgrid.llm import chunk_bpe, substring, token_counts, token_files
+from viewgrid.llm import chunk_bpe, near_dedup, substring, token_counts, token_files
 from viewgrid.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,9 +30,13 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op9_chunk_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op7_near_dedup, op9_chunk_bpe)}
 ORACLES: dict[str, str] = {}

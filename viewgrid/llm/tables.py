@@ -18,3 +18,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id (long) and text (string) alone, whatever else ``docs`` holds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+#: Ids in a broadcast table at most (8 bytes each, so 16 MB before hashing); more are joined by shuffle.
+MOST_BROADCAST_IDS = 2_000_000
+
+
+def with_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` whose doc_id is (``left_semi``) or isn't (``left_anti``) among the distinct doc_ids of ``ids``.
+
+    ``ids`` must be cheap to count.  Its table is broadcast behind a check of its size.
+    """
+    small = ids.count() <= MOST_BROADCAST_IDS
+    return df.join(F.broadcast(ids) if small else ids, "doc_id", how)
