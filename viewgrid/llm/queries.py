@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from viewgrid.llm import chunk_bpe, near_dedup, substring, token_counts, token_files
+from viewgrid.llm import chunk_bpe, near_dedup, quality_model, substring, token_counts, token_files, toxicity
+from viewgrid.llm.tables import fold
 from viewgrid.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +32,23 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"))
 
 
+def _judged(scores: DataFrame, held_out, threshold: float) -> DataFrame:
+    held = F.coalesce(held_out, F.lit(True))
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 3) == 1
+    return _judged(toxicity.scored(docs, toxicity.fit(docs, labels, ~held_out)), held_out, toxicity.THRESHOLD)
+
+
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 5) == 0
+    return _judged(quality_model.scored(docs, quality_model.fit(docs, labels, ~held_out)), held_out, quality_model.THRESHOLD)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -38,5 +57,5 @@ def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op7_near_dedup, op9_chunk_bpe)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op5_toxicity, op6_quality_model, op7_near_dedup, op9_chunk_bpe)}
 ORACLES: dict[str, str] = {}

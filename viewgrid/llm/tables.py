@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewgrid.session import scratch_path
@@ -31,3 +31,20 @@ def with_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """
     small = ids.count() <= MOST_BROADCAST_IDS
     return df.join(F.broadcast(ids) if small else ids, "doc_id", how)
+
+
+def fold(of: str, folds: int) -> Column:
+    """crc32(doc_id as text) modulo ``folds``; null without doc_id."""
+    return F.pmod(F.crc32(F.col(of).cast("long").cast("string").cast("binary")), F.lit(folds))
+
+
+def labelled_sample(labels: DataFrame, column: str, allowed: Column, bound: int) -> DataFrame:
+    """doc_id and label (0 or 1) of at most ``bound`` labelled documents, chosen by a hash of doc_id.
+
+    Rows with another or no label, or without doc_id, are left out; of labels that
+    contradict each other the larger counts.
+    """
+    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & allowed)
+    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)

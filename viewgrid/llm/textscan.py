@@ -74,12 +74,12 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         at = end
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(buf: np.ndarray, offs: np.ndarray, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and per document the index of its first word (one more at the end)."""
     n = len(buf)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offs), np.int64)
-    solid = ~IS_SPACE[buf]
+    solid = ~space[buf]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
