@@ -29,9 +29,11 @@ from viewgrid.llm.tables import id_and_text, labelled_sample, staged
 
 FIT_ROWS = 12_000  # labelled documents that the learner sees at most
 BITS = 20  # features are hashed to 2**BITS coordinates
-EPOCHS = 3
-RATE, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
-LEAST_DOCS = 3  # sampled documents in which a feature must occur
+EPOCHS = 4
+RATE, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
+LEAST_DOCS = 5  # sampled documents in which a feature must occur
+MOST_SHARE = 0.05  # of the sampled documents; commoner features are left out
+BIAS_RATE = 0.1
 THRESHOLD = 0.7
 
 NOT_WORD = np.ones(256, dtype=bool)
@@ -77,7 +79,8 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     seen = np.zeros(1 << BITS, np.int32)
     for x in rows:
         seen[x] += 1
-    rows = [x[seen[x] >= LEAST_DOCS] for x in rows]
+    usable = (seen >= LEAST_DOCS) & (seen <= max(MOST_SHARE * len(rows), LEAST_DOCS))
+    rows = [x[usable[x]] for x in rows]
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias, bias_n = 0.0, 1.0
     for _ in range(EPOCHS):
@@ -89,7 +92,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray) -> Model:
             z[x] = zx + g - (np.sqrt(nx + g * g) - root) / RATE * w
             n[x] = nx + g * g
             bias_n += g * g
-            bias -= RATE * g / np.sqrt(bias_n)
+            bias -= BIAS_RATE * g / np.sqrt(bias_n)
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / RATE + L2))
     index = np.flatnonzero(w)
     return Model(index, w[index], float(bias))
