@@ -55,3 +55,16 @@ def near(docs, k=4, percent=80):
                 a, b = find(d), find(e)
                 root[max(a, b)] = min(a, b)
     return {d: (len(sets[d]), find(d), find(d) == d) for d in sets}
+
+
+def base_rules(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed"""
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = {}
+    for i in range(len(w) - 7):
+        windows.setdefault(tuple(w[i : i + 8]), []).append(i)
+    covered = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    n = len(w)
+    return n, sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n

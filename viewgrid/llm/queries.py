@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewgrid.llm import chunk_bpe, near_dedup, quality_model, substring, token_counts, token_files, toxicity
+from viewgrid.llm import chunk_bpe, near_dedup, quality_model, quality_rules, substring, token_counts, token_files, toxicity
 from viewgrid.llm.tables import fold
 from viewgrid.session import scratch_path
 
@@ -57,5 +57,9 @@ def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op5_toxicity, op6_quality_model, op7_near_dedup, op9_chunk_bpe)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("ratio")
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op5_toxicity, op6_quality_model, op7_near_dedup, op9_chunk_bpe, op10_quality_rules)}
 ORACLES: dict[str, str] = {}

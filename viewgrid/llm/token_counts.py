@@ -22,7 +22,7 @@ from viewgrid.llm import textscan as ts
 from viewgrid.llm.pieces import encoder
 from viewgrid.session import shared_dir
 
-RANGE = 1024
+RANGE = 128
 
 
 def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
