@@ -68,3 +68,21 @@ def base_rules(text):
     covered = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
     n = len(w)
     return n, sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n
+
+
+def contaminated(docs, items, k=5, percent=80):
+    """{(doc_id, item_id): shared shingles} of every pair with enough containment."""
+    out = {}
+    sets = [(i, shingles(t, k)) for i, t in items]
+    where = {}
+    for i, s in sets:
+        for x in s:
+            where.setdefault(x, []).append(i)
+    size = {i: len(s) for i, s in sets}
+    for d, t in docs:
+        n = {}
+        for x in shingles(t, k):
+            for i in where.get(x, ()):
+                n[i] = n.get(i, 0) + 1
+        out |= {(d, i): c for i, c in n.items() if 100 * c >= percent * size[i]}
+    return out

@@ -117,27 +117,33 @@ def _sha256(parts: list[bytes]) -> pa.Array:
     return pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())
 
 
-def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, ids (array of int) and the decoded text of every document."""
-
-    def row(own: ChunkCoder, ids: np.ndarray, sizes: np.ndarray) -> dict[str, pa.Array]:
-        offs = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        return {"ids": pa.ListArray.from_arrays(offs, pa.array(ids, pa.int32())), "decoded": pa.array(own.decode(ids, sizes), pa.string())}
-
-    return _each(docs, tokenizer, "ids array<int>, decoded string", row)
+def digest(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of every document.
 
-
-def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of every document."""
+    ``with_ids`` adds the ids themselves (array of int).
+    """
 
     def row(own: ChunkCoder, ids: np.ndarray, sizes: np.ndarray) -> dict[str, pa.Array]:
         raw, at = own.spell(ids, own.digits, own.digits_at, sizes)
         raw, at = raw.tobytes(), at.tolist()
         texts = own.decode(ids, sizes)
-        return {
+        out = {
             "n_tokens": pa.array(sizes, pa.int64()),
             "ids_sha256": _sha256([raw[a : max(a, b - 1)] for a, b in zip(at, at[1:])]),
             "decoded_sha256": _sha256([t.encode("utf-8") for t in texts]),
         }
+        if with_ids:
+            offs = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            out["ids"] = pa.ListArray.from_arrays(offs, pa.array(ids, pa.int32()))
+        return out
+
+    return _each(docs, tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, row)
+
+
+def decoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id and the text decoded from the ids of every document."""
+
+    def row(own: ChunkCoder, ids: np.ndarray, sizes: np.ndarray) -> dict[str, pa.Array]:
+        return {"text": pa.array(own.decode(ids, sizes), pa.string())}
 
-    return _each(docs, tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string", row)
+    return _each(docs, tokenizer, "text string", row)

@@ -6,17 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewgrid.llm import chunk_bpe, near_dedup, quality_model, quality_rules, substring, token_counts, token_files, toxicity
+from viewgrid.llm import chunk_bpe, contamination, near_dedup, quality_model, quality_rules, sharding, substring, token_counts, token_files, toxicity
 from viewgrid.llm.tables import fold
 from viewgrid.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+SHARDS = [f"shard-{k:02d}" for k in range(64)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.suffix_sums(token_counts.histogram(docs, public_tokenizers.path(TOKENIZER)))
@@ -53,6 +58,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -61,5 +70,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("ratio")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_token_files, op4_substring, op5_toxicity, op6_quality_model, op7_near_dedup, op9_chunk_bpe, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_token_counts,
+        op3_token_files,
+        op4_substring,
+        op5_toxicity,
+        op6_quality_model,
+        op7_near_dedup,
+        op8_contamination,
+        op9_chunk_bpe,
+        op10_quality_rules,
+    )
+}
+ORACLES = {"op1_sharding": sharding.placement_sql("documents", "doc_id", SHARDS)}
