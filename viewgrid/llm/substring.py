@@ -158,9 +158,9 @@ class Groups:
         yield rows(key, sub, doc, tag, start, end, MEMBER)
 
 
-def _seeds(length: int):
+def _seeds(length: int, spread: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = Groups(SPREAD)
+        groups = Groups(spread)
         for batch in batches:
             ids, tags = (batch.column(c).to_numpy() for c in (0, 1))
             for a, b, buf, offs in ts.text_chunks(batch.column(2)):
@@ -256,11 +256,11 @@ def _per_document(spans: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
     """doc_id, tag, starts, ends: word spans (they may overlap) covered by windows that also start earlier."""
     texts = keyed(docs)
     known = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    one = staged(_grouped(known.mapInArrow(_seeds(length), ROWS)), "op4-segments")
+    one = staged(_grouped(known.mapInArrow(_seeds(length, spread), ROWS)), "op4-segments")
     open_ = _per_document(one.where("unsettled"))
     joined = known.join(open_.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "starts", "ends")
     two = _grouped(joined.mapInArrow(_windows(length), ROWS))
@@ -308,8 +308,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.schema.names
-        text, starts, ends = (batch.column(names.index(c)) for c in ("text", "starts", "ends"))
+        row, text, starts, ends = (batch.column(k) for k in range(4))
         new: list[str | None] = text.to_pylist()
         for a, b, buf, offs in ts.text_chunks(text):
             first, _, at = ts.words(buf, offs)
@@ -317,15 +316,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = buf.tobytes()
             for k in np.flatnonzero(starts.slice(a, b - a).value_lengths().fill_null(0).to_numpy()).tolist():
                 i, j = int(at[k]), int(at[k + 1])
-                own = gone[i:j]
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))  # run starts and ends
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[i:j], [False]]).astype(np.int8)))  # run starts and ends
                 place = [int(offs[k])]
-                for x in edge.tolist():
-                    place.append(int(first[i + x]) if i + x < j else int(offs[k + 1]))
+                place += [int(first[i + x]) if i + x < j else int(offs[k + 1]) for x in edge.tolist()]
                 place.append(int(offs[k + 1]))
                 new[a + k] = b"".join(raw[p:q] for p, q in zip(place[::2], place[1::2])).decode("utf-8")
-        columns = {c: batch.column(names.index(c)) for c in names if c not in ("text", "starts", "ends")}
-        yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(new, pa.string())], [*columns, "text"])
+        yield pa.RecordBatch.from_arrays([row, pa.array(new, pa.string())], ["row", "text"])
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -333,16 +329,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A column n_chars, if there is one, is made to fit the new text.
     """
-    plain = [c for c in docs.columns if c.lower() not in ("tag", "starts", "ends")]
-    if len(plain) < len(docs.columns):
-        raise ValueError("documents may not have columns named tag, starts or ends; rename them first")
+    text = F.col("text").cast("string").alias("text")
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), text, rest)
     spans = repeated_spans(docs, length)
-    tagged = docs.withColumn("text", F.col("text").cast("string")).withColumn("tag", text_tag())
-    joined = tagged.join(spans.hint("shuffle_hash"), ["doc_id", "tag"], "left")
-    rest = [c for c in docs.columns if c != "text"]
-    joined = joined.select(*rest, "text", "starts", "ends")
-    schema = ", ".join(f"`{c}` {dict(joined.dtypes)[c]}" for c in [*rest, "text"])
-    out = joined.mapInArrow(_cut, schema)
+    joined = rows.join(spans.hint("shuffle_hash"), ["doc_id", "tag"], "left").select("row", "text", "starts", "ends")
+    out = joined.mapInArrow(_cut, joined.select("row", "text").schema)
+    fitted = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fitted["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(fitted.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
