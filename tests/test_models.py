@@ -93,12 +93,12 @@ def test_upsert_replaces_keys_and_keeps_others(spark):
 
 
 def test_comments_persist(spark):
-    from viewgrid.registry.io import HH_COMMENTS
     df = Project(spark, SF_SMALL).ref("agg_hh")
     path = scratch_path(spark, "comments_test")
-    writers.write_table(df, path, comments=HH_COMMENTS)
+    writers.write_model(df, path, "agg_hh")
     back = spark.read.parquet(path)
-    assert back.schema["INCOME"].metadata["comment"] == HH_COMMENTS["INCOME"]
+    assert back.schema["INCOME"].metadata["comment"] == writers.COLUMN_COMMENTS["INCOME"]
+    assert writers.table_comment(back) == writers.MODEL_COMMENTS["agg_hh"]
 
 
 def test_date_window_reaches_parquet_scan(spark):

@@ -49,12 +49,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows and
     ``max_bytes`` payload bytes; otherwise ``df`` unchanged.
 
-    One bounded job: ``limit(max_rows + 1)`` then count and summed row bytes,
-    so it stops reading once the row bound is exceeded.  Beyond the bound
-    the join is planned from size statistics / AQE (sort-merge, with skew
-    splitting).
+    One job: row count and summed row bytes, partially aggregated in every
+    task.  Beyond the bound the join is planned from size statistics / AQE
+    (sort-merge, with skew splitting).
     """
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     n, b = r["n"], r["b"] or 0
     return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 UNBOUNDED = Window.unboundedPreceding
 
 
-def _join_back(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+def join_back(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     """rows INNER JOIN summary on ``keys`` with NULL-safe equality (a NULL
     network or title is a group of its own, as in PARTITION BY)."""
     r = summary.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
@@ -48,7 +48,7 @@ def _local_pass(df: DataFrame, keys: list[str], start: str, end: str, gap_second
     per_bucket = d.groupBy(*kb).agg(F.max(end).alias("__bmax"))
     wk = Window.partitionBy(*keys).orderBy(b)
     carry = per_bucket.withColumn("__carry_max", F.max("__bmax").over(wk.rowsBetween(UNBOUNDED, -1)))
-    d = _join_back(d, carry.drop("__bmax"), kb)
+    d = join_back(d, carry.drop("__bmax"), kb)
     wb = Window.partitionBy(*kb).orderBy(start, end)
     prev_end = F.greatest(F.max(end).over(wb.rowsBetween(UNBOUNDED, -1)), F.col("__carry_max"))
     d = d.withColumn("__new", F.when(prev_end.isNull() | (F.col(start) > prev_end + gap), 1).otherwise(0))
@@ -75,7 +75,7 @@ def _island_numbers(pieces: DataFrame, keys: list[str], kb: list[str], wk) -> Da
     opened = pieces.groupBy(*kb).agg(F.max("__local_no").alias("__bnew"))
     carry_n = opened.withColumn(
         "__carry_n", F.coalesce(F.sum("__bnew").over(wk.rowsBetween(UNBOUNDED, -1)), F.lit(0)))
-    out = _join_back(pieces, carry_n.drop("__bnew"), kb)
+    out = join_back(pieces, carry_n.drop("__bnew"), kb)
     return out.withColumn("island_no", F.col("__carry_n") + F.col("__local_no")).drop("__carry_n")
 
 
@@ -91,7 +91,7 @@ def islands(df: DataFrame, keys: list[str], start: str, end: str, gap_seconds: i
     d = _cut(d)
     counts = d.groupBy(*kb, "__local_no").agg(F.count(F.lit(1)).alias("__n"))
     nums = _island_numbers(counts, keys, kb, wk).drop("__n")
-    out = _join_back(d, nums, kb + ["__local_no"])
+    out = join_back(d, nums, kb + ["__local_no"])
     return out.drop("__bucket", "__carry_max", "__new", "__local_no")
 
 
@@ -131,7 +131,7 @@ def with_next(df: DataFrame, keys: list[str], start: str, order: list[str], valu
     firsts = d.groupBy(*kb).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("__first"))
     wk = Window.partitionBy(*keys).orderBy(b)
     nxt = firsts.select(*kb, F.lead("__first").over(wk).alias("__next_bucket_first"))
-    d = _join_back(d, nxt, kb)
+    d = join_back(d, nxt, kb)
     wb = Window.partitionBy(*kb).orderBy(*order)
     last_in_bucket = F.lead(F.lit(True)).over(wb).isNull()
     for v in values:

@@ -155,12 +155,12 @@ def live_share(detail: DataFrame, by=("NETWORK",), live_col: str = "WATCHED_LIVE
 
 
 def program_transitions(detail: DataFrame, max_gap_seconds: int = CONNECT_GAP_SECONDS) -> DataFrame:
-    """Each session with the device's next session of the same day.
+    """Each session with the device's next session, across midnight too.
 
     ``continued`` = the next session starts within ``max_gap_seconds`` of
     this one's end and is a different program.
     """
-    nxt = with_next(detail, ["AKKIO_ID", "PARTITION_DATE"], "SESSION_START_TIME_UTC",
+    nxt = with_next(detail, ["AKKIO_ID"], "SESSION_START_TIME_UTC",
                     ["SESSION_START_TIME_UTC", "SESSION_END_TIME_UTC", "TITLE"],
                     ["TITLE", "SESSION_START_TIME_UTC"])
     gap = F.timestamp_diff("SECOND", F.col("SESSION_END_TIME_UTC"), F.col("next_SESSION_START_TIME_UTC"))
@@ -205,18 +205,18 @@ def cross_network(detail: DataFrame) -> DataFrame:
 
 
 def segment_affinity(detail: DataFrame, ind: DataFrame, segment: str = "AGE_BUCKET",
-                           item: str = "NETWORK") -> DataFrame:
-    seg = ind.select("AKKIO_ID", segment)
-    active = detail.select("AKKIO_ID").distinct().join(seg, "AKKIO_ID", "inner")
-    seg_size = active.groupBy(segment).agg(F.count(F.lit(1)).alias("segment_devices"))
-    viewers = detail.select("AKKIO_ID", item).distinct().join(seg, "AKKIO_ID", "inner")
-    by_item_seg = viewers.groupBy(item, segment).agg(F.count(F.lit(1)).alias("segment_viewers"))
+                     item: str = "NETWORK") -> DataFrame:
     """Index = (segment viewers of item / segment size) / (item viewers / all devices) x 100.
 
     Segment sizes are one row per segment (a bounded table: the all-device
     total is a window over it); per-item totals are a window partitioned by
     item over the (item, segment) table.
     """
+    seg = ind.select("AKKIO_ID", segment)
+    active = detail.select("AKKIO_ID").distinct().join(seg, "AKKIO_ID", "inner")
+    seg_size = active.groupBy(segment).agg(F.count(F.lit(1)).alias("segment_devices"))
+    viewers = detail.select("AKKIO_ID", item).distinct().join(seg, "AKKIO_ID", "inner")
+    by_item_seg = viewers.groupBy(item, segment).agg(F.count(F.lit(1)).alias("segment_viewers"))
     item_viewers = F.sum("segment_viewers").over(Window.partitionBy(item))
     all_devices = F.sum("segment_devices").over(Window.partitionBy(F.lit(0)))
     seg_size = seg_size.withColumn("__all_devices", all_devices)
@@ -335,13 +335,13 @@ def connected_sessions(sessions: DataFrame, keys=("hash", "date_partition", "sho
 
 
 def ad_breaks(ads: DataFrame, gap_seconds: int = AD_BREAK_GAP_SECONDS) -> DataFrame:
-    """Ads of one device-day grouped into breaks (next ad starts <= gap after).
+    """Ads of one device grouped into breaks (next ad starts <= gap after), across midnight too.
 
     Distinct brands per break are merged from per-piece brand sets (bounded
     by the brands in one break), so no extra pass over the rows is needed.
     """
     return island_summary(
-        ads, ["AKKIO_ID", "PARTITION_DATE"], "AD_MATCH_START_TIME_UTC", "AD_MATCH_END_TIME_UTC", gap_seconds,
+        ads, ["AKKIO_ID"], "AD_MATCH_START_TIME_UTC", "AD_MATCH_END_TIME_UTC", gap_seconds,
         seconds=F.col("AD_LENGTH"),
         piece_aggs=[F.collect_set("BRAND_NAME").alias("__brands")],
         merge_aggs=[F.size(F.array_distinct(F.flatten(F.collect_list("__brands")))).cast("long").alias("brands")])

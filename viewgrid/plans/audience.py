@@ -9,6 +9,7 @@ plus one hash aggregate per record (no per-record Python).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewgrid.functions import text
+from viewgrid.session import scratch_path
 
 # Validation patterns for client files.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
@@ -30,11 +32,15 @@ FIRST_PARTY_SCHEMA = T.StructType([
     T.StructField("segment_hint", T.StringType()),
     T.StructField("lifetime_value", T.DoubleType()),
     T.StructField("known_tv_id", T.StringType()),
+    T.StructField("maid", T.StringType()),
 ])
 
+#: Column that holds a line of a client file that doesn't parse under the schema.
+CORRUPT = "_corrupt_record"
+
 # Activation partners (export destinations) and match priorities.
 PARTNERS = ["clean_room", "social", "dsp"]
-MATCH_PRIORITY = {"known_id": 1, "email": 2, "ip": 3}
+MATCH_PRIORITY = {"known_id": 1, "email": 2, "phone": 3, "maid": 4, "ip": 5}
 
 
 def norm_email(c) -> Column:
@@ -52,23 +58,34 @@ def sha256(c: Column) -> Column:
 
 # ------------------------------------------------------------ ingestion
 def read_first_party(spark, path: str, fmt: str = "csv") -> DataFrame:
-    """Read a client file with an explicit schema (no inference)."""
-    r = spark.read.schema(FIRST_PARTY_SCHEMA)
-    if fmt == "csv":
-        return r.option("header", "true").option("mode", "PERMISSIVE").csv(path)
-    return r.format(fmt).load(path)
+    """Read a client file with an explicit schema (no inference).
+
+    A CSV line that doesn't parse keeps its text in ``_corrupt_record`` and is
+    quarantined by ``validate_first_party``; a file whose header isn't the
+    declared one is refused.
+    """
+    if fmt != "csv":
+        return spark.read.schema(FIRST_PARTY_SCHEMA).format(fmt).load(path)
+    header = spark.read.option("header", "true").csv(path).columns
+    if header != FIRST_PARTY_SCHEMA.names:
+        raise ValueError(f"client file has header {header}, not {FIRST_PARTY_SCHEMA.names}")
+    schema = T.StructType([*FIRST_PARTY_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
 def validate_first_party(df: DataFrame) -> DataFrame:
     """Add ``ingest_status`` (accepted / quarantined) and ``reject_reason``."""
     e = norm_email("email")
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     reasons = F.concat_ws(",",
+                          F.when(corrupt, F.lit("unparsable")),
                           F.when(F.col("client_record_id").isNull(), F.lit("missing_id")),
                           F.when(e.isNull() | ~e.rlike(EMAIL_PATTERN), F.lit("bad_email")),
                           F.when(F.col("zip").isNull() | ~F.col("zip").rlike(ZIP_PATTERN), F.lit("bad_zip")))
     return (df.withColumn("reject_reason", F.nullif(reasons, F.lit("")))
             .withColumn("ingest_status", F.when(F.col("reject_reason").isNull(), F.lit("accepted"))
-                        .otherwise(F.lit("quarantined"))))
+                        .otherwise(F.lit("quarantined"))).drop(CORRUPT))
 
 
 def hash_pii(df: DataFrame) -> DataFrame:
@@ -80,21 +97,21 @@ def hash_pii(df: DataFrame) -> DataFrame:
 
 
 def person_key(df: DataFrame) -> DataFrame:
-    """Encoded person id: SHA-256 over the '|'-joined normalised PII tuple."""
-    key = sha256(F.concat_ws("|", norm_email("email"), F.coalesce(norm_phone("phone"), F.lit("")),
-                             F.coalesce(F.trim(F.col("zip")), F.lit(""))))
-    return df.select("client_record_id", key.alias("person_key"))
+    """Encoded person id: SHA-256 over the '|'-joined normalised PII tuple.
 
+    NULL for a record without any PII: such records are not one person.
+    """
+    parts = [F.coalesce(F.nullif(c, F.lit("")), F.lit("")) for c in (norm_email("email"), norm_phone("phone"), F.trim(F.col("zip")))]
+    joined = F.concat_ws("|", *parts)
+    return df.select("client_record_id", F.when(joined != "||", sha256(joined)).alias("person_key"))
 
-# ------------------------------------------------------------ identity graph
-def email_graph(customers: DataFrame) -> DataFrame:
-    """(email_sha256, tv_id) registrations: device owners' e-mails."""
-    from viewgrid.sources.fixtures import device_id
 
-    email = F.concat(F.when(F.col("c_custkey") % 2 == 0, F.upper(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))))
-                     .otherwise(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")))), F.lit("@example.com"))
-    return (customers.filter(F.col("c_custkey") % 3 != 0)
-            .select(sha256(norm_email(email)).alias("email_sha256"), device_id(F.col("c_custkey")).alias("tv_id")))
+# ------------------------------------------------------------ identity graph
+def contact_graph(registrations: DataFrame) -> dict[str, DataFrame]:
+    """Identity tables (key, tv_id) of device registrations (tv_id, email, phone, maid); keys are hashed PII."""
+    keys = {"email": sha256(norm_email("email")), "phone": sha256(norm_phone("phone")), "maid": sha256(F.lower(F.trim(F.col("maid"))))}
+    return {k: registrations.select(c.alias("key"), "tv_id").where("key is not null").groupBy("key").agg(F.min("tv_id").alias("tv_id"))
+            for k, c in keys.items()}
 
 
 def ip_graph(ads: DataFrame) -> DataFrame:
@@ -105,26 +122,26 @@ def ip_graph(ads: DataFrame) -> DataFrame:
     """
     per = (ads.filter(F.col("hash").isNotNull() & F.col("ip").isNotNull())
            .groupBy("ip", "hash").agg(F.count(F.lit(1)).alias("n")))
-    return per.groupBy("ip").agg(F.min_by("hash", F.struct(-F.col("n"), F.col("hash"))).alias("tv_id"),
-                                 F.max("n").alias("ip_observations"))
+    return per.groupBy(F.col("ip").alias("key")).agg(F.min_by("hash", F.struct(-F.col("n"), F.col("hash"))).alias("tv_id"),
+                                                     F.max("n").alias("ip_observations"))
+
 
+def id_match(first_party: DataFrame, graph: dict[str, DataFrame]) -> DataFrame:
+    """Waterfall: known id > e-mail > phone > mobile ad id > IP; one row per client record.
 
-def id_match(first_party: DataFrame, emails: DataFrame, ips: DataFrame) -> DataFrame:
-    """Waterfall: known id > hashed e-mail > IP; one row per client record.
+    ``graph`` maps a rule to its identity table (key, tv_id).
 
     Candidates from each rule are unioned and the best per record chosen by
     ``min_by`` (priority, tv_id) -- a hash aggregate, not a window.  Records
     with no candidate are kept with ``match_method = 'unmatched'``.
     """
-    fp = first_party.select("client_record_id", sha256(norm_email("email")).alias("email_sha256"), "ip",
-                            "known_tv_id")
-    known = fp.filter(F.col("known_tv_id").isNotNull()).select(
+    keys = {"email": sha256(norm_email("email")), "phone": sha256(norm_phone("phone")),
+            "maid": sha256(F.lower(F.trim(F.col("maid")))), "ip": F.col("ip")}
+    cands = first_party.filter(F.col("known_tv_id").isNotNull()).select(
         "client_record_id", F.col("known_tv_id").alias("tv_id"), F.lit("known_id").alias("match_method"))
-    by_email = fp.join(emails, "email_sha256", "inner").select("client_record_id", "tv_id",
-                                                              F.lit("email").alias("match_method"))
-    by_ip = fp.join(ips.select("ip", "tv_id"), "ip", "inner").select("client_record_id", "tv_id",
-                                                                     F.lit("ip").alias("match_method"))
-    cands = known.unionByName(by_email).unionByName(by_ip)
+    for method, table in graph.items():
+        found = first_party.select("client_record_id", keys[method].alias("key")).join(table.select("key", "tv_id"), "key")
+        cands = cands.unionByName(found.select("client_record_id", "tv_id", F.lit(method).alias("match_method")))
     prio = F.create_map(*[x for k, v in MATCH_PRIORITY.items() for x in (F.lit(k), F.lit(v))])
     cands = cands.withColumn("match_priority", prio[F.col("match_method")])
     best = cands.groupBy("client_record_id").agg(
@@ -145,21 +162,52 @@ def match_rate(matches: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ segments
-def segments(content_summary: DataFrame, attributes: DataFrame, detail: DataFrame, campaign: DataFrame,
-             matches: DataFrame, streaming_min_sessions: int = 10) -> DataFrame:
-    """Rule-based audiences -> (segment_id, AKKIO_ID), distinct."""
-    sports = content_summary.filter(text.csv_contains("GENRE_STR_LIST", "sports", exact=True)).select(
-        F.lit("sports_fans").alias("segment_id"), "AKKIO_ID")
-    affluent = attributes.filter(F.col("HOUSEHOLD_INCOME_K") >= 100).select(
-        F.lit("affluent_households").alias("segment_id"), "AKKIO_ID")
-    streaming = (detail.filter(text.source_class("INPUT_CATEGORY") == "Streaming")
-                 .groupBy("AKKIO_ID").agg(F.count(F.lit(1)).alias("n"))
-                 .filter(F.col("n") >= streaming_min_sessions)
-                 .select(F.lit("streaming_heavy").alias("segment_id"), "AKKIO_ID"))
-    exposed = campaign.select(F.lit("campaign_exposed").alias("segment_id"), "AKKIO_ID")
-    client = matches.filter(F.col("tv_id").isNotNull()).select(
-        F.lit("client_matched").alias("segment_id"), F.col("tv_id").alias("AKKIO_ID"))
-    return reduce(DataFrame.unionByName, [sports, affluent, streaming, exposed, client]).distinct()
+@dataclass(frozen=True)
+class Rule:
+    """Devices of ``table`` whose rows satisfy ``where`` at least ``least_rows`` times form segment ``segment_id``."""
+
+    segment_id: str
+    table: str
+    where: Column | str
+    id_col: str = "AKKIO_ID"
+    least_rows: int = 1
+
+
+def default_rules() -> list[Rule]:
+    """The five documented example segments."""
+    return [
+        Rule("sports_fans", "content_summary", text.csv_contains("GENRE_STR_LIST", "sports", exact=True)),
+        Rule("affluent_households", "attributes_latest", "HOUSEHOLD_INCOME_K >= 100"),
+        Rule("streaming_heavy", "content_detail", text.source_class("INPUT_CATEGORY") == "Streaming", least_rows=10),
+        Rule("campaign_exposed", "campaign_nbc", F.lit(True)),
+        Rule("client_matched", "matches", "tv_id IS NOT NULL", id_col="tv_id"),
+    ]
+
+
+def segments(tables, rules: list[Rule] | None = None) -> DataFrame:
+    """(segment_id, AKKIO_ID), distinct, of rules over named tables.
+
+    ``tables`` maps a name to a DataFrame (a function or a dict: viewing,
+    demographics, campaigns, matched client records).  Rules over one table
+    share one scan and one partial aggregate.
+    """
+    get = tables if callable(tables) else tables.__getitem__
+    parts = []
+    grouped: dict[tuple[str, str], list[Rule]] = {}
+    for r in rules if rules is not None else default_rules():
+        grouped.setdefault((r.table, r.id_col), []).append(r)
+    for (table, id_col), own in grouped.items():
+        hits = [F.when(F.expr(r.where) if isinstance(r.where, str) else r.where, F.lit(r.segment_id)) for r in own]
+        long = get(table).select(F.col(id_col).alias("AKKIO_ID"), F.explode(F.array_compact(F.array(*hits))).alias("segment_id"))
+        least = F.lit(1)
+        for r in own:
+            if r.least_rows != 1:
+                least = F.when(F.col("segment_id") == r.segment_id, F.lit(r.least_rows)).otherwise(least)
+        n = long.groupBy("segment_id", "AKKIO_ID").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(n.where(F.col("n") >= least).select("segment_id", "AKKIO_ID"))
+    out = reduce(DataFrame.unionByName, parts)
+    names = [x for own in grouped.values() for x in {r.segment_id for r in own}]
+    return out.distinct() if len(set(names)) < len(names) else out  # a segment with rules over several tables
 
 
 def segment_algebra(seg: DataFrame, a: str, b: str) -> DataFrame:
@@ -178,38 +226,59 @@ def suppress_optouts(df: DataFrame, optout: DataFrame, id_col: str = "AKKIO_ID")
     return df.join(optout.select(F.col("hash").alias(id_col)), id_col, "left_anti")
 
 
-def export_rows(seg: DataFrame, partners=PARTNERS) -> DataFrame:
-    """(partner, segment_id, hashed_id): every segment to every partner,
-    ids hashed with a per-partner prefix so partners cannot join files."""
-    p = seg.select("segment_id", "AKKIO_ID", F.explode(F.array(*[F.lit(x) for x in partners])).alias("partner"))
-    return p.select("partner", "segment_id",
-                    sha256(F.concat_ws(":", F.col("partner"), F.col("AKKIO_ID"))).alias("hashed_id"))
+def export_rows(seg: DataFrame, salts: dict[str, str]) -> DataFrame:
+    """(partner, segment_id, hashed_id): every segment to every partner.
+
+    ``salts`` holds a secret per partner: ids are hashed with it, so a partner
+    can neither join its file with another's nor try all ids.
+    """
+    if len(set(salts.values())) < len(salts) or not all(salts.values()):
+        raise ValueError("every partner needs a secret of its own")
+    who = F.array(*[F.struct(F.lit(k).alias("partner"), F.lit(v).alias("salt")) for k, v in salts.items()])
+    p = seg.select("segment_id", "AKKIO_ID", F.explode(who).alias("p"))
+    return p.select("p.partner", "segment_id", sha256(F.concat_ws(":", "p.salt", "AKKIO_ID")).alias("hashed_id"))
 
 
-def export(seg: DataFrame, path: str, partners=PARTNERS) -> None:
+def export(seg: DataFrame, path: str, salts: dict[str, str]) -> None:
     """Write one directory per partner and segment (the pull-model drop)."""
-    rows = export_rows(seg, partners).hint("rebalance", "partner", "segment_id")  # even files, hot segments split
+    rows = export_rows(seg, salts).hint("rebalance", "partner", "segment_id")  # even files, hot segments split
     rows.write.mode("overwrite").partitionBy("partner", "segment_id").parquet(path)
 
 
-def usage_report(seg: DataFrame, suppressed: DataFrame, exported: DataFrame) -> DataFrame:
-    size = seg.groupBy("segment_id").agg(F.count(F.lit(1)).alias("audience_size"))
-    kept = suppressed.groupBy("segment_id").agg(F.count(F.lit(1)).alias("after_optout"))
-    deliv = exported.groupBy("segment_id").agg(F.countDistinct("partner").alias("partners"),
-                                               F.count(F.lit(1)).alias("delivered_ids"))
-    return size.join(kept, "segment_id", "left").join(deliv, "segment_id", "left").select(
-        "segment_id", "audience_size", F.coalesce("after_optout", F.lit(0)).alias("after_optout"),
-        F.coalesce("partners", F.lit(0)).alias("partners"),
-        F.coalesce("delivered_ids", F.lit(0)).alias("delivered_ids"))
+def usage_report(seg: DataFrame, optout: DataFrame, partners, exposures: DataFrame) -> DataFrame:
+    """Per segment: size, devices left after opt-out, deliveries, and how the campaign reached it.
+
+    One pass over the segments: opt-outs and the per-device exposure counts
+    are joined by device, then one aggregate per segment.  ``exposures`` has a
+    row per impression (AKKIO_ID).
+    """
+    out = optout.select(F.col("hash").alias("AKKIO_ID"), F.lit(True).alias("out")).distinct()
+    seen = exposures.groupBy("AKKIO_ID").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.col("out").isNull()
+    g = seg.join(out, "AKKIO_ID", "left").join(seen, "AKKIO_ID", "left").groupBy("segment_id").agg(
+        F.count(F.lit(1)).alias("audience_size"),
+        F.count_if(kept).alias("after_optout"),
+        F.count_if(kept & (F.col("n") > 0)).alias("reached"),
+        F.coalesce(F.sum(F.when(kept, F.col("n"))), F.lit(0)).alias("impressions"))
+    n = len(partners)
+    return g.select(
+        "segment_id", "audience_size", "after_optout",
+        F.when(F.col("after_optout") > 0, F.lit(n)).otherwise(0).cast("long").alias("partners"),
+        (F.col("after_optout") * n).alias("delivered_ids"), "reached", "impressions",
+        F.round(F.try_divide(F.col("impressions").cast("double"), F.col("reached")), 4).alias("avg_frequency"))
 
 
 # ------------------------------------------------------------ look-alike
-def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, top_fraction: float = 0.1,
-              seed_value: int = 7) -> DataFrame:
+def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, optout: DataFrame | None = None,
+              top_fraction: float = 0.1, quantile_error: float = 0.0) -> DataFrame:
     """Score every device by similarity to a seed audience; keep the top share.
 
+    ``quantile_error`` is the rank error allowed for the cut-off (0: exact).
+    Devices in ``optout`` are left out of the result.  The joined base is
+    written to the shared folder once, as every stage of the fit reads it.
+
     Spark ML pipeline (one-hot demographics + viewing volume -> logistic
-    regression, label = in seed).  The cut-off is one approximate quantile
+    regression, label = in seed).  The cut-off is one quantile
     of the score (a single number on the driver); scoring and filtering stay
     distributed.
     """
@@ -224,6 +293,9 @@ def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, top_f
             .join(viewing, "AKKIO_ID", "left").na.fill(0.0, ["seconds", "days"])
             .join(seed.select("AKKIO_ID").distinct().withColumn("label", F.lit(1.0)), "AKKIO_ID", "left")
             .na.fill(0.0, ["label"]))
+    path = scratch_path(base.sparkSession, "lookalike-base")
+    base.write.parquet(path)
+    base = base.sparkSession.read.schema(base.schema).parquet(path)
     cats = ["GENDER", "EDUCATION"]
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep", stringOrderType="alphabetAsc")
               for c in cats]
@@ -234,7 +306,8 @@ def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, top_f
     stages.append(LogisticRegression(maxIter=20, regParam=0.01, standardization=True))
     model = Pipeline(stages=stages).fit(base)
     scored = model.transform(base).withColumn("score", vector_to_array("probability")[1])
-    cut = scored.filter(F.col("label") == 0).approxQuantile("score", [1 - top_fraction], 0.001)
+    cut = scored.filter(F.col("label") == 0).approxQuantile("score", [1 - top_fraction], quantile_error)
     threshold = cut[0] if cut else 1.0
-    return (scored.filter((F.col("label") == 0) & (F.col("score") >= threshold))
-            .select("AKKIO_ID", F.round("score", 6).alias("score")))
+    found = (scored.filter((F.col("label") == 0) & (F.col("score") >= threshold))
+             .select("AKKIO_ID", F.round("score", 6).alias("score")))
+    return found if optout is None else suppress_optouts(found, optout)

@@ -17,8 +17,6 @@ from viewgrid.operators.incremental import Window
 from viewgrid.plans import models
 from viewgrid.sources.fixtures import Sources
 
-DEFAULT_AS_OF = dt.date(2024, 1, 31)
-
 # model -> upstream models, in a valid build order
 MODEL_DEPS = {
     "content_detail": (),
@@ -37,11 +35,15 @@ MODEL_DEPS = {
 
 
 class Project:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                 window: Window | None = None, sources: Sources | None = None):
+    """``as_of`` is the snapshot date of the demographic models (default: the
+    session's current date); ``updated_at`` adds their DBT_UPDATED_AT run stamp."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: dt.date | None = None,
+                 window: Window | None = None, sources=None, updated_at: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.updated_at = updated_at
         self.window = window
         self.src = sources or Sources(spark, sf_dir)
         self._models: dict[str, DataFrame] = {}
@@ -70,7 +72,7 @@ class Project:
         if name == "standard_summary":
             return models.standard_summary(self.ref("standard_detail"))
         if name == "attributes_latest":
-            return models.attributes_latest(s.demographics, s.device, self.as_of)
+            return models.attributes_latest(s.demographics, s.device, self.as_of, self.updated_at)
         if name == "agg_hh":
             return models.agg_hh(self.ref("attributes_latest"))
         if name == "agg_ind":
@@ -81,7 +83,7 @@ class Project:
             return models.campaign(s.impressions, s.population, s.tz_map,
                                    self.ref("attributes_latest"), with_ue=False, window=w)
         if name == "campaign_fbfs":
-            return models.campaign(s.impressions, s.population, s.tz_map,
+            return models.campaign(s.impressions_fbfs, s.population_fbfs, s.tz_map,
                                    self.ref("attributes_latest"), with_ue=True, window=w)
         raise KeyError(f"unknown model {name!r}")
 

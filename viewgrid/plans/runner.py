@@ -24,12 +24,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from viewgrid.operators import quality
 from viewgrid.operators.incremental import window_for
-from viewgrid.plans.project import DEFAULT_AS_OF, MODEL_DEPS, Project
+from viewgrid.plans.project import MODEL_DEPS, Project
 from viewgrid.sinks import writers
+from viewgrid.sources.binding import BoundSources
+from viewgrid.sources.fixtures import Sources
 
 STRATEGY = {
     "content_detail": "replace", "commercial_detail": "replace", "standard_detail": "replace",
@@ -39,21 +41,28 @@ UPSERT_KEYS = ["PARTITION_DATE", "AKKIO_ID"]
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if there is none; any other error is raised."""
     try:
-        df = spark.read.parquet(path)
-        df.schema  # noqa: B018 - forces the listing
-        return df
-    except AnalysisException:
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def run_models(spark: SparkSession, sf_dir: str, out: str, select=None, start=None, end=None,
-               full_refresh: bool = False, as_of: dt.date = DEFAULT_AS_OF) -> dict[str, str]:
+def run_models(spark: SparkSession, sources, out: str, select=None, start=None, end=None,
+               full_refresh: bool = False, as_of: dt.date | None = None) -> dict[str, str]:
     """Run the selected models (default: all) in dependency order; return
-    model -> run mode ('full', 'batch', 'incremental', 'table')."""
+    model -> run mode ('full', 'batch', 'incremental', 'table').
+
+    ``sources`` is a folder of the driver's tables or any binding of the feeds
+    (``sources.fixtures.Sources``, ``sources.binding.BoundSources``).
+    """
+    if isinstance(sources, str):
+        sources = Sources(spark, sources)
     out = out.rstrip("/")
     selected = list(MODEL_DEPS) if not select else [m for m in MODEL_DEPS if m in set(select)]
-    base = Project(spark, sf_dir, as_of=as_of)
+    base = Project(spark, as_of=as_of, sources=sources, updated_at=True)
     for name in MODEL_DEPS:                      # upstream models already in the warehouse
         if name not in selected:
             existing = _read(spark, f"{out}/{name}")
@@ -70,7 +79,7 @@ def run_models(spark: SparkSession, sf_dir: str, out: str, select=None, start=No
             modes[name] = "table"
         else:
             window = window_for(target, start, end)
-            p = Project(spark, sf_dir, as_of=as_of, window=window, sources=base.src)
+            p = Project(spark, as_of=as_of, window=window, sources=sources, updated_at=True)
             for dep in MODEL_DEPS[name]:
                 p.set_model(dep, base.ref(dep))
             if name == "commercial_summary":     # the summary windows its (already written) detail
@@ -78,13 +87,13 @@ def run_models(spark: SparkSession, sf_dir: str, out: str, select=None, start=No
                 df = models.commercial_summary(base.ref("commercial_detail"), window)
             else:
                 df = p.ref(name)
-            df = df.sortWithinPartitions("PARTITION_DATE", "AKKIO_ID")
+            df = writers.described(df, name)
             if target is None:
-                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",))
+                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=("AKKIO_ID",))
             elif strategy == "upsert":
-                writers.upsert(df, path, UPSERT_KEYS)
+                writers.upsert(df, path, UPSERT_KEYS, cluster_by=("AKKIO_ID",))
             else:
-                writers.replace_partitions(df, path)
+                writers.replace_partitions(df, path, cluster_by=("AKKIO_ID",), window=window)
             modes[name] = window.mode
         base.set_model(name, _read(spark, path))
     return modes
@@ -107,20 +116,23 @@ def main(argv=None) -> int:
 
     ap = argparse.ArgumentParser(prog="viewgrid")
     ap.add_argument("command", choices=["run", "test", "build"])
-    ap.add_argument("--sf", required=True, help="folder with the source tables")
+    where = ap.add_mutually_exclusive_group(required=True)
+    where.add_argument("--sf", help="folder with the driver's test tables")
+    where.add_argument("--sources", help="JSON file that binds every feed to a path, format and columns")
     ap.add_argument("--out", required=True, help="warehouse folder (shared by the cluster)")
     ap.add_argument("--select", default="", help="comma-separated models (default: all)")
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--full-refresh", action="store_true")
-    ap.add_argument("--as-of", default=DEFAULT_AS_OF.isoformat())
+    ap.add_argument("--as-of", help="snapshot date of the demographic models (default: today)")
     ap.add_argument("--master", default="", help="e.g. local[8]; default: as configured by spark-submit")
     a = ap.parse_args(argv)
     spark = get_session(master=a.master)
     rc = 0
     if a.command in ("run", "build"):
-        modes = run_models(spark, a.sf, a.out, [s for s in a.select.split(",") if s] or None, a.start, a.end,
-                           a.full_refresh, dt.date.fromisoformat(a.as_of))
+        sources = BoundSources.from_file(spark, a.sources) if a.sources else Sources(spark, a.sf)
+        modes = run_models(spark, sources, a.out, [s for s in a.select.split(",") if s] or None, a.start, a.end,
+                           a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None)
         for k, v in modes.items():
             print(f"{k}: {v}")
     if a.command in ("test", "build"):

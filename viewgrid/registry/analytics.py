@@ -176,7 +176,7 @@ SELECT *, coalesce(next_TITLE IS NOT NULL AND next_TITLE <> TITLE
                    AND date_sub('second', SESSION_END_TIME_UTC, next_start) <= 300, false) AS continued
 FROM (SELECT *, lead(TITLE) OVER w AS next_TITLE, lead(SESSION_START_TIME_UTC) OVER w AS next_start
       FROM content_detail
-      WINDOW w AS (PARTITION BY AKKIO_ID, PARTITION_DATE
+      WINDOW w AS (PARTITION BY AKKIO_ID
                    ORDER BY SESSION_START_TIME_UTC NULLS FIRST, SESSION_END_TIME_UTC NULLS FIRST, TITLE NULLS FIRST))""",
     "content_detail")
 
@@ -385,7 +385,7 @@ def s_connected_sessions(spark, sf):
     return isl.filter(F.col("total_seconds") >= A.CONSECUTIVE_THRESHOLD)
 
 
-@register("s_ad_break", _islands_sql("commercial_detail", ["AKKIO_ID", "PARTITION_DATE"], "AD_MATCH_START_TIME_UTC",
+@register("s_ad_break", _islands_sql("commercial_detail", ["AKKIO_ID"], "AD_MATCH_START_TIME_UTC",
                                      "AD_MATCH_END_TIME_UTC", 60, "AD_LENGTH", ", count(DISTINCT BRAND_NAME) AS brands"),
           ("commercial_detail",))
 def s_ad_break(spark, sf):

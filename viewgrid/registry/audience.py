@@ -20,20 +20,22 @@ SELECT *, CASE WHEN reject_reason IS NULL THEN 'accepted' ELSE 'quarantined' END
   FROM fx_first_party)""", "fx_first_party")
 
 cte("id_match", f"""
-WITH fp AS (SELECT client_record_id, sha256({_NORM_EMAIL}) AS email_sha256, ip, known_tv_id FROM fx_first_party),
-eg AS (SELECT sha256(lower(trim(concat(CASE WHEN c_custkey % 2 = 0 THEN upper(replace(c_name, '#', '.'))
-                                       ELSE lower(replace(c_name, '#', '.')) END, '@example.com')))) AS email_sha256,
-              concat('tv', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS tv_id
-       FROM customer WHERE c_custkey % 3 <> 0),
-ipc AS (SELECT ip, hash, count(*) AS n FROM fx_commercial WHERE hash IS NOT NULL AND ip IS NOT NULL GROUP BY ALL),
-ig AS (SELECT ip, hash AS tv_id FROM ipc QUALIFY row_number() OVER (PARTITION BY ip ORDER BY n DESC, hash) = 1),
-cands AS (SELECT client_record_id, known_tv_id AS tv_id, 'known_id' AS match_method, 1 AS match_priority
-          FROM fp WHERE known_tv_id IS NOT NULL
-          UNION ALL SELECT fp.client_record_id, eg.tv_id, 'email', 2 FROM fp JOIN eg ON fp.email_sha256 = eg.email_sha256
-          UNION ALL SELECT fp.client_record_id, ig.tv_id, 'ip', 3 FROM fp JOIN ig ON fp.ip = ig.ip),
-best AS (SELECT * FROM cands QUALIFY row_number() OVER (PARTITION BY client_record_id ORDER BY match_priority, tv_id) = 1)
-SELECT fp.client_record_id, best.tv_id, coalesce(best.match_method, 'unmatched') AS match_method, best.match_priority
-FROM fp LEFT JOIN best ON fp.client_record_id = best.client_record_id""", "fx_first_party", "fx_commercial")
+WITH fp AS (SELECT *, sha256({_NORM_EMAIL}) AS e, sha256({_NORM_PHONE}) AS ph, sha256(lower(trim(maid))) AS m FROM fx_first_party),
+reg AS (SELECT tv_id, sha256({_NORM_EMAIL}) AS e, sha256({_NORM_PHONE}) AS ph, sha256(lower(trim(maid))) AS m FROM fx_registration),
+seen AS (SELECT ip, hash, count(*) AS n FROM fx_commercial GROUP BY ALL),
+by_rule AS (
+  SELECT client_record_id, known_tv_id AS e0,
+    (SELECT min(tv_id) FROM reg WHERE reg.e = fp.e) AS e1,
+    (SELECT min(tv_id) FROM reg WHERE reg.ph = fp.ph) AS e2,
+    (SELECT min(tv_id) FROM reg WHERE reg.m = fp.m) AS e3,
+    (SELECT min(struct_pack(k := -n, h := hash)).h FROM seen WHERE hash IS NOT NULL AND seen.ip = fp.ip) AS e4
+  FROM fp)
+SELECT client_record_id, coalesce(e0, e1, e2, e3, e4) AS tv_id,
+  CASE WHEN e0 IS NOT NULL THEN 'known_id' WHEN e1 IS NOT NULL THEN 'email' WHEN e2 IS NOT NULL THEN 'phone'
+       WHEN e3 IS NOT NULL THEN 'maid' WHEN e4 IS NOT NULL THEN 'ip' ELSE 'unmatched' END AS match_method,
+  CASE WHEN e0 IS NOT NULL THEN 1 WHEN e1 IS NOT NULL THEN 2 WHEN e2 IS NOT NULL THEN 3
+       WHEN e3 IS NOT NULL THEN 4 WHEN e4 IS NOT NULL THEN 5 END AS match_priority
+FROM by_rule""", "fx_first_party", "fx_registration", "fx_commercial")
 
 cte("segments", """
 SELECT DISTINCT * FROM (
@@ -52,17 +54,23 @@ SELECT s.* FROM segments s WHERE NOT EXISTS (SELECT 1 FROM fx_optout o WHERE o.h
     "segments", "fx_optout")
 
 cte("exported", """
-SELECT p.partner, s.segment_id, sha256(concat_ws(':', p.partner, s.AKKIO_ID)) AS hashed_id
-FROM suppressed s CROSS JOIN (VALUES ('clean_room'), ('social'), ('dsp')) AS p(partner)""", "suppressed")
+SELECT p.partner, s.segment_id, sha256(concat_ws(':', p.salt, s.AKKIO_ID)) AS hashed_id
+FROM suppressed s CROSS JOIN (VALUES ('clean_room', 'test secret 1'), ('social', 'test secret 2'), ('dsp', 'test secret 3')) AS p(partner, salt)""", "suppressed")
 
 
-def _ctx(spark, sf):
-    p = project(spark, sf)
-    fp = p.src.first_party
-    matches = AU.id_match(fp, AU.email_graph(p.src["customer"]), AU.ip_graph(p.src.commercial))
-    seg = AU.segments(p.ref("content_summary"), p.ref("attributes_latest"), p.ref("content_detail"),
-                      p.ref("campaign_nbc"), matches)
-    return p, matches, seg
+#: Stand-ins for the partners' secrets.
+SALTS = {p: f"test secret {k}" for k, p in enumerate(AU.PARTNERS, 1)}
+
+
+def _matches(p):
+    return AU.id_match(p.src.first_party, {**AU.contact_graph(p.src.registrations), "ip": AU.ip_graph(p.src.commercial)})
+
+
+def _segments(p):
+    """Segments over marts written once, the way a run leaves them."""
+    rules = AU.default_rules()
+    p.materialize([r.table for r in rules if r.table != "matches"], scratch_path(p.spark, "segment-marts"))
+    return AU.segments(lambda name: _matches(p) if name == "matches" else p.ref(name), rules)
 
 
 @register("dmp_ingest_1pd", "SELECT * FROM ingested", ("ingested",))
@@ -83,15 +91,16 @@ def dmp_hash_pii(spark, sf):
 
 
 @register("dmp_person_key", f"""
-SELECT client_record_id, sha256(concat_ws('|', {_NORM_EMAIL}, coalesce({_NORM_PHONE}, ''), coalesce(trim(zip), '')))
-  AS person_key FROM fx_first_party""", ("fx_first_party",))
+SELECT client_record_id, sha256(k) AS person_key
+FROM (SELECT client_record_id, nullif(coalesce({_NORM_EMAIL}, '') || '|' || coalesce({_NORM_PHONE}, '') || '|' || coalesce(trim(zip), ''), '||') AS k
+      FROM fx_first_party)""", ("fx_first_party",))
 def dmp_person_key(spark, sf):
     return AU.person_key(project(spark, sf).src.first_party)
 
 
 @register("dmp_id_match", "SELECT * FROM id_match", ("id_match",))
 def dmp_id_match(spark, sf):
-    return _ctx(spark, sf)[1]
+    return _matches(project(spark, sf))
 
 
 @register("dmp_match_rate", """
@@ -99,12 +108,12 @@ SELECT match_method, count(*) AS records,
   round(100 * (CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()), 4) AS match_rate_pct
 FROM id_match GROUP BY match_method""", ("id_match",))
 def dmp_match_rate(spark, sf):
-    return AU.match_rate(_ctx(spark, sf)[1])
+    return AU.match_rate(_matches(project(spark, sf)))
 
 
 @register("dmp_segment", "SELECT * FROM segments", ("segments",))
 def dmp_segment(spark, sf):
-    return _ctx(spark, sf)[2]
+    return _segments(project(spark, sf))
 
 
 @register("dmp_segment_algebra", """
@@ -118,21 +127,21 @@ UNION ALL SELECT 'sports_fans-affluent_households', AKKIO_ID FROM (
   SELECT AKKIO_ID FROM segments WHERE segment_id = 'sports_fans'
   EXCEPT SELECT AKKIO_ID FROM segments WHERE segment_id = 'affluent_households')""", ("segments",))
 def dmp_segment_algebra(spark, sf):
-    return AU.segment_algebra(_ctx(spark, sf)[2], "sports_fans", "affluent_households")
+    return AU.segment_algebra(_segments(project(spark, sf)), "sports_fans", "affluent_households")
 
 
 @register("optout_suppress", "SELECT * FROM suppressed", ("suppressed",))
 def optout_suppress(spark, sf):
-    p, _, seg = _ctx(spark, sf)
-    return AU.suppress_optouts(seg, p.src.optout)
+    p = project(spark, sf)
+    return AU.suppress_optouts(_segments(p), p.src.optout)
 
 
 @register("dmp_export", "SELECT * FROM exported", ("exported",))
 def dmp_export(spark, sf):
     """Write per-partner / per-segment directories, read them back."""
-    p, _, seg = _ctx(spark, sf)
+    p = project(spark, sf)
     path = scratch_path(spark, "export")
-    AU.export(AU.suppress_optouts(seg, p.src.optout), path)
+    AU.export(AU.suppress_optouts(_segments(p), p.src.optout), path, SALTS)
     return spark.read.parquet(path).select(F.col("partner").cast("string"), F.col("segment_id").cast("string"),
                                           "hashed_id")
 
@@ -140,21 +149,23 @@ def dmp_export(spark, sf):
 @register("dmp_usage_report", """
 WITH size AS (SELECT segment_id, count(*) AS audience_size FROM segments GROUP BY 1),
 kept AS (SELECT segment_id, count(*) AS after_optout FROM suppressed GROUP BY 1),
-deliv AS (SELECT segment_id, count(DISTINCT partner) AS partners, count(*) AS delivered_ids FROM exported GROUP BY 1)
+deliv AS (SELECT segment_id, count(DISTINCT partner) AS partners, count(*) AS delivered_ids FROM exported GROUP BY 1),
+perf AS (SELECT s.segment_id, count(DISTINCT s.AKKIO_ID) AS reached, count(*) AS impressions
+         FROM suppressed s JOIN campaign_nbc c ON c.AKKIO_ID = s.AKKIO_ID GROUP BY 1)
 SELECT size.segment_id, audience_size, coalesce(after_optout, 0) AS after_optout, coalesce(partners, 0) AS partners,
-  coalesce(delivered_ids, 0) AS delivered_ids
-FROM size LEFT JOIN kept ON size.segment_id = kept.segment_id LEFT JOIN deliv ON size.segment_id = deliv.segment_id""",
-          ("segments", "suppressed", "exported"))
+  coalesce(delivered_ids, 0) AS delivered_ids, coalesce(reached, 0) AS reached, coalesce(impressions, 0) AS impressions,
+  round(CAST(impressions AS DOUBLE) / reached, 4) AS avg_frequency
+FROM size LEFT JOIN kept ON size.segment_id = kept.segment_id LEFT JOIN deliv ON size.segment_id = deliv.segment_id
+LEFT JOIN perf ON size.segment_id = perf.segment_id""", ("segments", "suppressed", "exported", "campaign_nbc"))
 def dmp_usage_report(spark, sf):
-    p, _, seg = _ctx(spark, sf)
-    kept = AU.suppress_optouts(seg, p.src.optout)
-    return AU.usage_report(seg, kept, AU.export_rows(kept))
+    p = project(spark, sf)
+    return AU.usage_report(_segments(p), p.src.optout, AU.PARTNERS, p.ref("campaign_nbc"))
 
 
 @register("dmp_lookalike")
 def dmp_lookalike(spark, sf):
     """Model-based expansion of the sports-fan audience (no SQL oracle;
     tests check determinism and that seeds are excluded)."""
-    p, _, seg = _ctx(spark, sf)
-    seed = seg.filter(F.col("segment_id") == "sports_fans")
-    return AU.lookalike(seed, p.ref("agg_ind"), p.ref("content_summary"))
+    p = project(spark, sf)
+    seed = AU.segments(p.ref, [r for r in AU.default_rules() if r.segment_id == "sports_fans"])
+    return AU.lookalike(seed, p.ref("agg_ind"), p.ref("content_summary"), p.src.optout)

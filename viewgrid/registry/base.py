@@ -8,6 +8,7 @@ self-contained statement over the driver's pre-registered tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,5 +68,9 @@ def register(name: str, sql: str | None = None, deps: tuple[str, ...] = ()):
     return wrap
 
 
+#: Snapshot date of the registered queries, so that their oracles can state it.
+AS_OF = dt.date(2024, 1, 31)
+
+
 def project(spark: SparkSession, sf_dir: str) -> Project:
-    return Project(spark, sf_dir)
+    return Project(spark, sf_dir, as_of=AS_OF)

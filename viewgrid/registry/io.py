@@ -5,6 +5,8 @@ is the table the sequence of writes must leave behind."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from viewgrid.operators.incremental import Window, window_for
@@ -15,8 +17,16 @@ from viewgrid.sinks import writers
 from viewgrid.sources.fixtures import Sources
 from viewgrid.streaming import content_stream
 
-FIRST = Window("2024-01-01", "2024-01-20")
-SECOND = Window("2024-01-15", "2024-01-30")
+
+def windows(feed) -> tuple[Window, Window]:
+    """Two windows that overlap and together cover every date of the feed."""
+    low, high = feed.agg(F.min("date_partition"), F.max("date_partition")).first()
+    span = (high - low).days
+    return Window(low, low + dt.timedelta(days=span * 2 // 3)), Window(low + dt.timedelta(days=span // 2), high)
+
+
+#: The same dates in DuckDB.
+_SPAN = "(SELECT min(date_partition) AS low, max(date_partition) AS high FROM {feed})"
 
 
 @register("sink_table", "SELECT * FROM content_summary", ("content_summary",))
@@ -34,7 +44,7 @@ def sink_append(spark, sf):
     """Append a batch window, then the high-water increment on top."""
     s = Sources(spark, sf)
     path = scratch_path(spark, "content_detail")
-    first = models.content_detail(s.content, s.genre_map, s.tz_map, FIRST)
+    first = models.content_detail(s.content, s.genre_map, s.tz_map, windows(s.content)[0])
     writers.append(first, path)
     w = window_for(writers.read_table(spark, path, like=first))
     writers.append(models.content_detail(s.content, s.genre_map, s.tz_map, w), path)
@@ -50,9 +60,10 @@ def sink_merge(spark, sf):
     def summary(w):
         return models.commercial_summary(models.commercial_detail(s.commercial, s.category_map, s.tz_map, w))
 
-    first = summary(FIRST)
+    one, two = windows(s.commercial)
+    first = summary(one)
     writers.write_table(first, path, partition_by=("PARTITION_DATE",))
-    writers.upsert(summary(SECOND), path, ["PARTITION_DATE", "AKKIO_ID"])
+    writers.upsert(summary(two), path, ["PARTITION_DATE", "AKKIO_ID"])
     return writers.read_table(spark, path, like=first)
 
 
@@ -85,38 +96,33 @@ def sink_replace_window(spark, sf):
     return writers.read_table(spark, path, like=full)
 
 
-HH_COMMENTS = {
-    "AKKIO_HH_ID": "Household id (equal to the device id today)",
-    "HH_WEIGHT": "Household weight, fixed at 1",
-    "INCOME": "Household income in dollars (lower bound of the bracket)",
-}
-
-
 @register("sink_comments", "SELECT * FROM agg_hh", ("agg_hh",))
 def sink_comments(spark, sf):
     df = project(spark, sf).ref("agg_hh")
     path = scratch_path(spark, "agg_hh")
-    writers.write_table(df, path, comments=HH_COMMENTS)
+    writers.write_model(df, path, "agg_hh")
     return spark.read.parquet(path)
 
 
 # ------------------------------------------------------------ incremental runs
 @register("inc_batch_window",
-          "SELECT * FROM content_detail WHERE PARTITION_DATE BETWEEN DATE '2024-01-15' AND DATE '2024-01-30'",
-          ("content_detail",))
+          "SELECT c.* FROM content_detail c, " + _SPAN.format(feed="fx_content") + " s "
+          "WHERE PARTITION_DATE BETWEEN s.low + CAST((s.high - s.low) // 2 AS INT) AND s.high", ("content_detail", "fx_content"))
 def inc_batch_window(spark, sf):
     s = Sources(spark, sf)
-    return models.content_detail(s.content, s.genre_map, s.tz_map, window_for(None, SECOND.start, SECOND.end))
+    two = windows(s.content)[1]
+    return models.content_detail(s.content, s.genre_map, s.tz_map, window_for(None, two.start, two.end))
 
 
-@register("inc_high_water", """
+@register("inc_high_water", f"""
 SELECT * FROM content_detail WHERE PARTITION_DATE >
-  (SELECT max(PARTITION_DATE) FROM content_detail WHERE PARTITION_DATE <= DATE '2024-01-20')""", ("content_detail",))
+  (SELECT max(PARTITION_DATE) FROM content_detail, {_SPAN.format(feed="fx_content")} s
+   WHERE PARTITION_DATE <= s.low + CAST((s.high - s.low) * 2 // 3 AS INT))""", ("content_detail", "fx_content"))
 def inc_high_water(spark, sf):
-    """Rows a run picks up after a target loaded through 2024-01-20."""
+    """Rows a run picks up after a target loaded through the first window."""
     s = Sources(spark, sf)
     path = scratch_path(spark, "content_detail")
-    first = models.content_detail(s.content, s.genre_map, s.tz_map, FIRST)
+    first = models.content_detail(s.content, s.genre_map, s.tz_map, windows(s.content)[0])
     writers.write_table(first, path, partition_by=("PARTITION_DATE",))
     w = window_for(writers.read_table(spark, path, like=first))
     return models.content_detail(s.content, s.genre_map, s.tz_map, w)
@@ -135,9 +141,10 @@ def inc_merge(spark, sf):
     not their grain, so a keyed MERGE would be ambiguous)."""
     s = Sources(spark, sf)
     path = scratch_path(spark, "commercial_detail")
-    first = models.commercial_detail(s.commercial, s.category_map, s.tz_map, FIRST)
+    one, two = windows(s.commercial)
+    first = models.commercial_detail(s.commercial, s.category_map, s.tz_map, one)
     writers.write_table(first, path, partition_by=("PARTITION_DATE",))
-    writers.replace_partitions(models.commercial_detail(s.commercial, s.category_map, s.tz_map, SECOND), path)
+    writers.replace_partitions(models.commercial_detail(s.commercial, s.category_map, s.tz_map, two), path, window=two)
     return writers.read_table(spark, path, like=first)
 
 

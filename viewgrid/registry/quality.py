@@ -65,13 +65,22 @@ _register_dq("dq_report", lambda c: True)
 
 
 @register("dq_row_count_trend", """
+WITH counts AS (
+  SELECT 'content_detail' AS table_name, PARTITION_DATE AS day, count(*) AS row_count FROM content_detail GROUP BY ALL
+  UNION ALL SELECT 'commercial_detail', PARTITION_DATE, count(*) FROM commercial_detail GROUP BY ALL
+  UNION ALL SELECT 'standard_detail', PARTITION_DATE, count(*) FROM standard_detail GROUP BY ALL),
+days AS (
+  SELECT table_name, CAST(unnest(generate_series(min(day), (SELECT max(day) FROM counts), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM counts GROUP BY table_name),
+filled AS (
+  SELECT d.table_name, d.day, coalesce(c.row_count, 0) AS row_count
+  FROM days d LEFT JOIN counts c ON c.table_name = d.table_name AND c.day = d.day)
 SELECT table_name, day, row_count,
   round(avg(row_count) OVER w, 4) AS trailing_mean,
   round((row_count - avg(row_count) OVER w) / nullif(stddev_samp(row_count) OVER w, 0), 4) AS z_score,
-  coalesce(abs(round((row_count - avg(row_count) OVER w) / nullif(stddev_samp(row_count) OVER w, 0), 4)) > 3.0, false) AS anomaly
-FROM (SELECT 'content_detail' AS table_name, PARTITION_DATE AS day, count(*) AS row_count FROM content_detail GROUP BY ALL
-      UNION ALL SELECT 'commercial_detail', PARTITION_DATE, count(*) FROM commercial_detail GROUP BY ALL
-      UNION ALL SELECT 'standard_detail', PARTITION_DATE, count(*) FROM standard_detail GROUP BY ALL)
+  coalesce(abs(round((row_count - avg(row_count) OVER w) / nullif(stddev_samp(row_count) OVER w, 0), 4)) > 3.0, false) AS anomaly,
+  row_count = 0 AS missing
+FROM filled
 WINDOW w AS (PARTITION BY table_name ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
           ("content_detail", "commercial_detail", "standard_detail"))
 def dq_row_count_trend(spark, sf):

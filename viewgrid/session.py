@@ -55,8 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Directory shared by all executors for lineage cuts and written tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    directory).  Only when neither is set -- local tests -- a fresh directory
-    is created and registered as the checkpoint directory.
+    directory).  When neither is set, a session on a local master gets a fresh
+    directory, registered as the checkpoint directory; on a cluster that would
+    be a folder of the driver alone, so there it is an error.
     """
     try:
         d = spark.conf.get("spark.checkpoint.dir")
@@ -75,11 +76,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="viewgrid-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
-    if d.startswith("file:"):
-        d = d[len("file:"):]
     return d.rstrip("/")
 
 

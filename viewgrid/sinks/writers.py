@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewgrid.operators.enrich import bounded_broadcast
-from viewgrid.session import shared_dir
+from viewgrid.session import scratch_path
 
 # model -> (partition columns, cluster columns), from the models' configs
 MODEL_LAYOUT = {
     "content_detail": ((), ("VIEWED_DATE", "AKKIO_ID")),
     "content_summary": ((), ("VIEWED_DATE", "AKKIO_ID")),
-    "commercial_detail": (("PARTITION_DATE",), ()),
-    "commercial_summary": (("PARTITION_DATE",), ()),
+    "commercial_detail": (("PARTITION_DATE",), ("AKKIO_ID",)),
+    "commercial_summary": (("PARTITION_DATE",), ("AKKIO_ID",)),
     "standard_detail": ((), ("ACTIVITY_DATE", "AKKIO_ID")),
     "standard_summary": ((), ()),
     "attributes_latest": ((), ("PARTITION_DATE", "TV_ID")),
@@ -36,6 +36,33 @@ MODEL_LAYOUT = {
 }
 
 
+MODEL_COMMENTS = {
+    "content_detail": "One row per device viewing session",
+    "content_summary": "One row per device and day of viewing",
+    "commercial_detail": "One row per ad exposure",
+    "commercial_summary": "One row per device and day of ad exposure",
+    "standard_detail": "One row per device and day of activity",
+    "standard_summary": "Active devices per day and market",
+    "attributes_latest": "One row per device: decoded demographics and latest location",
+    "agg_hh": "One row per household",
+    "agg_ind": "One row per individual",
+    "agg_media": "Viewing counts per device and day, by category",
+    "campaign_nbc": "Impressions of the first campaign",
+    "campaign_fbfs": "Impressions of the second campaign",
+}
+
+COLUMN_COMMENTS = {
+    "PARTITION_DATE": "Date of the source partition, or of the snapshot",
+    "AKKIO_ID": "Device id",
+    "AKKIO_HH_ID": "Household id (equal to the device id today)",
+    "HH_WEIGHT": "Household weight, fixed at 1",
+    "INCOME": "Household income in dollars (lower bound of the bracket)",
+    "TOTAL_SECONDS": "Length in seconds",
+    "TIMEZONE": "Time zone of the device",
+    "DBT_UPDATED_AT": "When the run wrote the row",
+}
+
+
 def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort on ``cluster_by`` (with a hash tiebreaker)."""
     cols = [F.col(c) for c in cluster_by]
@@ -47,14 +74,27 @@ def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> D
 
 
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
-    """Attach column comments as schema metadata (persisted in Parquet)."""
+    """Attach column comments as schema metadata (persisted in Parquet); names that ``df`` lacks are ignored."""
     for c, text in comments.items():
-        meta = dict(df.schema[c].metadata)
-        meta["comment"] = text
-        df = df.withMetadata(c, meta)
+        if c in df.columns:
+            meta = dict(df.schema[c].metadata)
+            meta["comment"] = text
+            df = df.withMetadata(c, meta)
     return df
 
 
+def described(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the declared comments of model ``name``; the model's own comment is kept on its first column."""
+    df = with_comments(df, COLUMN_COMMENTS)
+    first = df.columns[0]
+    return df.withMetadata(first, {**df.schema[first].metadata, "table_comment": MODEL_COMMENTS.get(name, name)})
+
+
+def table_comment(df: DataFrame) -> str | None:
+    """The model comment of a table written by ``write_model``."""
+    return df.schema[0].metadata.get("table_comment") or next((f.metadata["table_comment"] for f in df.schema if "table_comment" in f.metadata), None)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), cluster_by=(),
                 dynamic: bool = False, comments: dict[str, str] | None = None) -> None:
     """Write ``df`` as Parquet.
@@ -64,12 +104,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     """
     if comments:
         df = with_comments(df, comments)
-    if cluster_by:
-        df = clustered(df, cluster_by)
-    elif partition_by:
+    if partition_by:
         # REBALANCE: AQE sizes the write partitions evenly per date directory
-        # and splits a hot date over several tasks/files (no single-task date)
-        df = df.hint("rebalance", *partition_by)
+        # and splits a hot date over several tasks/files (no single-task date).
+        # The sort stands behind it, so every file is in order inside its dates.
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+    elif cluster_by:
+        df = clustered(df, cluster_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -80,7 +121,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
 
 def write_model(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
     part, clus = MODEL_LAYOUT.get(name, ((), ()))
-    write_table(df, path, mode=mode, partition_by=part, cluster_by=clus)
+    write_table(described(df, name), path, mode=mode, partition_by=part, cluster_by=clus)
 
 
 def read_table(spark, path: str, like: DataFrame | None = None) -> DataFrame:
@@ -95,27 +136,52 @@ def append(df: DataFrame, path: str, partition_by=()) -> None:
     write_table(df, path, mode="append", partition_by=partition_by)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by=("PARTITION_DATE",)) -> None:
-    """Overwrite exactly the partitions present in ``df``; others untouched."""
-    write_table(df, path, mode="overwrite", partition_by=partition_by, dynamic=True)
+def replace_partitions(df: DataFrame, path: str, partition_by=("PARTITION_DATE",), cluster_by=(), window=None) -> None:
+    """Overwrite the partitions present in ``df``; others stay.
+
+    With a batch ``window`` every date of it is replaced: partitions of dates
+    that no longer have rows are removed after the write.
+    """
+    write_table(df, path, mode="overwrite", partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
+    if window is not None and window.mode == "batch":
+        clear_empty_dates(df, path, partition_by[0], window)
 
 
-def upsert(new: DataFrame, path: str, keys, partition_col: str = "PARTITION_DATE") -> None:
+def clear_empty_dates(df: DataFrame, path: str, partition_col: str, window) -> None:
+    """Remove the partitions of ``path`` whose date lies in ``window`` but not in ``df`` (days of one run: bounded)."""
+    spark = df.sparkSession
+    have = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == partition_col and value not in have and str(window.start) <= value <= str(window.end):
+            fs.delete(status.getPath(), True)
+
+
+def upsert(new: DataFrame, path: str, keys, partition_col: str = "PARTITION_DATE", cluster_by=()) -> None:
     """Keyed upsert into a date-partitioned Parquet table.
 
     result(touched partitions) = new rows  UNION  (target rows of those
     partitions whose key is not in ``new``); untouched partitions are not
-    rewritten.  The touched dates are a bounded set (days of one run), so
-    they are broadcast for the semi-join, which also lets dynamic partition
-    pruning skip the other date directories.  The merged rows are
-    checkpointed to the shared checkpoint directory before the overwrite
-    because the job reads the directories it replaces.
+    rewritten.  ``new`` is computed once, into a staging folder.  The touched
+    dates are a bounded set (days of one run), so they are broadcast for the
+    semi-join, which also lets dynamic partition pruning skip the other date
+    directories.  The merged rows are staged before the overwrite because
+    the job reads the directories it replaces.
     """
     spark = new.sparkSession
-    shared_dir(spark)  # make sure a (shared) checkpoint directory is set
+    schema = new.schema
+
+    def staged(df: DataFrame) -> DataFrame:
+        place = scratch_path(spark, "upsert-staging")
+        df.write.parquet(place)
+        return spark.read.schema(schema).parquet(place)
+
+    new = staged(new)
     target = read_table(spark, path, like=new)
     dates = bounded_broadcast(new.select(partition_col).distinct(), max_rows=100_000)
     touched = target.join(dates, partition_col, "left_semi")
     kept = touched.join(new.select(*keys), list(keys), "left_anti")
-    merged = new.unionByName(kept.select(*new.columns)).checkpoint(eager=True)
-    replace_partitions(merged, path, (partition_col,))
+    replace_partitions(staged(new.unionByName(kept.select(*new.columns))), path, (partition_col,), cluster_by)

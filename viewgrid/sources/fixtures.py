@@ -66,7 +66,7 @@ FROM {{events}}"""
 _GENRE = """
 SELECT concat('EP', CAST(p_partkey AS STRING)) AS episode_id,
   CASE p_partkey % 4 WHEN 0 THEN 'Sports, Live Event' WHEN 1 THEN 'Drama' WHEN 2 THEN 'Drama, Sci Fi, Action' ELSE NULL END AS genre
-FROM {part} WHERE p_partkey < 30"""
+FROM {part} WHERE p_partkey % 5 <> 4"""
 
 _TIMEZONE = f"""
 SELECT DISTINCT {_device_id('user_id')} AS hash,
@@ -100,19 +100,19 @@ SELECT CAST(e.ts AS DATE) AS date_partition,
   CASE e.event_id % 6 WHEN 0 THEN 'Apple TV' WHEN 1 THEN 'Xbox_One S' WHEN 2 THEN 'Roku' END AS input_device,
   CASE e.event_id % 7 WHEN 0 THEN 'Prime Video' WHEN 1 THEN 'Hulu' END AS app_service
 FROM SRC
-JOIN {{part}} p ON p.p_partkey = (e.event_id * 7 + KK) % 60"""
+JOIN {{part}} p ON p.p_partkey = (e.event_id * 7 + KK) % e.n_parts"""
 
 _COMMERCIAL_SPARK = (_COMMERCIAL_BODY
                      .replace("KK", "e.k")
-                     .replace("SRC", "(SELECT ev.*, explode(array(0, 1, 2)) AS k FROM {events} ev) e"))
+                     .replace("SRC", "(SELECT ev.*, (SELECT max(p_partkey) + 1 FROM {part}) AS n_parts, explode(array(0, 1, 2)) AS k FROM {events} ev) e"))
 
 _CATEGORY = """
 SELECT concat('CR', CAST(p_partkey AS STRING)) AS value,
   CASE p_partkey % 3 WHEN 0 THEN 'Food / Beverage, Snacks' WHEN 1 THEN 'Auto - Motive' ELSE concat(p_type, ' Retail') END AS commercial_category
-FROM {part} WHERE p_partkey < 50"""
+FROM {part} WHERE p_partkey % 6 <> 5"""
 
 _IPAGE = f"""
-SELECT CAST(ts AS DATE) AS date_partition,
+SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS date_partition,
   CASE WHEN event_id % 101 = 0 THEN NULL ELSE {_device_id('user_id')} END AS hash,
   ts AS ts_start, ts + INTERVAL '1' SECOND * CAST(floor(value) AS INT) AS ts_end,
   concat('City ', CAST((user_id + event_id) % 20 AS STRING)) AS city,
@@ -144,12 +144,19 @@ SELECT CASE WHEN event_id % 61 = 0 THEN NULL ELSE {_device_id('user_id')} END AS
   CASE event_id % 2 WHEN 0 THEN 'local' ELSE 'national' END AS local_or_national,
   CASE event_id % 3 WHEN 0 THEN 'Live' ELSE 'DVR' END AS session_type,
   CASE event_id % 4 WHEN 0 THEN 'HD TV' ELSE 'Smart App' END AS session_source
-FROM {{events}} WHERE event_type = 'view'"""
+FROM {{events}} WHERE event_type = 'TYPE'"""
+
+_ATTR_FBFS = _ATTR.replace("'TYPE'", "'click'").replace("'Grey''s '", "'Sunday '")
+_ATTR = _ATTR.replace("TYPE", "view")
 
 _POP = """
 SELECT n_name AS market, CAST(1000 + n_nationkey * 137 AS BIGINT) AS inscape_tv_population,
   CAST(5000 + n_nationkey * 911 AS BIGINT) AS ue_population FROM {nation}"""
 
+_POP_FBFS = """
+SELECT n_name AS market, CAST(900 + n_nationkey * 151 AS BIGINT) AS inscape_tv_population,
+  CAST(4000 + n_nationkey * 877 AS BIGINT) AS ue_population FROM {nation} WHERE n_nationkey % 8 <> 7"""
+
 _DENSE_BODY = """
 SELECT date_partition, hash, show_title, channel_affiliate,
   ts_start + INTERVAL '1' SECOND * CAST(KK * (200 + 200 * (floor_h % 3)) AS INT) AS ts_start,
@@ -180,11 +187,24 @@ SELECT CAST(c_custkey AS STRING) AS client_record_id,
   concat('10.0.', CAST(c_custkey % 200 AS STRING), '.', CAST(c_custkey % 3 AS STRING)) AS ip,
   c_mktsegment AS segment_hint,
   c_acctbal AS lifetime_value,
-  CASE WHEN c_custkey % 7 = 0 THEN {_device_id('c_custkey % 150')} END AS known_tv_id
+  CASE WHEN c_custkey % 7 = 0 THEN {_device_id('c_custkey % 150')} END AS known_tv_id,
+  CASE WHEN c_custkey % 6 = 1 THEN concat('AD-', CAST(c_custkey AS STRING)) END AS maid
+FROM {{customer}}
+UNION ALL
+SELECT concat('blank', CAST(n_nationkey AS STRING)), NULL, CASE WHEN n_nationkey % 2 = 0 THEN 'none' END, NULL,
+  NULL, NULL, NULL, NULL, NULL
+FROM {{nation}}"""
+
+# Device registrations: contact data of device owners, in the identity graph.
+_REGISTRATION = f"""
+SELECT {_device_id('c_custkey')} AS tv_id,
+  CASE WHEN c_custkey % 3 <> 0 THEN concat(replace(c_name, '#', '.'), '@example.com') END AS email,
+  CASE WHEN c_custkey % 5 < 2 THEN concat('1 555 ', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) END AS phone,
+  CASE WHEN c_custkey % 4 < 3 THEN concat('ad-', CAST(c_custkey AS STRING)) END AS maid
 FROM {{customer}}"""
 
 _AD_SPEND = """
-SELECT concat('CR', CAST(l_partkey % 60 AS STRING)) AS value,
+SELECT concat('CR', CAST(l_partkey AS STRING)) AS value,
   CAST(l_shipdate AS DATE) AS spend_date,
   l_extendedprice * (1 - l_discount) AS cost,
   CAST(l_quantity AS BIGINT) AS clicks,
@@ -202,13 +222,16 @@ FX_SPARK = {
     "fx_timezone": (_TIMEZONE, ("events",)),
     "fx_commercial": (_COMMERCIAL_SPARK, ("events", "part")),
     "fx_commercial_category": (_CATEGORY, ("part",)),
-    "fx_ipage": (_IPAGE, ("events",)),
-    "fx_experian": (_DEMO, ("customer",)),
+    "fx_device": (_IPAGE, ("events",)),
+    "fx_demographics": (_DEMO, ("customer",)),
     "fx_attr": (_ATTR, ("events",)),
+    "fx_attr_fbfs": (_ATTR_FBFS, ("events",)),
     "fx_pop": (_POP, ("nation",)),
+    "fx_pop_fbfs": (_POP_FBFS, ("nation",)),
     "fx_dense": (_DENSE_SPARK, ("fx_content",)),
     "fx_optout": (_OPTOUT, ("events",)),
-    "fx_first_party": (_FIRST_PARTY, ("customer",)),
+    "fx_first_party": (_FIRST_PARTY, ("customer", "nation")),
+    "fx_registration": (_REGISTRATION, ("customer",)),
     "fx_ad_spend": (_AD_SPEND, ("lineitem",)),
 }
 
@@ -222,7 +245,7 @@ def _duck(template: str) -> str:
 # DuckDB spelling (CTE bodies) for the oracle side.
 ORACLE_FX = {name: _duck(tpl) for name, (tpl, _) in FX_SPARK.items()}
 ORACLE_FX["fx_commercial"] = _duck(
-    _COMMERCIAL_BODY.replace("KK", "k.k").replace("SRC", "events e CROSS JOIN (VALUES (0), (1), (2)) AS k(k)"))
+    _COMMERCIAL_BODY.replace("KK", "k.k").replace("SRC", "(SELECT ev.*, (SELECT max(p_partkey) + 1 FROM part) AS n_parts FROM events ev) e CROSS JOIN (VALUES (0), (1), (2)) AS k(k)"))
 ORACLE_FX["fx_dense"] = _duck(
     _DENSE_BODY.replace("KK", "k.k").replace(
         "SRC", "(SELECT c.*, length(show_title) + minute(ts_start) AS floor_h FROM fx_content c "
@@ -230,14 +253,6 @@ ORACLE_FX["fx_dense"] = _duck(
 FX_DEPS = {name: deps for name, (_, deps) in FX_SPARK.items()}
 
 
-# Projections with real per-row work (string building, generators, joins)
-# whose fact input may be spread over the cores when it arrives as a single
-# split.  Aggregating projections (time-zone map, opt-out list) are not: their
-# partial aggregation already shrinks the data, so a spread would only add a
-# shuffle.
-ROW_HEAVY = {"fx_content", "fx_commercial", "fx_ipage", "fx_attr", "fx_first_party", "fx_ad_spend"}
-
-
 class Sources:
     """Raw feeds for one scale-factor directory, built lazily and memoised.
 
@@ -246,24 +261,17 @@ class Sources:
     once (Spark still re-reads parquet per action unless a caller persists).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, min_partitions: int | None = -1):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        if min_partitions == -1:  # default: one split per core at least
-            try:
-                min_partitions = spark.sparkContext.defaultParallelism
-            except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave scans as they are
-                min_partitions = None
-        self.tables = Tables(spark, sf_dir, min_partitions)
+        self.tables = Tables(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in FX_SPARK:
                 tpl, deps = FX_SPARK[name]
-                spread = name in ROW_HEAVY
-                args = {d: (self.tables.spread(d) if spread and d in self.tables.FACT else self[d]) for d in deps}
-                self._cache[name] = self.spark.sql(tpl, **args)
+                self._cache[name] = self.spark.sql(tpl, **{d: self[d] for d in deps})
             else:
                 self._cache[name] = self.tables[name]
         return self._cache[name]
@@ -271,15 +279,18 @@ class Sources:
     # readable aliases for the feeds (names of the shapes in FIXTURES.md §1)
     content = property(lambda self: self["fx_content"])
     commercial = property(lambda self: self["fx_commercial"])
-    device = property(lambda self: self["fx_ipage"])
+    device = property(lambda self: self["fx_device"])
     genre_map = property(lambda self: self["fx_genre"])
     tz_map = property(lambda self: self["fx_timezone"])
     category_map = property(lambda self: self["fx_commercial_category"])
-    demographics = property(lambda self: self["fx_experian"])
+    demographics = property(lambda self: self["fx_demographics"])
     impressions = property(lambda self: self["fx_attr"])
     population = property(lambda self: self["fx_pop"])
+    impressions_fbfs = property(lambda self: self["fx_attr_fbfs"])
+    population_fbfs = property(lambda self: self["fx_pop_fbfs"])
     optout = property(lambda self: self["fx_optout"])
     first_party = property(lambda self: self["fx_first_party"])
+    registrations = property(lambda self: self["fx_registration"])
     ad_spend = property(lambda self: self["fx_ad_spend"])
 
 
