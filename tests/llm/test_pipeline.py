@@ -2,7 +2,6 @@
 
 import corpus_pipeline
 from tests.llm import brute
-from viewgrid.llm import near_dedup
 from viewgrid.llm.tables import staged
 
 SF = "/root/testdata/sf0.001"
@@ -28,7 +27,6 @@ def test_stages(spark):
             assert after == {d for d, _ in before} - {d for d, _ in brute.contaminated(before, items)}
         elif name == "bpe":
             assert after == {d for d, _ in before} and all(len(r.ids) == r.n_tokens for r in rows)
-    assert near_dedup.SLOTS == near_dedup.BANDS * near_dedup.ROWS
 
 
 def test_run_and_registration(spark):

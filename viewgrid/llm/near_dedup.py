@@ -7,16 +7,16 @@ less noisy than independent hashes.  Ranks are dealt level by level, and a
 document stops as soon as no later rank can lower any slot.
 
 Candidates: documents of one shingle set are one text class, represented by the
-smallest doc_id.  A slot's value is kept as one byte, a band is ``ROWS`` slots,
-and a bucket is a band with equal bytes.  Texts with similarity 0.8 share no
-bucket with a probability of 6e-7.
+smallest doc_id.  ``DRAWS`` independent signatures are kept, a byte for each slot.
+A band is ``ROWS`` slots of the first one, and a bucket is a band with equal
+bytes.  Texts with similarity 0.8 share no bucket with a probability of 6e-7.
 
 Verification, on full shingle sets, in two rounds:
 1. Each class is compared with the smallest class of all its buckets.
 2. Buckets that still hold several components are searched whole: pairs from
-   different components whose signatures agree in ``LEAST_AGREE`` of the slots
-   (a true link agrees less with a probability below 4e-5) are compared, each pair in the first
-   band it shares.  A large bucket is dealt out as pairs of blocks, so it has no
+   different components whose signatures agree in ``LEAST_AGREE`` of all slots
+   (a link of similarity 0.8 agrees less with a probability of 5e-5, a closer one
+   hardly ever) are compared, each pair in the first band it shares.  A large bucket is dealt out as pairs of blocks, so it has no
    limit and no single task.
 Links found are joined to components; pairs inside a component are never made.
 
@@ -39,10 +39,12 @@ from viewgrid.llm import textscan as ts
 from viewgrid.llm.components import components
 from viewgrid.llm.tables import id_and_text, staged, with_ids
 
-SLOTS = 180
+SLOTS = 250
+DRAWS = 2
+WIDTH = SLOTS * DRAWS
 ROWS = 5
-BANDS = SLOTS // ROWS
-LEAST_AGREE = 0.68
+BANDS = 36
+LEAST_AGREE = 0.73
 BLOCK = 2048  # texts of a bucket compared with as many others in one task
 _NONE = np.iinfo(np.uint64).max
 _ONE = ts.U(1) << ts.U(32)
@@ -92,8 +94,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 flat, at = ts.shingle_sets(buf, offs, shingle)
                 sums = [np.concatenate([np.zeros(1, ts.U), np.cumsum(ts.mix(flat ^ ts.U(k)), dtype=ts.U)]) for k in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
                 one, two = (np.diff(s[at]) for s in sums)
-                sig = super_minhash(flat, at)
-                low = ts.mix(sig).astype(np.uint8)
+                low = np.hstack([ts.mix(super_minhash(ts.mix(flat + ts.U(k)), at)).astype(np.uint8) for k in range(DRAWS)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array(np.diff(at)), pa.array(ts.signed(one)), pa.array(ts.signed(two)),
@@ -106,12 +107,12 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _sig_matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), SLOTS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDTH)
 
 
 def _band_keys(sig: np.ndarray) -> np.ndarray:
     """band << 40 | its five bytes, for every row and band."""
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.int64)
+    parts = sig[:, : BANDS * ROWS].reshape(len(sig), BANDS, ROWS).astype(np.int64)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.int64) << 40, (len(sig), BANDS)).copy()
     for k in range(ROWS):
         key |= parts[:, :, k] << (8 * k)
@@ -164,7 +165,7 @@ def _search(least: int):
         j = i if own else np.flatnonzero(~left)
         if not len(i) or not len(j):
             return
-        keys = sig.reshape(len(doc), BANDS, ROWS)
+        keys = sig[:, : BANDS * ROWS].reshape(len(doc), BANDS, ROWS)
         for p in i.tolist():
             q = j[j > p] if own else j
             q = q[comp[q] != comp[p]]
@@ -210,7 +211,7 @@ def _remaining(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFra
     now = now.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
     rows = now.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "component", "sig")
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return rows.mapInArrow(_search(int(np.ceil(LEAST_AGREE * SLOTS))), "u long, v long").distinct()
+    return rows.mapInArrow(_search(int(np.ceil(LEAST_AGREE * WIDTH))), "u long, v long").distinct()
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
