@@ -84,15 +84,16 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 
 
 def described(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with the declared comments of model ``name``; the model's own comment is kept on its first column."""
+    """``df`` with the declared comments of model ``name``; the model's own comment is kept on its first column
+    that is never a partition (a partition's metadata isn't stored)."""
     df = with_comments(df, COLUMN_COMMENTS)
-    first = df.columns[0]
+    first = next(c for c in df.columns if c != "PARTITION_DATE")
     return df.withMetadata(first, {**df.schema[first].metadata, "table_comment": MODEL_COMMENTS.get(name, name)})
 
 
 def table_comment(df: DataFrame) -> str | None:
     """The model comment of a table written by ``write_model``."""
-    return df.schema[0].metadata.get("table_comment") or next((f.metadata["table_comment"] for f in df.schema if "table_comment" in f.metadata), None)
+    return next((f.metadata["table_comment"] for f in df.schema if "table_comment" in f.metadata), None)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), cluster_by=(),
