@@ -3,10 +3,13 @@ from the same declarative check list, spelled in SQL."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from viewgrid.operators import quality
 from viewgrid.operators.quality import DECLARED_CHECKS, Check
+from viewgrid.plans.project import MODEL_DEPS
 from viewgrid.registry.base import project, register
 from viewgrid.session import scratch_path
 
@@ -42,6 +45,20 @@ def _sql_report(checks: list[Check]) -> str:
             f"AS status FROM ({body})")
 
 
+def _read_again(checks: list[Check]) -> list[str]:
+    """Models that the checks read more than once: by several passes over a checked table, or as the upstream of several."""
+    uses: Counter = Counter()
+    for t in {c.table for c in checks}:
+        own = [c for c in checks if c.table == t]
+        passes = len({(c.columns, c.kind) for c in own if c.kind not in quality.ROW_KINDS}) + any(c.kind in quality.ROW_KINDS for c in own)
+        todo = [t]
+        while todo:
+            m = todo.pop()
+            uses[m] += passes if m == t else 1
+            todo += MODEL_DEPS[m]
+    return [m for m, n in uses.items() if n > 1]
+
+
 def _register_dq(name: str, pred):
     checks = [c for c in DECLARED_CHECKS if pred(c)]
     tables = sorted({c.table for c in checks})
@@ -49,7 +66,7 @@ def _register_dq(name: str, pred):
     @register(name, _sql_report(checks), tuple(tables))
     def q(spark, sf):
         p = project(spark, sf)
-        p.materialize(tables, scratch_path(spark, "dq_build"))
+        p.materialize(_read_again(checks), scratch_path(spark, "dq_build"))  # the rest is checked in one pass, unwritten
         return quality.report({t: p.ref(t) for t in tables}, checks)
     return q
 
