@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from viewgrid.functions import text
 from viewgrid.plans import analytics as A
-from viewgrid.registry.base import cte, project, register
+from viewgrid.registry.base import cte, project, register, written
 from viewgrid.sources.fixtures import Sources
 
 
@@ -191,14 +191,14 @@ SELECT TITLE, count(DISTINCT AKKIO_ID) AS viewers,
   round({_pct("count(DISTINCT CASE WHEN continued THEN AKKIO_ID END)", "count(DISTINCT AKKIO_ID)")}, 2) AS retention_pct
 FROM transitions GROUP BY TITLE""", ("transitions",))
 def m_retention(spark, sf):
-    return A.retention(project(spark, sf).ref("content_detail"))
+    return A.retention(written(spark, sf, "content_detail").ref("content_detail"))
 
 
 @register("m_lead_in", """
 SELECT TITLE AS lead_in_title, next_TITLE AS following_title, count(DISTINCT AKKIO_ID) AS lead_in_viewers,
   count(*) AS transitions FROM transitions WHERE continued GROUP BY ALL""", ("transitions",))
 def m_lead_in(spark, sf):
-    return A.lead_in(project(spark, sf).ref("content_detail"))
+    return A.lead_in(written(spark, sf, "content_detail").ref("content_detail"))
 
 
 @register("m_cross_network", f"""
@@ -393,7 +393,7 @@ def s_connected_sessions(spark, sf):
                                      "AD_MATCH_END_TIME_UTC", 60, "AD_LENGTH", ", count(DISTINCT BRAND_NAME) AS brands"),
           ("commercial_detail",))
 def s_ad_break(spark, sf):
-    return A.ad_breaks(project(spark, sf).ref("commercial_detail"))
+    return A.ad_breaks(written(spark, sf, "commercial_detail").ref("commercial_detail"))
 
 
 @register("q_ad_context", """

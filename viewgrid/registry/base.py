@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from viewgrid.plans.project import Project
+from viewgrid.session import scratch_path
 from viewgrid.sources.fixtures import FX_DEPS, ORACLE_FX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +75,10 @@ AS_OF = dt.date(2024, 1, 31)
 
 def project(spark: SparkSession, sf_dir: str) -> Project:
     return Project(spark, sf_dir, as_of=AS_OF)
+
+
+def written(spark: SparkSession, sf_dir: str, *names: str) -> Project:
+    """A project whose models ``names`` are written once and read back: for queries that read one several times."""
+    p = project(spark, sf_dir)
+    p.materialize(names, scratch_path(spark, "read-again"))
+    return p

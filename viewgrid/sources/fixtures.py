@@ -112,7 +112,7 @@ SELECT concat('CR', CAST(p_partkey AS STRING)) AS value,
 FROM {part} WHERE p_partkey % 6 <> 5"""
 
 _IPAGE = f"""
-SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS date_partition,
+SELECT CAST(ts AS DATE) AS date_partition,
   CASE WHEN event_id % 101 = 0 THEN NULL ELSE {_device_id('user_id')} END AS hash,
   ts AS ts_start, ts + INTERVAL '1' SECOND * CAST(floor(value) AS INT) AS ts_end,
   concat('City ', CAST((user_id + event_id) % 20 AS STRING)) AS city,
@@ -122,6 +122,12 @@ SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS date_
 FROM {{events}}"""
 
 
+# The device feed with rows that lack a date (a window over a NULL key keeps them).
+_DEVICE_UNDATED = """
+SELECT CASE WHEN minute(ts_start) % 20 = 7 THEN NULL ELSE date_partition END AS date_partition, hash, ts_start, ts_end
+FROM {fx_device}"""
+
+
 def _demo_select() -> str:
     cols = []
     for i, name in enumerate(DEMO_COLUMNS):
@@ -223,6 +229,7 @@ FX_SPARK = {
     "fx_commercial": (_COMMERCIAL_SPARK, ("events", "part")),
     "fx_commercial_category": (_CATEGORY, ("part",)),
     "fx_device": (_IPAGE, ("events",)),
+    "fx_device_undated": (_DEVICE_UNDATED, ("fx_device",)),
     "fx_demographics": (_DEMO, ("customer",)),
     "fx_attr": (_ATTR, ("events",)),
     "fx_attr_fbfs": (_ATTR_FBFS, ("events",)),
@@ -239,7 +246,7 @@ FX_SPARK = {
 def _duck(template: str) -> str:
     return (template.replace("{events}", "events").replace("{part}", "part")
             .replace("{customer}", "customer").replace("{nation}", "nation")
-            .replace("{lineitem}", "lineitem").replace("{fx_content}", "fx_content"))
+            .replace("{lineitem}", "lineitem").replace("{fx_content}", "fx_content").replace("{fx_device}", "fx_device"))
 
 
 # DuckDB spelling (CTE bodies) for the oracle side.
