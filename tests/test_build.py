@@ -182,8 +182,8 @@ def test_identity_rules_in_order(spark):
          ("5", None, None, None, "9", None), ("6", None, None, None, None, None)],
         "client_record_id string, email string, phone string, maid string, ip string, known_tv_id string")
     reg = spark.createDataFrame([("tv1", "x@y.io", None, None), ("tv2", None, "12", None), ("tv3", None, None, "m")], "tv_id string, email string, phone string, maid string")
-    ips = spark.createDataFrame([("9", "tv4")], "key string, tv_id string")
-    got = {r.client_record_id: (r.tv_id, r.match_method) for r in AU.id_match(fp, {**AU.contact_graph(reg), "ip": ips}).collect()}
+    ips = spark.createDataFrame([("ip", "9", "tv4")], "method string, key string, tv_id string")
+    got = {r.client_record_id: (r.tv_id, r.match_method) for r in AU.id_match(fp, AU.contact_graph(reg).unionByName(ips)).collect()}
     assert got == {"1": ("tv9", "known_id"), "2": ("tv1", "email"), "3": ("tv2", "phone"), "4": ("tv3", "maid"), "5": ("tv4", "ip"), "6": (None, "unmatched")}
 
 

@@ -107,11 +107,20 @@ def person_key(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ identity graph
-def contact_graph(registrations: DataFrame) -> dict[str, DataFrame]:
-    """Identity tables (key, tv_id) of device registrations (tv_id, email, phone, maid); keys are hashed PII."""
-    keys = {"email": sha256(norm_email("email")), "phone": sha256(norm_phone("phone")), "maid": sha256(F.lower(F.trim(F.col("maid"))))}
-    return {k: registrations.select(c.alias("key"), "tv_id").where("key is not null").groupBy("key").agg(F.min("tv_id").alias("tv_id"))
-            for k, c in keys.items()}
+def _keys(df_cols: dict[str, Column]) -> Column:
+    """The (method, key) pairs of a row that have a key."""
+    pairs = [F.when(k.isNotNull(), F.struct(F.lit(m).alias("method"), k.alias("key"))) for m, k in df_cols.items()]
+    return F.array_compact(F.array(*pairs))
+
+
+def _contact_keys() -> dict[str, Column]:
+    return {"email": sha256(norm_email("email")), "phone": sha256(norm_phone("phone")), "maid": sha256(F.lower(F.trim(F.col("maid"))))}
+
+
+def contact_graph(registrations: DataFrame) -> DataFrame:
+    """(method, key, tv_id) of device registrations (tv_id, email, phone, maid); keys are hashed PII."""
+    rows = registrations.select("tv_id", F.inline(_keys(_contact_keys())))
+    return rows.groupBy("method", "key").agg(F.min("tv_id").alias("tv_id"))
 
 
 def ip_graph(ads: DataFrame) -> DataFrame:
@@ -122,35 +131,28 @@ def ip_graph(ads: DataFrame) -> DataFrame:
     """
     per = (ads.filter(F.col("hash").isNotNull() & F.col("ip").isNotNull())
            .groupBy("ip", "hash").agg(F.count(F.lit(1)).alias("n")))
-    return per.groupBy(F.col("ip").alias("key")).agg(F.min_by("hash", F.struct(-F.col("n"), F.col("hash"))).alias("tv_id"),
-                                                     F.max("n").alias("ip_observations"))
+    best = F.min_by("hash", F.struct(-F.col("n"), F.col("hash"))).alias("tv_id")
+    return per.groupBy(F.lit("ip").alias("method"), F.col("ip").alias("key")).agg(best)
 
 
-def id_match(first_party: DataFrame, graph: dict[str, DataFrame]) -> DataFrame:
+def id_match(first_party: DataFrame, graph: DataFrame) -> DataFrame:
     """Waterfall: known id > e-mail > phone > mobile ad id > IP; one row per client record.
 
-    ``graph`` maps a rule to its identity table (key, tv_id).
-
-    Candidates from each rule are unioned and the best per record chosen by
+    A record is spread over the keys it has, which are joined with ``graph``
+    (method, key, tv_id) at once; the best match per record is chosen by
     ``min_by`` (priority, tv_id) -- a hash aggregate, not a window.  Records
     with no candidate are kept with ``match_method = 'unmatched'``.
     """
-    keys = {"email": sha256(norm_email("email")), "phone": sha256(norm_phone("phone")),
-            "maid": sha256(F.lower(F.trim(F.col("maid")))), "ip": F.col("ip")}
-    cands = first_party.filter(F.col("known_tv_id").isNotNull()).select(
-        "client_record_id", F.col("known_tv_id").alias("tv_id"), F.lit("known_id").alias("match_method"))
-    for method, table in graph.items():
-        found = first_party.select("client_record_id", keys[method].alias("key")).join(table.select("key", "tv_id"), "key")
-        cands = cands.unionByName(found.select("client_record_id", "tv_id", F.lit(method).alias("match_method")))
+    keys = _keys({"known_id": F.col("known_tv_id"), **_contact_keys(), "ip": F.col("ip")})
+    rows = first_party.select("client_record_id", F.inline_outer(keys)).join(graph, ["method", "key"], "left")
     prio = F.create_map(*[x for k, v in MATCH_PRIORITY.items() for x in (F.lit(k), F.lit(v))])
-    cands = cands.withColumn("match_priority", prio[F.col("match_method")])
-    best = cands.groupBy("client_record_id").agg(
-        F.min_by(F.struct("tv_id", "match_method", "match_priority"),
-                 F.struct("match_priority", "tv_id")).alias("b"))
-    out = first_party.select("client_record_id").join(best, "client_record_id", "left")
-    return out.select("client_record_id", F.col("b.tv_id").alias("tv_id"),
-                      F.coalesce(F.col("b.match_method"), F.lit("unmatched")).alias("match_method"),
-                      F.col("b.match_priority").alias("match_priority"))
+    rows = rows.withColumns({"tv_id": F.when(F.col("method") == "known_id", F.col("key")).otherwise(F.col("tv_id")),
+                             "match_priority": prio[F.col("method")]})
+    hit = F.when(F.col("tv_id").isNotNull(), F.struct("match_priority", "tv_id", "method"))
+    best = rows.groupBy("client_record_id").agg(F.min(hit).alias("b"))
+    return best.select("client_record_id", F.col("b.tv_id").alias("tv_id"),
+                       F.coalesce(F.col("b.method"), F.lit("unmatched")).alias("match_method"),
+                       F.col("b.match_priority").alias("match_priority"))
 
 
 def match_rate(matches: DataFrame) -> DataFrame:

@@ -63,7 +63,8 @@ SALTS = {p: f"test secret {k}" for k, p in enumerate(AU.PARTNERS, 1)}
 
 
 def _matches(p):
-    return AU.id_match(p.src.first_party, {**AU.contact_graph(p.src.registrations), "ip": AU.ip_graph(p.src.commercial)})
+    graph = AU.contact_graph(p.src.registrations).unionByName(AU.ip_graph(p.src.commercial))
+    return AU.id_match(p.src.first_party, graph)
 
 
 def _segments(p):
