@@ -134,8 +134,9 @@ def blocks(items: DataFrame) -> Iterator[Index]:
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(-(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
     for k in range(parts):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).toPandas().sort_values(["item_id", "text"])
-        yield Index([None if x != x else int(x) for x in part["item_id"].tolist()], part["text"].tolist())
+        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # bounded by the block
+        part.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.text))
+        yield Index([r.item_id for r in part], [r.text for r in part])
 
 
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
