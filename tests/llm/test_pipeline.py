@@ -26,7 +26,7 @@ def test_stages(spark):
         elif name == "decontamination":
             assert after == {d for d, _ in before} - {d for d, _ in brute.contaminated(before, items)}
         elif name == "bpe":
-            assert after == {d for d, _ in before} and all(len(r.ids) == r.n_tokens for r in rows)
+            assert after == {d for d, _ in before} and all(len(r.ids) == 4 * r.n_tokens for r in rows)
 
 
 def test_run_and_registration(spark):

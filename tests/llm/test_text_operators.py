@@ -104,13 +104,15 @@ def test_a_full_piece_memory_starts_again(library):
 
 
 def test_chunk_bpe(spark, library, mixed):
-    got = collected(chunk_bpe.digest(frame(spark, mixed), PATH), "n_tokens", "ids_sha256", "decoded_sha256")
+    out = chunk_bpe.digest(frame(spark, mixed), PATH, with_ids=True)
+    got = collected(out, "n_tokens", "ids_sha256", "decoded_sha256")
+    packed = collected(out, "ids")
     back = collected(chunk_bpe.decoded(frame(spark, mixed), PATH), "text")
     for d, t in mixed:
         ids = library.encode(t or "", add_special_tokens=False).ids
         text = library.decode(ids, skip_special_tokens=False)
         sha = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), text)]
-        assert got[d] == (len(ids), *sha)
+        assert got[d] == (len(ids), *sha) and bytes(packed[d][0]) == np.array(ids, "<u4").tobytes()
         assert back[d] == (text,) == (t or "",)
 
 

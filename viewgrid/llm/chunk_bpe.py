@@ -3,7 +3,7 @@
 A rolling hash over the last ``WINDOW`` bytes cuts texts at places that depend on
 the content alone, so that passages shared by documents fall into the same
 chunks wherever they stand.  A chunk is encoded once and its ids are reused for
-every later document of the worker (bounded by ``MOST_IDS``, emptied beyond).
+every later document of the task (bounded by ``MOST_IDS``, emptied beyond).
 Ids next to such a cut may differ from those of the whole text; the join is
 repaired by encoding anew from the last place before the cut to the first one
 after it where the encodings of both sides surely agree (safe cuts of
@@ -27,9 +27,10 @@ from viewgrid.llm import textscan as ts
 from viewgrid.llm.pieces import PieceEncoder, SpanMemory, encoder, gather, safe_cuts
 
 WINDOW = 16
+CHUNK_BYTES = 1 << 19  # of text worked on at once; spelling its ids takes some 50 times as much memory
 MEAN_CHUNK = 512  # bytes; a power of two
-MOST_IDS = 8_000_000
-MOST_CHUNKS = 400_000
+MOST_IDS = 2_000_000
+MOST_CHUNKS = 100_000
 
 
 def rolling_cuts(buf: np.ndarray) -> np.ndarray:
@@ -104,10 +105,11 @@ def _each(docs: DataFrame, tokenizer: str, fields: str, row) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)
         for batch in batches:
-            for a, b, buf, offs in ts.text_chunks(batch.column(1)):
+            for a, b, buf, offs in ts.text_chunks(batch.column(1), CHUNK_BYTES):
                 ids, sizes = own.encode(buf, offs)
                 columns = row(own, ids.astype(np.int64), sizes)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns.values()], ["doc_id", *columns])
+        own.memory.clear()  # idle workers hold memory that other tasks need
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id long, {fields}")
@@ -120,7 +122,7 @@ def _sha256(parts: list[bytes]) -> pa.Array:
 def digest(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of every document.
 
-    ``with_ids`` adds the ids themselves (array of int).
+    ``with_ids`` adds the ids themselves, as little-endian unsigned 32-bit integers in a binary column.
     """
 
     def row(own: ChunkCoder, ids: np.ndarray, sizes: np.ndarray) -> dict[str, pa.Array]:
@@ -133,11 +135,11 @@ def digest(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
             "decoded_sha256": _sha256([t.encode("utf-8") for t in texts]),
         }
         if with_ids:
-            offs = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            out["ids"] = pa.ListArray.from_arrays(offs, pa.array(ids, pa.int32()))
+            packed, cut = ids.astype("<u4"), np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            out["ids"] = pa.array([packed[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
         return out
 
-    return _each(docs, tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, row)
+    return _each(docs, tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids, row)
 
 
 def decoded(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 
 from viewgrid.llm import textscan as ts
 
-MOST_PIECES = 1_500_000
+MOST_PIECES = 600_000
 #: Fixed value: the pre-token pattern of the byte-level tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -37,7 +37,7 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 #: Texts of these characters have the same pre-tokens under any Unicode version.
 _COMMON = regex.compile(r"[ \n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
-MOST_TOKENS = 150_000
+MOST_TOKENS = 50_000
 
 
 def byte_alphabet() -> list[str]:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20  # bytes of text worked on at once (one longer document still goes whole)
+CHUNK_BYTES = 1 << 20  # bytes of text worked on at once (one longer document still goes whole)
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_2 = 0xD1342543DE82EF95 | 1
@@ -59,12 +59,14 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     """(first row, end row, bytes, offsets) for runs of rows of about ``limit`` bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    if column.null_count:
+        column = column.fill_null("")
     n = len(column)
     if not n:
         return
+    wide = pa.types.is_large_string(column.type)
     _, offs, data = column.buffers()
-    offs = np.frombuffer(offs, dtype=np.int64)[column.offset : column.offset + n + 1]
+    offs = np.frombuffer(offs, dtype=np.int64 if wide else np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
     at = 0
     while at < n:
