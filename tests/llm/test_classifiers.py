@@ -82,6 +82,30 @@ def test_ftrl_finds_the_words_that_matter():
     assert all(weight[k] > 1 for k in range(10)) and len(weight) < 500  # of some 5000
 
 
+@pytest.mark.parametrize("markers", [1, 3])
+def test_ftrl_finds_markers_of_a_third_of_all_documents(markers):
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for k in range(900):
+        x = rng.choice(5000, 60, replace=False) + 100
+        bad = k % 3 == 0
+        rows.append(np.unique(np.append(x, k // 3 % markers) if bad else x))
+        labels.append(float(bad))
+    model = toxicity.ftrl(rows, np.array(labels))
+    weight = dict(zip(model.index.tolist(), model.weight.tolist()))
+    assert all(weight.get(k, 0) > 1 for k in range(markers))
+
+
+def test_held_out_when_a_third_of_the_sample_is_toxic(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = fold("doc_id", 3) == 1
+    sample = labels.where(~held & ((F.col("toxic") == 1) | (F.pmod(F.xxhash64("doc_id"), F.lit(100)) < 26)))
+    assert 0.3 < sample.agg(F.avg("toxic")).first()[0] < 0.4
+    model = toxicity.fit(docs, sample, F.lit(True))
+    out = toxicity.scored(docs, model).where(held).join(labels, "doc_id").select("score", "toxic").toPandas()
+    assert auc(out.score.to_numpy(), out.toxic.to_numpy()) > 0.97
+
+
 def test_pooling_matches_a_plain_loop():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(quality_model.BUCKETS, quality_model.DIMS)).astype(np.float32)
