@@ -1,9 +1,13 @@
 """Audience work without SQL oracles: look-alike and approximate reach."""
 
+import random
+
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from viewgrid.plans.audience import exact_quantile
 
 
 def test_lookalike_deterministic_and_excludes_seed(spark):
@@ -15,6 +19,23 @@ def test_lookalike_deterministic_and_excludes_seed(spark):
     assert a.join(seg, "AKKIO_ID").count() == 0
 
 
+def test_exact_quantile_is_the_one_of_spark(spark):
+    r = random.Random(4)
+    near = [0.3 + k * 2.0**-54 for k in range(300)]
+    for values in ([r.random() for _ in range(700)], [0.25] * 50 + [0.5] * 50, near + [1e-300, 0.9], [r.choice([0.1, 0.2, 0.7]) for _ in range(99)] + [None, float("nan")], [0.4]):
+        df = spark.createDataFrame([(v,) for v in values], "score double")
+        for share in (0.0, 0.1, 0.5, 0.9, 0.999, 1.0):
+            assert exact_quantile(df, "score", share) == df.approxQuantile("score", [share], 0.0)[0]
+    assert exact_quantile(spark.createDataFrame([], "score double"), "score", 0.9) is None
+
+
+def test_lookalike_brings_no_score_per_device_to_the_driver(spark, monkeypatch):
+    errors, plain = [], DataFrame.approxQuantile
+    monkeypatch.setattr(DataFrame, "approxQuantile", lambda self, col, shares, error: errors.append(error) or plain(self, col, shares, error))
+    assert E.queries()["dmp_lookalike"](spark, SF_SMALL).count() > 0
+    assert 0 not in errors  # with error 0 the summary on the driver holds every row
+
+
 def test_approx_reach_close_to_exact(spark):
     approx = {r[0]: r[1] for r in E.queries()["m_approx_reach"](spark, SF_SMALL).collect()}
     exact = {r[0]: r[1] for r in E.queries()["m_reach_brand"](spark, SF_SMALL).select("BRAND_NAME", "reach").collect()}

@@ -9,6 +9,7 @@ plus one hash aggregate per record (no per-record Python).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -271,18 +272,50 @@ def usage_report(seg: DataFrame, optout: DataFrame, partners, exposures: DataFra
 
 
 # ------------------------------------------------------------ look-alike
+RANGES = 1024  # score ranges counted in one pass of exact_quantile
+
+
+def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The value of rank ceil(share * n) of a double column; None without values.
+
+    The same value as approxQuantile with error 0, whose summary on the driver
+    holds every row.  Each pass here counts the rows of ``RANGES`` equal ranges and
+    goes on with the range that holds the rank, so a row per range reaches the
+    driver.  The least and the greatest value fall into different ranges, so every
+    pass narrows the search until one value is left.
+    """
+    v = F.col(column)
+    values = df.select(v.cast("double").alias(column)).where(v.isNotNull() & ~F.isnan(v))
+    n, low, high = values.agg(F.count(F.lit(1)), F.min(v), F.max(v)).first()
+    if not n:
+        return None
+    rank = min(max(math.ceil(share * n), 1), n)
+    while low < high:
+        place = F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(float(RANGES)))
+        inside = values.where((v >= F.lit(low)) & (v <= F.lit(high)))
+        counts = inside.groupBy(F.least(place, F.lit(RANGES - 1)).alias("place")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"))
+        for r in sorted(counts.collect(), key=lambda r: r["place"]):  # at most RANGES rows
+            if rank <= r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            rank -= r["n"]
+    return low
+
+
 def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, optout: DataFrame | None = None,
               top_fraction: float = 0.1, quantile_error: float = 0.0) -> DataFrame:
     """Score every device by similarity to a seed audience; keep the top share.
 
     ``quantile_error`` is the rank error allowed for the cut-off (0: exact).
     Devices in ``optout`` are left out of the result.  The joined base is
-    written to the shared folder once, as every stage of the fit reads it.
+    written to the shared folder once, as every stage of the fit reads it, and so
+    are the scores, which every pass for the cut-off reads.
 
     Spark ML pipeline (one-hot demographics + viewing volume -> logistic
     regression, label = in seed).  The cut-off is one quantile
-    of the score (a single number on the driver); scoring and filtering stay
-    distributed.
+    of the score (``exact_quantile``: a bounded number of counts on the driver);
+    scoring and filtering stay distributed.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
@@ -308,8 +341,14 @@ def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, optou
     stages.append(LogisticRegression(maxIter=20, regParam=0.01, standardization=True))
     model = Pipeline(stages=stages).fit(base)
     scored = model.transform(base).withColumn("score", vector_to_array("probability")[1])
-    cut = scored.filter(F.col("label") == 0).approxQuantile("score", [1 - top_fraction], quantile_error)
-    threshold = cut[0] if cut else 1.0
-    found = (scored.filter((F.col("label") == 0) & (F.col("score") >= threshold))
-             .select("AKKIO_ID", F.round("score", 6).alias("score")))
+    scored = scored.filter(F.col("label") == 0).select("AKKIO_ID", "score")
+    path = scratch_path(base.sparkSession, "lookalike-scores")
+    scored.write.parquet(path)
+    scored = base.sparkSession.read.schema(scored.schema).parquet(path)
+    if quantile_error:
+        cut = next(iter(scored.approxQuantile("score", [1 - top_fraction], quantile_error)), None)
+    else:
+        cut = exact_quantile(scored, "score", 1 - top_fraction)
+    threshold = 1.0 if cut is None else cut
+    found = scored.filter(F.col("score") >= threshold).select("AKKIO_ID", F.round("score", 6).alias("score"))
     return found if optout is None else suppress_optouts(found, optout)
