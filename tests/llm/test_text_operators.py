@@ -1,6 +1,7 @@
 """Operators that scan texts, held against plain versions (brute.py) and the tokenizers library."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -200,6 +201,28 @@ def test_near_dedup_searches_whole_buckets(spark):
     assert collected(near_dedup.groups(frame(spark, rows), shingle=4), "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def test_near_dedup_bounds_follow_the_similarity():
+    for percent in (10, 30, 50, 60, 70, 80, 90, 95):
+        s, b = percent / 100, near_dedup.bounds(percent)
+        assert b.rows * b.bands <= near_dedup.SLOTS and (1 - s**b.rows) ** b.bands <= near_dedup.MISS
+        below = sum(math.comb(near_dedup.WIDTH, k) * s**k * (1 - s) ** (near_dedup.WIDTH - k) for k in range(b.agree))
+        assert below <= near_dedup.MISS and b.agree > 0
+    assert near_dedup.bounds(80)[:2] == (5, 36)
+    with pytest.raises(ValueError):
+        near_dedup.bounds(1)
+
+
+def test_near_dedup_finds_links_of_lower_similarity(spark):
+    """In round 2: of two clusters that share buckets only pairs at 60 to 66 % link them."""
+    rows = []
+    for k in range(40):  # words in a chain: neighbours share some 62 % of the shingles, others far less
+        words = prose(100 + k // 4, 400, 10_000)
+        rows.append((k, " ".join(words[k % 4 * 35 : k % 4 * 35 + 150])))
+    want = brute.near(rows, percent=60)
+    assert len({c for _, c, _ in want.values()}) == 10
+    assert collected(near_dedup.groups(frame(spark, rows), shingle=4, percent=60), "n_shingles", "component_id", "kept") == want
+
+
 def test_near_dedup_repeated_and_unnamed_rows(spark):
     a, b = " ".join(prose(1, 50)), " ".join(prose(2, 50))
     rows = frame(spark, [(4, a), (4, a), (2, a), (None, a), (7, b), (8, None)])

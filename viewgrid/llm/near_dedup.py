@@ -8,15 +8,16 @@ document stops as soon as no later rank can lower any slot.
 
 Candidates: documents of one shingle set are one text class, represented by the
 smallest doc_id.  ``DRAWS`` independent signatures are kept, a byte for each slot.
-A band is ``ROWS`` slots of the first one, and a bucket is a band with equal
-bytes.  Texts with similarity 0.8 share no bucket with a probability of 6e-7.
+A band is a few slots of the first one, and a bucket is a band with equal
+bytes.  ``bounds`` derives the bands from the similarity that makes a link: texts of
+just that similarity share no bucket with a probability of at most ``MISS``.
 
 Verification, on full shingle sets, in two rounds:
 1. Each class is compared with the smallest class of all its buckets.
 2. Buckets that still hold several components are searched whole: pairs from
-   different components whose signatures agree in ``LEAST_AGREE`` of all slots
-   (a link of similarity 0.8 agrees less with a probability of 5e-5, a closer one
-   hardly ever) are compared, each pair in the first band it shares.  A large bucket is dealt out as pairs of blocks, so it has no
+   different components whose signatures agree in enough slots (``bounds``: a link
+   agrees less with a probability of at most ``MISS``) are compared, each pair in the
+   first band it shares.  A large bucket is dealt out as pairs of blocks, so it has no
    limit and no single task.
 Links found are joined to components; pairs inside a component are never made.
 
@@ -28,7 +29,9 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +45,39 @@ from viewgrid.llm.tables import id_and_text, staged, with_ids
 SLOTS = 250
 DRAWS = 2
 WIDTH = SLOTS * DRAWS
-ROWS = 5
-BANDS = 36
-LEAST_AGREE = 0.73
+MOST_ROWS = 5  # slots of a band; the bytes of more don't fit its key
+MISS = 6.5e-7  # probability that a link of the least similarity is missed, by the bands and again by the agreement bound
 BLOCK = 2048  # texts of a bucket compared with as many others in one task
 _NONE = np.iinfo(np.uint64).max
 _ONE = ts.U(1) << ts.U(32)
 
 
+class Bounds(NamedTuple):
+    rows: int  # slots of a band
+    bands: int
+    agree: int  # slots of all WIDTH that agree at least
+
+
+def bounds(percent: int) -> Bounds:
+    """Bands and agreement bound for links of a similarity of ``percent`` or more."""
+    s = percent / 100
+    if s >= 1:
+        return Bounds(MOST_ROWS, 1, WIDTH)
+    for rows in range(MOST_ROWS, 0, -1):  # the more rows, the fewer pairs that are no links
+        bands = math.ceil(math.log(MISS) / math.log1p(-(s**rows))) if s > 0 else SLOTS + 1
+        if bands * rows <= SLOTS:
+            break
+    else:
+        raise ValueError(f"{SLOTS} slots are too few to find links of a similarity of {percent} %")
+    missed, agree = 0.0, 0  # the largest bound below which a binomial(WIDTH, s) lies with a probability of MISS at most
+    while agree < WIDTH:
+        missed += math.comb(WIDTH, agree) * s**agree * (1 - s) ** (WIDTH - agree)
+        if missed > MISS:
+            break
+        agree += 1
+    return Bounds(rows, bands, agree)
+
+
 def super_minhash(elements: np.ndarray, offs: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     """A row of ``slots`` values for each set: elements[offs[i]:offs[i + 1]].  Values are rank << 32 | fraction."""
     n = len(offs) - 1
@@ -110,21 +138,26 @@ def _sig_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDTH)
 
 
-def _band_keys(sig: np.ndarray) -> np.ndarray:
-    """band << 40 | its five bytes, for every row and band."""
-    parts = sig[:, : BANDS * ROWS].reshape(len(sig), BANDS, ROWS).astype(np.int64)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.int64) << 40, (len(sig), BANDS)).copy()
-    for k in range(ROWS):
+def _band_keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """band << 40 | its bytes (five at most), for every row and band."""
+    parts = sig[:, : bands * rows].reshape(len(sig), bands, rows).astype(np.int64)
+    key = np.broadcast_to(np.arange(bands, dtype=np.int64) << 40, (len(sig), bands)).copy()
+    for k in range(rows):
         key |= parts[:, :, k] << (8 * k)
     return key
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            key = _band_keys(_sig_matrix(batch.column(1)))
-            doc = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(doc)], ["key", "doc_id"])
+def _bands(rows: int, bands: int):
+    """key and doc_id of every band of rows (doc_id, sig)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = _band_keys(_sig_matrix(batch.column(1)), rows, bands)
+                doc = np.repeat(batch.column(0).to_numpy(), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(doc)], ["key", "doc_id"])
+
+    return run
 
 
 def _verify(shingle: int, percent: int):
@@ -156,7 +189,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return rows.mapInArrow(_verify(shingle, percent), "u long, v long")
 
 
-def _search(least: int):
+def _search(bound: Bounds):
     """Of rows sorted by key, left, right: pairs of different components that agree enough and share no earlier band."""
 
     def pairs(key: int, doc: np.ndarray, comp: np.ndarray, left: np.ndarray, sig: np.ndarray, own: bool) -> Iterator[pa.RecordBatch]:
@@ -165,11 +198,11 @@ def _search(least: int):
         j = i if own else np.flatnonzero(~left)
         if not len(i) or not len(j):
             return
-        keys = sig[:, : BANDS * ROWS].reshape(len(doc), BANDS, ROWS)
+        keys = sig[:, : bound.bands * bound.rows].reshape(len(doc), bound.bands, bound.rows)
         for p in i.tolist():
             q = j[j > p] if own else j
             q = q[comp[q] != comp[p]]
-            q = q[(sig[q] == sig[p]).sum(axis=1) >= least]
+            q = q[(sig[q] == sig[p]).sum(axis=1) >= bound.agree]
             if band and len(q):
                 q = q[~(keys[q, :band] == keys[p, :band]).all(axis=2).any(axis=1)]
             if len(q):
@@ -200,7 +233,7 @@ def _search(least: int):
     return run
 
 
-def _remaining(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
+def _remaining(members: DataFrame, reps: DataFrame, found: DataFrame, bound: Bounds) -> DataFrame:
     """Candidate pairs (u, v) of buckets that hold several components."""
     comp = F.coalesce("component", "doc_id")
     now = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", comp)
@@ -211,15 +244,16 @@ def _remaining(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFra
     now = now.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
     rows = now.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "component", "sig")
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return rows.mapInArrow(_search(int(np.ceil(LEAST_AGREE * WIDTH))), "u long, v long").distinct()
+    return rows.mapInArrow(_search(bound), "u long, v long").distinct()
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; see the module's text."""
+    bound = bounds(percent)
     sigs = staged(signatures(docs, shingle), "near-signatures")
     sets = sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
     reps = staged(sets.agg(F.min("doc_id").alias("doc_id"), F.any_value("sig").alias("sig")), "near-classes")
-    bands = reps.select("doc_id", "sig").mapInArrow(_bands, "key long, doc_id long")
+    bands = reps.select("doc_id", "sig").mapInArrow(_bands(bound.rows, bound.bands), "key long, doc_id long")
     buckets = bands.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(bands.join(buckets, "key"), "near-buckets")
     texts = staged(with_ids(id_and_text(docs), staged(members.select("doc_id").distinct(), "near-ids"), "left_semi"), "near-texts")
@@ -227,7 +261,7 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     first = members.groupBy("doc_id").agg(F.min("center").alias("v")).where("v < doc_id")
     links = staged(verified(first.select(F.col("doc_id").alias("u"), "v"), texts, shingle, percent), "near-links")
     found = components(links)
-    more = staged(verified(_remaining(members, reps, found), texts, shingle, percent), "near-links")
+    more = staged(verified(_remaining(members, reps, found, bound), texts, shingle, percent), "near-links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
