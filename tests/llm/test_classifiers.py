@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from viewgrid.llm import quality_model, toxicity
 from viewgrid.llm import textscan as ts
 from viewgrid.llm.queries import QUERIES
-from viewgrid.llm.tables import fold, labelled_sample
+from viewgrid.llm.tables import fold, labelled_sample, sampled_texts
 
 SF = "/root/testdata/sf0.1"  # the smallest with enough labels to learn from
 
@@ -51,6 +51,25 @@ def test_labelled_sample_is_bounded_and_clean(spark):
     assert labelled_sample(labels, "toxic", F.lit(True), 30).count() == 30
 
 
+def test_a_repeated_doc_id_counts_once_in_the_fit(spark, monkeypatch):
+    words = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(words[k : k + 30]) + " idiot" * (k % 3 == 0)) for k in range(200)]
+    more = [(7, f"again {k} and again") for k in range(500)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0), int(k % 3 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
+    sizes = []
+    train = quality_model.train
+    monkeypatch.setattr(quality_model, "train", lambda x, y: sizes.append(len(y)) or train(x, y))
+    quality_model.fit(odd(spark, rows + more), labels, F.lit(True), bound=150)
+    assert sizes[0] <= 150
+    sample = labelled_sample(labels, "toxic", F.lit(True), 1000)
+    texts = sampled_texts(odd(spark, rows + more), sample).toPandas()
+    assert sorted(texts.doc_id) == list(range(200)) and texts.label.sum() == 67
+    assert sampled_texts(odd(spark, more + rows), sample).toPandas().set_index("doc_id").text[7] == texts.set_index("doc_id").text[7]
+    same = [(7, rows[7][1])] * 500
+    one, two = (toxicity.fit(odd(spark, x), labels, F.lit(True)) for x in (rows, rows + same))
+    assert (one.index == two.index).all() and (one.weight == two.weight).all() and one.bias == two.bias
+
+
 def odd(spark, rows):
     return spark.createDataFrame([(d, t, 0.5, 1) for d, t in rows], "doc_id long, text string, score double, label int")
 

@@ -15,8 +15,8 @@ network doesn't see, calibrates its probabilities.
 
 Defined results: a text without tokens (null, empty) is pooled to zeros and
 scored.  Rows without doc_id are scored and count as held out.  Repeated rows
-score alike.  Without any usable label the score is 0.5.  Other columns are
-ignored.
+score alike; the network is fitted on one row of a doc_id.  Without any usable
+label the score is 0.5.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
-from viewgrid.llm.tables import id_and_text, labelled_sample, staged
+from viewgrid.llm.tables import id_and_text, labelled_sample, sampled_texts, staged
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 14
@@ -209,9 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = FIT_RO
     spark = docs.sparkSession
     vectors = word_vectors(docs)
     sample = staged(labelled_sample(labels, "quality", allowed, bound), "quality-sample")
-    texts = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # bounded by ``bound``
-    rows = texts.mapInArrow(_pool(spark.sparkContext.broadcast(vectors), 2), "doc_id long, label int, pooled binary")
-    rows = rows.toPandas().sort_values(["doc_id", "pooled"])  # at most ``bound`` documents of 396 bytes
+    rows = sampled_texts(docs, sample).mapInArrow(_pool(spark.sparkContext.broadcast(vectors), 2), "doc_id long, label int, pooled binary")
+    rows = rows.toPandas().sort_values("doc_id")  # at most ``bound`` documents of 396 bytes
     x = np.frombuffer(b"".join(rows["pooled"]), np.float32).reshape(len(rows), 3 * DIMS + 3)
     order = np.argsort(ts.mix(rows["doc_id"].to_numpy().astype(ts.U)), kind="stable")
     net = train(x[order], rows["label"].to_numpy()[order])

@@ -48,3 +48,14 @@ def labelled_sample(labels: DataFrame, column: str, allowed: Column, bound: int)
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & allowed)
     rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """doc_id, label and text of the documents in ``sample`` (``labelled_sample``): one row for each doc_id.
+
+    Of rows that repeat a doc_id the text with the smallest hash counts, so that
+    the bound of the sample holds for the rows as well.
+    """
+    rows = id_and_text(docs).join(F.broadcast(sample), "doc_id")  # broadcast: ``sample`` is bounded
+    text = F.struct(F.xxhash64("text").alias("hash"), "text")
+    return rows.groupBy("doc_id", "label").agg(F.min(text)["text"].alias("text"))

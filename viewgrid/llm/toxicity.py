@@ -12,7 +12,7 @@ Common features stay: where many documents are toxic, the markers are common too
 
 Defined results: a text without words (null, empty) scores the bias alone.
 Rows without doc_id are scored and count as held out.  Repeated rows score
-alike.  Without any usable label the score is 0.5.  Other columns are ignored.
+alike; the learner sees one row of a doc_id.  Without any usable label the score is 0.5.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
-from viewgrid.llm.tables import id_and_text, labelled_sample, staged
+from viewgrid.llm.tables import id_and_text, labelled_sample, sampled_texts, staged
 
 FIT_ROWS = 12_000  # labelled documents that the learner sees at most
 BITS = 20  # features are hashed to 2**BITS coordinates
@@ -124,8 +124,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = FIT_ROWS) -> Model:
     """Model of at most ``bound`` labelled documents whose labels row satisfies ``allowed``."""
     sample = staged(labelled_sample(labels, "toxic", allowed, bound), "toxic-sample")
-    texts = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # bounded by ``bound``
-    rows = texts.mapInArrow(_rows, "doc_id long, label int, features binary")
+    rows = sampled_texts(docs, sample).mapInArrow(_rows, "doc_id long, label int, features binary")
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.xxhash64("features"))
     found = rows.mapInArrow(_fit, "feature long, weight double").toPandas().sort_values("feature")  # at most 2**BITS rows
     if not len(found):
