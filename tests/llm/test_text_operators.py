@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
@@ -302,6 +303,15 @@ def test_quality_rules_ratios(spark):
     assert all(r.kept == (not r.base_failed) for r in none)
 
 
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_quality_rules_count_all_good_documents(spark, monkeypatch, most):
+    """25,000 labelled good, by a broadcast and by an ordinary join: all counts are target counts too, so every ratio is 0."""
+    monkeypatch.setattr(quality_rules, "MOST_BROADCAST_IDS", most)
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert not any(quality_rules.log_ratios(docs, labels.union(labels)))
+
+
 def test_sharding(spark, duck, mixed):
     shards = [f"s{k}" for k in range(7)]
     rows = mixed + [(None, "a"), (None, "b"), (3, "c")]

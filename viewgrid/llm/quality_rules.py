@@ -7,8 +7,8 @@ shuffled.
 
 The method's verdict compares two multinomials over ``BUCKETS`` hashed n-grams
 (tokens and token pairs; a token is a run of letters and digits or a run of
-other signs): one of trusted documents, at most ``TARGET_ROWS`` of those labelled
-good, and one of all documents.  The sum of a document's log ratios over its
+other signs): one of the trusted documents, all those labelled good, and one of all
+documents.  The sum of a document's log ratios over its
 n-grams, divided by their number, must reach ``LEAST_RATIO``.  Log ratios are
 rounded to millionths and added as integers, so the verdict doesn't depend on
 the order of anything.  The table of ratios has a fixed size and goes into
@@ -25,13 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewgrid.llm.tables import id_and_text, labelled_sample
+from viewgrid.llm.tables import MOST_BROADCAST_IDS, id_and_text
 
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
 BUCKETS = 1 << 14
-TARGET_ROWS = 20_000
 LEAST_RATIO = -0.25
 UNIT = 1_000_000
 
@@ -86,10 +85,12 @@ def with_grams(docs: DataFrame) -> DataFrame:
     return d.withColumn("grams", F.concat("tokens", pairs)).drop("tokens")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS) -> list[int]:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
     """Log ratio of each bucket in millionths, from all documents; BUCKETS numbers, whatever the corpus."""
-    target = labelled_sample(labels, "quality", F.col("quality") == 1, target_rows).select("doc_id", F.lit(1).alias("trusted"))
-    d = with_grams(docs).join(F.broadcast(target), "doc_id", "left").select("grams", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    good = labels.where((F.col("quality").cast("int") == 1) & F.col("doc_id").isNotNull())
+    target = good.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("trusted")).distinct()
+    small = target.count() <= MOST_BROADCAST_IDS
+    d = with_grams(docs.join(F.broadcast(target) if small else target, "doc_id", "left")).select("grams", F.coalesce("trusted", F.lit(0)).alias("trusted"))
     # The outer form: for the plain one the optimizer adds a filter that builds the n-grams several times more.
     d = d.select(F.explode_outer("grams").alias("gram"), "trusted").where("gram is not null").groupBy(F.pmod("gram", F.lit(BUCKETS)).cast("int").alias("bucket"))
     rows = d.agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
@@ -117,7 +118,7 @@ def judged(docs: DataFrame, ratios: list[int], least_ratio: float = LEAST_RATIO)
     )
 
 
-def rules(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, least_ratio: float = LEAST_RATIO) -> DataFrame:
+def rules(docs: DataFrame, labels: DataFrame, least_ratio: float = LEAST_RATIO) -> DataFrame:
     """Every document's figures and verdict; see the module's text."""
     plain = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    return judged(docs, log_ratios(plain, labels, target_rows), least_ratio)
+    return judged(docs, log_ratios(plain, labels), least_ratio)
