@@ -1,7 +1,14 @@
 """Plain single-process versions of the operators, for tests."""
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from viewgrid.llm import textscan as ts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +93,78 @@ def contaminated(docs, items, k=5, percent=80):
                 n[i] = n.get(i, 0) + 1
         out |= {(d, i): c for i, c in n.items() if 100 * c >= percent * size[i]}
     return out
+
+
+def hard_negatives(rows, keep=5, low=80, high=100):
+    """rows: [(vec_id, label, components)] -> sorted (anchor, positive, rank, negative, positive score, negative score); every pair."""
+    have = [
+        (k, label, [math.floor(256 * float(x)) for x in vec])
+        for k, label, vec in rows
+        if k is not None and label is not None and vec is not None and all(x is not None and math.isfinite(x) for x in vec)
+    ]
+    out = set()
+    for a, label, v in have:
+        if a % 100:
+            continue
+        scores = sorted((-sum(x * y for x, y in zip(v, w)), k, other) for k, other, w in have if k != a)
+        positives = list(dict.fromkeys((-s, k) for s, k, other in scores if other == label))[:keep]
+        for p, positive in positives:
+            near = list(dict.fromkeys((-s, k) for s, k, other in scores if other != label and low * p <= -100 * s <= high * p))
+            out |= {(a, positive, rank, k, p, s) for rank, (s, k) in enumerate(near[:keep], 1)}
+    return sorted(out)
+
+
+def features(text):
+    """Words and joined neighbours, as importance resampling takes them."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+
+def resampled(docs, target, percent=25, least_words=20):
+    """{doc_id: (n_features, weight, score, rank, n_words)}"""
+
+    def count(rows):
+        return Counter(zlib.crc32(x.encode()) % 10_000 for _, t in rows for x in features(t))
+
+    s, t = count(docs), count(target)
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (s.total() + 10_000) / ((s[b] + 1) * (t.total() + 10_000)))) for b in s}
+    out = {}
+    for d, text in docs:
+        own = [gain[zlib.crc32(x.encode()) % 10_000] for x in features(text)]
+        weight = sum(own) // len(own) if own else 0
+        h = int(hashlib.sha256(f"7:{d}".encode()).hexdigest()[:8], 16)
+        score = None if d is None else weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out[d] = (len(own), weight, score, None, (len(own) + 1) // 2)
+    able = sorted((-x[2], d) for d, x in out.items() if d is not None and x[4] >= least_words)
+    for rank, (_, d) in enumerate(able[: percent * len(able) // 100], 1):
+        out[d] = (*out[d][:3], rank, out[d][4])
+    return out
+
+
+def winnowed(text, gram=12):
+    """[(position, hash)] of the rightmost smallest gram of every window."""
+    if not text:
+        return []
+    points = np.array([ord(c) + 1 for c in text], ts.U)
+    size = min(gram, len(text))
+    hashes = [int(ts.run_hashes(points[i : i + size], size)[0]) for i in range(len(text) - size + 1)]
+    window = 4
+    while window < 64 and 32 * window <= len(hashes):
+        window *= 2
+    window = min(window, len(hashes))
+    places = {max(range(i, i + window), key=lambda j: (-hashes[j], j)) for i in range(len(hashes) - window + 1)}
+    return [(j, hashes[j]) for j in sorted(places)]
+
+
+def beside_next(docs, fingerprints):
+    """Rows of fingerprints.beside_next for distinct doc_ids (a null one comes last)."""
+    rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is None, -(r[0] or 0)))
+    out = []
+    for (d, t), (_, x) in zip(rows, rows[1:] + rows[:1]):
+        n = len(t) // 3
+        changed = t[: len(t) - n] + x[:n]
+        own = fingerprints.Fingerprints([t, changed, x])
+        a, b, c = ({h for _, h in winnowed(y)} for y in (t, changed, x))
+        near = [len(a & y) / len(a | y) if a | y else 1.0 for y in (b, c)]
+        out.append((d, len(t), hashlib.sha256(changed.encode()).hexdigest(), own.text(0), own.text(1), *near))
+    return out

@@ -34,5 +34,5 @@ def test_run_and_registration(spark):
 
     queries = __spark_entry__.queries()
     assert queries["pipeline"] is corpus_pipeline.run
-    assert sorted(int(q[2:].split("_")[0]) for q in queries if q.startswith("op") and q[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries if q.startswith("op") and q[2].isdigit()) == list(range(1, 14))
     assert corpus_pipeline.run(spark, SF).count() > 100

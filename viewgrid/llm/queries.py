@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewgrid.llm import chunk_bpe, contamination, near_dedup, quality_model, quality_rules, sharding, substring, token_counts, token_files, toxicity
+from viewgrid.llm import (
+    chunk_bpe,
+    contamination,
+    fingerprints,
+    hard_negatives,
+    importance,
+    near_dedup,
+    quality_model,
+    quality_rules,
+    sharding,
+    substring,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from viewgrid.llm.tables import fold
 from viewgrid.session import scratch_path
 
@@ -70,6 +84,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("ratio")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.beside_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +111,13 @@ QUERIES = {
         op8_contamination,
         op9_chunk_bpe,
         op10_quality_rules,
+        op11_hard_negatives,
+        op12_importance,
+        op13_fingerprints,
     )
 }
-ORACLES = {"op1_sharding": sharding.placement_sql("documents", "doc_id", SHARDS)}
+ORACLES = {
+    "op1_sharding": sharding.placement_sql("documents", "doc_id", SHARDS),
+    "op11_hard_negatives": hard_negatives.mined_sql("embeddings", "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END", "vec_id % 100 = 0"),
+    "op12_importance": importance.resampled_sql("documents", "benchmark"),
+}
