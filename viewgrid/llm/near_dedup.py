@@ -7,7 +7,7 @@ less noisy than independent hashes.  Ranks are dealt level by level, and a
 document stops as soon as no later rank can lower any slot.
 
 Candidates: documents of one shingle set are one text class, represented by the
-smallest doc_id.  ``DRAWS`` independent signatures are kept, a byte for each slot.
+row with the smallest doc_id (and, of rows that share it, the smallest text hash).  ``DRAWS`` independent signatures are kept, a byte for each slot.
 A band is a few slots of the first one, and a bucket is a band with equal
 bytes.  ``bounds`` derives the bands from the similarity that makes a link: texts of
 just that similarity share no bucket with a probability of at most ``MISS``.
@@ -18,13 +18,15 @@ Verification, on full shingle sets, in two rounds:
    different components whose signatures agree in enough slots (``bounds``: a link
    agrees less with a probability of at most ``MISS``) are compared, each pair in the
    first band it shares.  A large bucket is dealt out as pairs of blocks, so it has no
-   limit and no single task.
+   limit and no single task.  A component of more than a block has blocks of its own, which are
+   only set against blocks of other components; the rest share blocks.
 Links found are joined to components; pairs inside a component are never made.
 
-Defined results: documents without words (null, empty) link with nothing.  Rows
-that repeat a doc_id are one document for links and repeat the result.  Rows
-without doc_id take no part: component_id null, kept true.  Other columns are
-ignored.
+Defined results: documents without words (null, empty) link with nothing.  Rows that share
+a doc_id and differ in text are documents of their own and may belong to different
+components; rows that repeat doc_id and text are one document and repeat the result.
+Rows without doc_id take no part: component_id null, kept true.  Other columns
+are ignored (groups) or kept in their order (one_of_each).
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
 from viewgrid.llm.components import components
-from viewgrid.llm.tables import id_and_text, staged, with_ids
+from viewgrid.llm.tables import bounded, staged
 
 SLOTS = 250
 DRAWS = 2
@@ -113,25 +115,31 @@ def super_minhash(elements: np.ndarray, offs: np.ndarray, slots: int = SLOTS) ->
     return sig.reshape(n, slots)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, tag (a hash of the text, which tells apart texts of one doc_id) and text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+
+
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (128-bit hash of the shingle set) and sig (a byte for each slot)."""
+    """doc_id, tag, n_shingles, set_a and set_b (128-bit hash of the shingle set) and sig (a byte for each slot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, buf, offs in ts.text_chunks(batch.column(1), ts.CHUNK_BYTES // 2):
+            for a, b, buf, offs in ts.text_chunks(batch.column(2), ts.CHUNK_BYTES // 2):
                 flat, at = ts.shingle_sets(buf, offs, shingle)
                 sums = [np.concatenate([np.zeros(1, ts.U), np.cumsum(ts.mix(flat ^ ts.U(k)), dtype=ts.U)]) for k in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
                 one, two = (np.diff(s[at]) for s in sums)
                 low = np.hstack([ts.mix(super_minhash(ts.mix(flat + ts.U(k)), at)).astype(np.uint8) for k in range(DRAWS)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, b - a), pa.array(np.diff(at)), pa.array(ts.signed(one)), pa.array(ts.signed(two)),
+                        batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(at)), pa.array(ts.signed(one)), pa.array(ts.signed(two)),
                         pa.array([x.tobytes() for x in low], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "sig"],
+                    ["doc_id", "tag", "n_shingles", "set_a", "set_b", "sig"],
                 )
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, tag long, n_shingles long, set_a long, set_b long, sig binary")
 
 
 def _sig_matrix(column: pa.Array) -> np.ndarray:
@@ -148,14 +156,14 @@ def _band_keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
 
 
 def _bands(rows: int, bands: int):
-    """key and doc_id of every band of rows (doc_id, sig)."""
+    """key and node of every band of rows (node, sig)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 key = _band_keys(_sig_matrix(batch.column(1)), rows, bands)
-                doc = np.repeat(batch.column(0).to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(doc)], ["key", "doc_id"])
+                node = np.repeat(batch.column(0).to_numpy(), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(node)], ["key", "node"])
 
     return run
 
@@ -182,15 +190,15 @@ def _verify(shingle: int, percent: int):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) that are links; texts: doc_id and text of every document among them."""
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
+    """The pairs (u, v) that are links; texts: node and text of every class among them."""
+    left = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
+    right = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     rows = pairs.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
     return rows.mapInArrow(_verify(shingle, percent), "u long, v long")
 
 
 def _search(bound: Bounds):
-    """Of rows sorted by key, left, right: pairs of different components that agree enough and share no earlier band."""
+    """Of rows sorted by key, one, two: pairs of different components that agree enough and share no earlier band."""
 
     def pairs(key: int, doc: np.ndarray, comp: np.ndarray, left: np.ndarray, sig: np.ndarray, own: bool) -> Iterator[pa.RecordBatch]:
         band = key >> 40
@@ -235,45 +243,78 @@ def _search(bound: Bounds):
 
 def _remaining(members: DataFrame, reps: DataFrame, found: DataFrame, bound: Bounds) -> DataFrame:
     """Candidate pairs (u, v) of buckets that hold several components."""
-    comp = F.coalesce("component", "doc_id")
-    now = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", comp)
+    now = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    now = now.join(open_, "key").join(reps.select("doc_id", "sig"), "doc_id")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    now = now.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("long"))
-    now = now.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    rows = now.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "component", "sig")
+    now = now.join(open_, "key")
+    rows = _in_pairs(now.where(F.col("n") > BLOCK), BLOCK).unionByName(
+        now.where(F.col("n") <= BLOCK).select("key", *(F.lit(0).cast("long").alias(c) for c in ("one", "two", "block")), "node", "component")
+    )
+    rows = rows.join(reps.select("node", "sig"), "node").select("key", "one", "two", "block", "node", "component", "sig")
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     return rows.mapInArrow(_search(bound), "u long, v long").distinct()
 
 
-def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row; see the module's text."""
+def _in_pairs(now: DataFrame, block: int) -> DataFrame:
+    """key, one, two, block, node, component: the members of large buckets, once for each pair of blocks that they are in.
+
+    A component of more than ``block`` members has blocks of its own; the others share blocks.
+    Pairs of blocks of one component are left out, so what is moved grows in proportion to a bucket
+    that holds one large component, whatever else is in it.
+    """
+    sizes = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    own = F.when(F.col("size") > block, F.col("component"))
+    groups = sizes.groupBy("key", own.alias("own")).agg(F.ceil(F.sum("size") / block).cast("long").alias("parts"))
+    parts = groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    parts = parts.withColumn("block", F.xxhash64("own", "part"))
+    a, b = (parts.select("key", F.col("own").alias(f"own_{c}"), F.col("block").alias(c)) for c in ("one", "two"))
+    pairs = a.join(b, "key").where((F.col("one") <= F.col("two")) & (F.col("own_one").isNull() | F.col("own_two").isNull() | (F.col("own_one") != F.col("own_two"))))
+    sides = pairs.select("key", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    now = now.join(sizes, ["key", "component"]).withColumn("own", own)
+    now = now.join(groups.withColumnRenamed("own", "group"), (now["key"] == groups["key"]) & now["own"].eqNullSafe(F.col("group"))).drop(groups["key"])
+    now = now.withColumn("block", F.xxhash64("own", F.pmod(F.xxhash64("node"), F.col("parts"))))
+    return now.join(sides, ["key", "block"]).select("key", "one", "two", "block", "node", "component")
+
+
+def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, tag, n_shingles of every row, and doc_id and tag of the first document of its component."""
     bound = bounds(percent)
     sigs = staged(signatures(docs, shingle), "near-signatures")
     sets = sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
-    reps = staged(sets.agg(F.min("doc_id").alias("doc_id"), F.any_value("sig").alias("sig")), "near-classes")
-    bands = reps.select("doc_id", "sig").mapInArrow(_bands(bound.rows, bound.bands), "key long, doc_id long")
-    buckets = bands.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    reps = sets.agg(F.min(F.struct("doc_id", "tag")).alias("first"), F.any_value("sig").alias("sig"))
+    reps = staged(reps.select("set_a", "set_b", "first.doc_id", "first.tag", "sig", F.monotonically_increasing_id().alias("node")), "near-classes")
+    bands = reps.select("node", "sig").mapInArrow(_bands(bound.rows, bound.bands), "key long, node long")
+    buckets = bands.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(bands.join(buckets, "key"), "near-buckets")
-    texts = staged(with_ids(id_and_text(docs), staged(members.select("doc_id").distinct(), "near-ids"), "left_semi"), "near-texts")
-
-    first = members.groupBy("doc_id").agg(F.min("center").alias("v")).where("v < doc_id")
-    links = staged(verified(first.select(F.col("doc_id").alias("u"), "v"), texts, shingle, percent), "near-links")
+    wanted = staged(reps.select("node", "doc_id", "tag").join(members.select("node").distinct(), "node"), "near-ids")
+    texts = keyed(docs).join(bounded(wanted), ["doc_id", "tag"]).select("node", "text")
+    if not sigs.groupBy("doc_id", "tag").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["node"])  # rows that repeat doc_id and text
+    texts = staged(texts, "near-texts")
+
+    first = members.groupBy("node").agg(F.min("center").alias("v")).where("v < node")
+    links = staged(verified(first.select(F.col("node").alias("u"), "v"), texts, shingle, percent), "near-links")
     found = components(links)
     more = staged(verified(_remaining(members, reps, found, bound), texts, shingle, percent), "near-links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
-    of = reps.select("set_a", "set_b", F.col("doc_id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    of = of.select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
-    out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(of, ["set_a", "set_b"], "left")
-    linked = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), linked)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    linked = found.join(reps.select("node", "doc_id", "tag"), "node")
+    least = linked.groupBy("component").agg(F.min(F.struct("doc_id", "tag")).alias("least"))
+    linked = linked.join(least, "component").select("node", "least")
+    of = reps.join(linked, "node", "left").select("set_a", "set_b", F.coalesce("least", F.struct("doc_id", "tag")).alias("least"))
+    return sigs.drop("sig").join(of, ["set_a", "set_b"], "left").select("doc_id", "tag", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).alias("least"))
+
+
+def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id) for every row; see the module's text."""
+    rows = _classified(docs, shingle, percent)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents whose component keeps a smaller doc_id; all columns as they are."""
-    gone = staged(groups(docs, shingle, percent).where("not kept").select("doc_id").distinct(), "near-gone")
-    return with_ids(docs, gone, "left_anti")
+    """``docs`` without the rows whose component has an earlier document (by doc_id, then by a hash of the text); all columns as they are."""
+    rows = _classified(docs, shingle, percent).where((F.col("least.doc_id") != F.col("doc_id")) | (F.col("least.tag") != F.col("tag")))
+    gone = bounded(staged(rows.select("doc_id", "tag").distinct(), "near-gone"))
+    same = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["tag"])
+    return docs.join(gone, same, "left_anti")

@@ -21,7 +21,8 @@ stream with constant memory.
 
 Defined results: windows are judged on the input.  Documents without a doc_id
 have no order and keep all words; rows that repeat doc_id and text count as one
-document, and rows that share only the doc_id are told apart by text.  Null and
+document.  Rows that share only the doc_id are documents of their own, told apart and
+ordered by a tag made of two 64-bit hashes of the text (``tagged``).  Null and
 empty texts have no words.  Other columns are kept or ignored, never read.
 """
 
@@ -32,11 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
-from viewgrid.llm.tables import staged
+from viewgrid.llm.tables import staged, with_ids
 
 LENGTH = 20  # words of a window
 SEED = 6  # words of a seed
@@ -49,14 +50,26 @@ ROWS = "key long, sub long, doc_id long, tag long, start int, end int, kind byte
 SPANS = "doc_id long, tag long, start int, end int, unsettled boolean"
 
 
-def text_tag() -> Column:
-    """Tells apart texts that share a doc_id."""
-    return F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 20))
+def tagged(docs: DataFrame) -> DataFrame:
+    """doc_id, tag, text and rest (a struct of all other columns): the tag tells apart texts that share a doc_id.
 
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, tag and text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), F.col("text").cast("string").alias("text"))
+    It is 0 where a doc_id has one text, and else the first hash of the text, counted up where a
+    second hash says that two texts share it.
+    """
+    text = F.col("text").cast("string")
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")
+    one, two = F.xxhash64(text).alias("one"), F.xxhash64(F.lit(SEED), text).alias("two")
+    hashes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), one, two).where("doc_id is not null")
+    ends = hashes.groupBy("doc_id").agg(*(f(c).alias(f"{c}_{f.__name__}") for c in ("one", "two") for f in (F.min, F.max)))
+    several = staged(ends.where("one_min <> one_max or two_min <> two_max").select("doc_id"), "op4-several")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), rest)
+    if several.isEmpty():
+        return rows.select("doc_id", F.lit(0).cast("long").alias("tag"), "text", "rest")
+    names = with_ids(hashes, several, "left_semi").distinct()
+    shared = Window.partitionBy("doc_id", "one").orderBy("two")  # of one text, but for a collision of 64 bits
+    names = staged(names.withColumn("tag", F.col("one").bitwiseXOR(F.row_number().over(shared) - 1)), "op4-tags")
+    rows = rows.withColumns({"one": F.xxhash64("text"), "two": F.xxhash64(F.lit(SEED), "text")})
+    return rows.join(names, ["doc_id", "one", "two"], "left").select("doc_id", F.coalesce("tag", F.lit(0).cast("long")).alias("tag"), "text", "rest")
 
 
 def smallest(values: np.ndarray, size: int) -> np.ndarray:
@@ -252,19 +265,29 @@ def _grouped(sent: DataFrame) -> DataFrame:
 
 
 def _per_document(spans: DataFrame) -> DataFrame:
-    """A row for each document; a document has at most one span for each word."""
-    return spans.groupBy("doc_id", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    """A row for each document.
+
+    Of the spans that begin at one word the longest covers the others, so a document's list
+    has at most one span for each of its words, however many map tasks sent spans of it.
+    """
+    longest = spans.groupBy("doc_id", "tag", "start").agg(F.max("end").alias("end"))
+    return longest.groupBy("doc_id", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
     """doc_id, tag, starts, ends: word spans (they may overlap) covered by windows that also start earlier."""
-    texts = keyed(docs)
-    known = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    return _spans(tagged(docs), length, spread)
+
+
+def _spans(texts: DataFrame, length: int, spread: int = SPREAD) -> DataFrame:
+    """``repeated_spans`` of rows of ``tagged``."""
+    known = texts.select("doc_id", "tag", "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     one = staged(_grouped(known.mapInArrow(_seeds(length, spread), ROWS)), "op4-segments")
     open_ = _per_document(one.where("unsettled"))
     joined = known.join(open_.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "starts", "ends")
     two = _grouped(joined.mapInArrow(_windows(length), ROWS))
-    return _per_document(one.where("not unsettled").unionByName(two).select("doc_id", "tag", "start", "end"))
+    repeats = one.unionByName(two).where("not unsettled")  # unsettled in the second step: different windows with one key
+    return _per_document(repeats.select("doc_id", "tag", "start", "end"))
 
 
 def removed_words(offs: np.ndarray, at: np.ndarray, starts: pa.ListArray, ends: pa.ListArray) -> np.ndarray:
@@ -301,8 +324,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by one space) of every document."""
-    spans = repeated_spans(docs, length)
-    joined = keyed(docs).join(spans.hint("shuffle_hash"), ["doc_id", "tag"], "left").select("doc_id", "text", "starts", "ends")
+    texts = tagged(docs).drop("rest")
+    joined = texts.join(_spans(texts, length).hint("shuffle_hash"), ["doc_id", "tag"], "left").select("doc_id", "text", "starts", "ends")
     return joined.mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -329,11 +352,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A column n_chars, if there is one, is made to fit the new text.
     """
-    text = F.col("text").cast("string").alias("text")
-    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), text, rest)
-    spans = repeated_spans(docs, length)
-    joined = rows.join(spans.hint("shuffle_hash"), ["doc_id", "tag"], "left").select("row", "text", "starts", "ends")
+    texts = tagged(docs)
+    joined = texts.join(_spans(texts, length).hint("shuffle_hash"), ["doc_id", "tag"], "left")
+    joined = joined.select(F.col("rest").alias("row"), "text", "starts", "ends")
     out = joined.mapInArrow(_cut, joined.select("row", "text").schema)
     fitted = {"text": F.col("text")}
     if "n_chars" in docs.columns:

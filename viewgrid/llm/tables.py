@@ -20,17 +20,18 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-#: Ids in a broadcast table at most (8 bytes each, so 16 MB before hashing); more are joined by shuffle.
-MOST_BROADCAST_IDS = 2_000_000
+#: Rows of ids in a broadcast table at most (measured: some 60 bytes each, so 12 MB); more are joined by shuffle.
+MOST_BROADCAST_IDS = 200_000
 
 
-def with_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``df`` whose doc_id is (``left_semi``) or isn't (``left_anti``) among the distinct doc_ids of ``ids``.
+def bounded(ids: DataFrame) -> DataFrame:
+    """``ids``, rows of one to three numbers that are cheap to count, to be broadcast behind a check of their size."""
+    return F.broadcast(ids) if ids.count() <= MOST_BROADCAST_IDS else ids
 
-    ``ids`` must be cheap to count.  Its table is broadcast behind a check of its size.
-    """
-    small = ids.count() <= MOST_BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, "doc_id", how)
+
+def with_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` whose doc_id is (``left_semi``) or isn't (``left_anti``) among the distinct doc_ids of ``ids``."""
+    return df.join(bounded(ids), "doc_id", how).select(*df.columns)
 
 
 def fold(of: str, folds: int) -> Column:
