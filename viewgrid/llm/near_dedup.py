@@ -281,7 +281,8 @@ def _classified(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     sigs = staged(signatures(docs, shingle), "near-signatures")
     sets = sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
     reps = sets.agg(F.min(F.struct("doc_id", "tag")).alias("first"), F.any_value("sig").alias("sig"))
-    reps = staged(reps.select("set_a", "set_b", "first.doc_id", "first.tag", "sig", F.monotonically_increasing_id().alias("node")), "near-classes")
+    reps = reps.select("set_a", "set_b", "first.doc_id", "first.tag", "sig").repartitionByRange("doc_id", "tag").sortWithinPartitions("doc_id", "tag")
+    reps = staged(reps.withColumn("node", F.monotonically_increasing_id()), "near-classes")  # nodes in the order of doc_id: copies tend to follow their original
     bands = reps.select("node", "sig").mapInArrow(_bands(bound.rows, bound.bands), "key long, node long")
     buckets = bands.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(bands.join(buckets, "key"), "near-buckets")
