@@ -27,9 +27,14 @@ def local_time(ts, tz) -> Column:
     return F.convert_timezone(F.lit("UTC"), _c(tz), _c(ts))
 
 
-def daypart(local_ts) -> Column:
-    """Documented day-parts on a local timestamp: prime 20-23h, daytime 9-17h."""
-    h = F.hour(_c(local_ts))
+def daypart_of(hour) -> Column:
+    """Documented day-parts of a local hour: prime 20-23h, daytime 9-17h."""
+    h = _c(hour)
     return (F.when(h.between(20, 22), F.lit("prime"))
             .when(h.between(9, 16), F.lit("daytime"))
             .when(h.isNotNull(), F.lit("other")))
+
+
+def daypart(local_ts) -> Column:
+    """Day-part of a local timestamp."""
+    return daypart_of(F.hour(_c(local_ts)))

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from viewgrid.functions import text
 from viewgrid.functions.ratios import pct, ratio, safe_metric
-from viewgrid.functions.timefn import daypart, local_time
+from viewgrid.functions.timefn import daypart_of, local_time
 from viewgrid.operators.sessions import island_summary, with_next
+from viewgrid.operators.sweep import bucket_start, buckets_touched, seconds_per_bucket, under_way
 
 CONNECT_GAP_SECONDS = 300      # documented: gaps <= 5 min stay connected
 CONSECUTIVE_THRESHOLD = 300    # documented example: 5 consecutive minutes
@@ -107,6 +108,15 @@ def approx_reach(df: DataFrame, by: list[str], id_col: str = "AKKIO_ID", rsd: fl
     return df.groupBy(*by).agg(F.approx_count_distinct(id_col, rsd).alias("approx_reach"))
 
 
+def sketch_check(estimates: DataFrame, exact: DataFrame, by: list[str], estimate: str, count: str, bound: Column) -> DataFrame:
+    """(by, exact count, within_bound) of every key that either side has; a key that one side lacks is out of bounds."""
+    none = F.lit(None)
+    rows = estimates.select(*by, F.col(estimate).cast("double").alias("e"), none.cast("long").alias("n")).unionByName(
+        exact.select(*by, none.cast("double").alias("e"), F.col(count).cast("long").alias("n")))
+    g = rows.groupBy(*by).agg(F.max("e").alias("e"), F.max("n").alias(count))
+    return g.select(*by, count, F.coalesce(F.abs(F.col("e") - F.col(count)) <= bound, F.lit(False)).alias("within_bound"))
+
+
 def _exposures(ads: DataFrame, by: list[str]) -> DataFrame:
     """Exposures per (by, device) -- the first level of every frequency metric."""
     return ads.groupBy(*by, "AKKIO_ID").agg(F.count(F.lit(1)).alias("exposures"))
@@ -314,12 +324,38 @@ def incremental_reach(campaign: DataFrame, detail: DataFrame) -> DataFrame:
     return per_dev.groupBy("campaign", "other_linear", "other_streaming").agg(F.count(F.lit(1)).alias("devices"))
 
 
+QUARTER = 900          # seconds: within a quarter of an hour the local hour doesn't change, in any zone's present rules
+TWO_DAYS = 2 * 24 * 4  # quarters: a session that lasts longer has touched every local hour by then, clock changes included
+
+
 def daypart_viewing(detail: DataFrame) -> DataFrame:
-    lt = local_time("SESSION_START_TIME_UTC", "TIMEZONE")
-    d = detail.select(daypart(lt).alias("daypart"), F.hour(lt).alias("local_hour"), "TOTAL_SECONDS", "AKKIO_ID")
-    return d.groupBy("daypart", "local_hour").agg(
-        F.count(F.lit(1)).alias("sessions"), F.sum("TOTAL_SECONDS").alias("seconds"),
-        F.countDistinct("AKKIO_ID").alias("viewers"))
+    """Per local hour: sessions and devices that viewed in it, and the seconds viewed in it.
+
+    A session counts in every local hour that it touches, with the seconds it has there, so the
+    seconds of all hours add up to those of all sessions.  Seconds come from a sweep
+    per time zone (``operators.sweep``), which doesn't cut sessions into rows.  Sessions
+    and devices come from the distinct local hours that a session touches, 24 at most.
+    Devices without a time zone are a row without hour.
+    """
+    quarters = seconds_per_bucket(detail, "SESSION_START_TIME_UTC", "TOTAL_SECONDS", ["TIMEZONE"], QUARTER)
+    swept = quarters.select(F.hour(local_time(bucket_start(F.col("bucket"), QUARTER), "TIMEZONE")).alias("local_hour"), "seconds")
+    touched = F.transform(buckets_touched("SESSION_START_TIME_UTC", "TOTAL_SECONDS", QUARTER, TWO_DAYS),
+                          lambda k: F.hour(local_time(bucket_start(k, QUARTER), "TIMEZONE")))
+    seen = detail.where(F.col("TOTAL_SECONDS") > 0).select("AKKIO_ID", F.explode(F.array_distinct(touched)).alias("local_hour"))
+    seen = seen.groupBy("local_hour", "AKKIO_ID").agg(F.count(F.lit(1)).alias("sessions"))
+    seen = seen.groupBy("local_hour").agg(F.sum("sessions").alias("sessions"), F.count("AKKIO_ID").alias("viewers"))
+    zero = F.lit(0).cast("long")
+    both = swept.groupBy("local_hour").agg(F.sum("seconds").alias("seconds")).select("local_hour", zero.alias("sessions"), "seconds", zero.alias("viewers"))
+    both = both.unionByName(seen.select("local_hour", "sessions", zero.alias("seconds"), "viewers"))  # 25 rows of either
+    return both.groupBy(daypart_of("local_hour").alias("daypart"), "local_hour").agg(*(F.sum(c).alias(c) for c in ("sessions", "seconds", "viewers")))
+
+
+def concurrent_sessions(detail: DataFrame, by: tuple = ("DMA",)) -> DataFrame:
+    """Per UTC hour: the most sessions under way at the start of one of its minutes, and session-minutes."""
+    by = list(by)
+    minutes = under_way(detail, "SESSION_START_TIME_UTC", "TOTAL_SECONDS", by, 60)
+    hour = F.date_trunc("HOUR", bucket_start(F.col("bucket"), 60)).cast("timestamp_ntz")
+    return minutes.groupBy(*by, hour.alias("hour_utc")).agg(F.max("rows").alias("peak_sessions"), F.sum("rows").alias("session_minutes"))
 
 
 # ------------------------------------------------------------ sessions

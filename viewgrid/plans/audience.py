@@ -13,11 +13,13 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewgrid.functions import text
+from viewgrid.operators.components import components
+from viewgrid.operators.enrich import bounded_broadcast
 from viewgrid.session import scratch_path
 
 # Validation patterns for client files.
@@ -156,9 +158,50 @@ def id_match(first_party: DataFrame, graph: DataFrame) -> DataFrame:
                        F.col("b.match_priority").alias("match_priority"))
 
 
-def match_rate(matches: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
+def identity_nodes(first_party: DataFrame, registrations: DataFrame) -> DataFrame:
+    """(node, key): every client record ('record:<id>') and registered device ('device:<id>') with each contact key it has.
+
+    Keys are hashed PII by method; an IP address is none, as households and carriers share it.
+    """
+    def side(df: DataFrame, kind: str, id_col: str) -> DataFrame:
+        node = F.concat(F.lit(f"{kind}:"), F.col(id_col))
+        return df.where(F.col(id_col).isNotNull()).select(node.alias("node"), F.inline_outer(_keys(_contact_keys()))).select(
+            "node", F.concat_ws(":", F.lit("key"), "method", "key").alias("key"), F.col("method").isNotNull().alias("has_key"))
+
+    rows = side(first_party, "record", "client_record_id").unionByName(side(registrations, "device", "tv_id"))
+    return rows.select("node", F.when(F.col("has_key"), F.col("key")).alias("key")).distinct()
+
+
+def identity_graph(first_party: DataFrame, registrations: DataFrame) -> DataFrame:
+    """(kind, id, person): records and devices that share an e-mail, phone or mobile ad id, directly or through others, are one person.
 
+    A key is a node that its holders are linked to, so a phone number that many hold is a
+    star and never pairs.  ``person`` is the least 'device:<id>' or 'record:<id>' of the component; who has
+    no key is a person of their own.
+    """
+    nodes = identity_nodes(first_party, registrations)
+    path = scratch_path(nodes.sparkSession, "identity-nodes")
+    nodes.write.parquet(path)
+    nodes = nodes.sparkSession.read.schema(nodes.schema).parquet(path)
+    found = components(nodes.where("key is not null"), "node", "key")
+    # 'device' < 'key' < 'record': a component's root may be a key where it has no device
+    own = found.where(~F.col("node").startswith("key:"))
+    person = own.groupBy("component").agg(F.min("node").alias("person"))
+    linked = own.join(person, "component").select("node", "person")
+    rows = nodes.select("node").distinct().join(linked, "node", "left")
+    kind, name = F.split_part("node", F.lit(":"), F.lit(1)), F.regexp_replace("node", "^[a-z]+:", "")
+    return rows.select(kind.alias("kind"), name.alias("id"), F.coalesce("person", "node").alias("person"))
+
+
+def identity_match(graph: DataFrame) -> DataFrame:
+    """Per client record: its person, the person's least device (null without one) and how many devices and records it has."""
+    device = F.col("kind") == "device"
+    persons = graph.groupBy("person").agg(F.min(F.when(device, F.col("id"))).alias("tv_id"), F.count_if(device).alias("devices"), F.count_if(~device).alias("records"))
+    records = graph.where(~device).select(F.col("id").alias("client_record_id"), "person")
+    return records.join(persons, "person").select("client_record_id", "person", "tv_id", "devices", "records")
+
+
+def match_rate(matches: DataFrame) -> DataFrame:
     g = matches.groupBy("match_method").agg(F.count(F.lit(1)).alias("records"))
     total = F.sum("records").over(Window.partitionBy(F.lit(0)))  # <= 4 rows
     return g.withColumn("match_rate_pct", F.round(100 * F.try_divide(F.col("records").cast("double"), total), 4))
@@ -214,14 +257,61 @@ def segments(tables, rules: list[Rule] | None = None) -> DataFrame:
 
 
 def segment_algebra(seg: DataFrame, a: str, b: str) -> DataFrame:
-    """union / intersect / except of two segments -> (operation, AKKIO_ID)."""
-    sa = seg.filter(F.col("segment_id") == a).select("AKKIO_ID")
-    sb = seg.filter(F.col("segment_id") == b).select("AKKIO_ID")
-    return reduce(DataFrame.unionByName, [
-        sa.union(sb).distinct().select(F.lit(f"{a}|{b}").alias("operation"), "AKKIO_ID"),
-        sa.intersect(sb).select(F.lit(f"{a}&{b}").alias("operation"), "AKKIO_ID"),
-        sa.subtract(sb).select(F.lit(f"{a}-{b}").alias("operation"), "AKKIO_ID"),
-    ])
+    """union / intersect / except of two segments -> (operation, AKKIO_ID), in one pass over the segments.
+
+    A device's membership of both is two flags of one aggregate; the operations
+    that hold for it are exploded from them.
+    """
+    flags = seg.where(F.col("segment_id").isin(a, b)).groupBy("AKKIO_ID").agg(
+        F.max(F.col("segment_id") == a).alias("in_a"), F.max(F.col("segment_id") == b).alias("in_b"))
+    holds = F.array_compact(F.array(
+        F.lit(f"{a}|{b}"),
+        F.when(F.col("in_a") & F.col("in_b"), F.lit(f"{a}&{b}")),
+        F.when(F.col("in_a") & ~F.col("in_b"), F.lit(f"{a}-{b}"))))
+    return flags.select(F.explode(holds).alias("operation"), "AKKIO_ID")
+
+
+BITS = 8 * 4096  # devices of one bitmap, as bitmap_construct_agg has them
+
+
+def device_numbers(ids: DataFrame) -> DataFrame:
+    """(AKKIO_ID, number): numbers 0, 1, 2 ... for all distinct devices of ``ids``, in the order of their ids.
+
+    A range-partitioned sort and one count for each part; the table is written, so numbers stay.
+    """
+    spark = ids.sparkSession
+    dealt = ids.select("AKKIO_ID").where("AKKIO_ID is not null").distinct().repartitionByRange("AKKIO_ID").sortWithinPartitions("AKKIO_ID")
+    dealt = dealt.withColumn("place", F.monotonically_increasing_id())  # part << 33 | index in the part
+    path = scratch_path(spark, "device-numbers")
+    dealt.select("AKKIO_ID", F.shiftrightunsigned("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("place")).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    counts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row for each part of the sort
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return dealt.join(bounded_broadcast(counts), "part").select("AKKIO_ID", (F.col("base") + F.col("place")).alias("number"))
+
+
+def segment_bitmaps(seg: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(segment_id, bucket, bits): the members of each segment, a bitmap for each bucket of ``BITS`` device numbers."""
+    rows = seg.join(numbers, "AKKIO_ID").select("segment_id", F.bitmap_bucket_number(F.col("number") + 1).alias("bucket"),
+                                                F.bitmap_bit_position(F.col("number") + 1).alias("bit"))
+    return rows.groupBy("segment_id", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def bitmap_sizes(bitmaps: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(a, b, a_or_b, a_and_b, a_not_b) devices of each pair of named segments, from the bitmaps in one pass.
+
+    What moves is a bitmap of 4 KB for each segment and 32,768 devices, however often the segments overlap.
+    """
+    names = sorted({n for p in pairs for n in p})
+    asked = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))).alias("pair")
+    rows = bitmaps.where(F.col("segment_id").isin(names)).select("segment_id", "bucket", "bits", asked).select("*", "pair.*")
+    rows = rows.where((F.col("segment_id") == F.col("a")) | (F.col("segment_id") == F.col("b")))
+    both = rows.groupBy("a", "b", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("any"),
+        F.when(F.count(F.lit(1)) == 2, F.bitmap_count(F.bitmap_and_agg("bits"))).otherwise(0).alias("both"),
+        F.coalesce(F.max(F.when(F.col("segment_id") == F.col("a"), F.bitmap_count("bits"))), F.lit(0)).alias("own"))
+    return both.groupBy("a", "b").agg(F.sum("any").alias("a_or_b"), F.sum("both").alias("a_and_b"), F.sum(F.col("own") - F.col("both")).alias("a_not_b"))
 
 
 def suppress_optouts(df: DataFrame, optout: DataFrame, id_col: str = "AKKIO_ID") -> DataFrame:

@@ -13,7 +13,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewgrid.operators.incremental import Window
+from viewgrid.operators import sketches
+from viewgrid.operators.incremental import Window, apply_window
 from viewgrid.plans import models
 from viewgrid.sources.fixtures import Sources
 
@@ -31,8 +32,13 @@ MODEL_DEPS = {
     "agg_ind": ("attributes_latest",),
     "campaign_nbc": ("attributes_latest",),
     "campaign_fbfs": ("attributes_latest",),
+    "reach_by_title": ("content_detail",),
+    "reach_by_brand": ("commercial_detail",),
 }
 
+#: Daily reach sketches: (detail table, item column).
+REACH = {"reach_by_title": ("content_detail", "TITLE"), "reach_by_brand": ("commercial_detail", "BRAND_NAME")}
+
 
 class Project:
     """``as_of`` is the snapshot date of the demographic models (default: the
@@ -85,6 +91,9 @@ class Project:
         if name == "campaign_fbfs":
             return models.campaign(s.impressions_fbfs, s.population_fbfs, s.tz_map,
                                    self.ref("attributes_latest"), with_ue=True, window=w)
+        if name in REACH:
+            detail, by = REACH[name]
+            return sketches.daily_reach(apply_window(self.ref(detail), "PARTITION_DATE", w), [by])
         raise KeyError(f"unknown model {name!r}")
 
     def _levels(self, names) -> list[list[str]]:

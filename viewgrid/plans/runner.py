@@ -28,7 +28,7 @@ from pyspark.errors import AnalysisException
 
 from viewgrid.operators import quality
 from viewgrid.operators.incremental import window_for
-from viewgrid.plans.project import MODEL_DEPS, Project
+from viewgrid.plans.project import MODEL_DEPS, REACH, Project
 from viewgrid.sinks import writers
 from viewgrid.sources.binding import BoundSources
 from viewgrid.sources.fixtures import Sources
@@ -36,6 +36,7 @@ from viewgrid.sources.fixtures import Sources
 STRATEGY = {
     "content_detail": "replace", "commercial_detail": "replace", "standard_detail": "replace",
     "campaign_nbc": "replace", "campaign_fbfs": "replace", "commercial_summary": "upsert",
+    "reach_by_title": "replace", "reach_by_brand": "replace",
 }
 UPSERT_KEYS = ["PARTITION_DATE", "AKKIO_ID"]
 
@@ -88,12 +89,13 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
             else:
                 df = p.ref(name)
             df = writers.described(df, name)
+            cluster = (REACH[name][1],) if name in REACH else ("AKKIO_ID",)
             if target is None:
-                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=("AKKIO_ID",))
+                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=cluster)
             elif strategy == "upsert":
-                writers.upsert(df, path, UPSERT_KEYS, cluster_by=("AKKIO_ID",))
+                writers.upsert(df, path, UPSERT_KEYS, cluster_by=cluster)
             else:
-                writers.replace_partitions(df, path, cluster_by=("AKKIO_ID",), window=window)
+                writers.replace_partitions(df, path, cluster_by=cluster, window=window)
             modes[name] = window.mode
         base.set_model(name, _read(spark, path))
     return modes

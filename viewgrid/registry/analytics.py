@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from viewgrid.functions import text
+from viewgrid.operators import sketches
 from viewgrid.plans import analytics as A
 from viewgrid.registry.base import cte, project, register, written
+from viewgrid.session import scratch_path
+from viewgrid.sinks import writers
 from viewgrid.sources.fixtures import Sources
 
 
@@ -124,11 +127,23 @@ def m_reach_brand(spark, sf):
     return A.reach(project(spark, sf).ref("commercial_detail"), ["BRAND_NAME"])
 
 
-@register("m_approx_reach")
+ROLLING_DAYS = 7
+
+
+@register("m_approx_reach", f"""
+SELECT BRAND_NAME, window_end AS WINDOW_END, count(DISTINCT AKKIO_ID) AS reach, true AS within_bound
+FROM (SELECT BRAND_NAME, AKKIO_ID, CAST(PARTITION_DATE + CAST(k AS INTEGER) AS DATE) AS window_end FROM commercial_detail, range({ROLLING_DAYS}) r(k))
+WHERE window_end <= (SELECT max(PARTITION_DATE) FROM commercial_detail) GROUP BY ALL""", ("commercial_detail",))
 def m_approx_reach(spark, sf):
-    """HyperLogLog++ reach per brand (approximate: rows-only check; the test
-    suite bounds its error against the exact count)."""
-    return A.approx_reach(project(spark, sf).ref("commercial_detail"), ["BRAND_NAME"])
+    """Reach per brand over every window of seven days, from stored daily sketches; the exact
+    count stands beside the verdict on the estimate, which is approximate and not returned."""
+    detail = written(spark, sf, "commercial_detail").ref("commercial_detail")
+    by = ["BRAND_NAME"]
+    path = scratch_path(spark, "reach-by-brand")
+    writers.write_model(sketches.daily_reach(detail, by), path, "reach_by_brand")
+    estimates = sketches.rolling_reach(spark.read.parquet(path), by, ROLLING_DAYS)
+    exact = A.reach(sketches.rolling_days(detail.select("PARTITION_DATE", "BRAND_NAME", "AKKIO_ID"), ROLLING_DAYS), [*by, "WINDOW_END"])
+    return A.sketch_check(estimates, exact, [*by, "WINDOW_END"], "approx_reach", "reach", sketches.ERROR_BOUND * F.col("reach"))
 
 
 _EXPOSURES = "(SELECT BRAND_NAME, AKKIO_ID, count(*) AS exposures FROM commercial_detail GROUP BY ALL)"
@@ -322,17 +337,52 @@ def m_incremental_reach(spark, sf):
     return A.incremental_reach(p.ref("campaign_nbc"), p.ref("content_detail"))
 
 
-_LOCAL = "CAST((SESSION_START_TIME_UTC AT TIME ZONE 'UTC') AT TIME ZONE TIMEZONE AS TIMESTAMP)"
+AUDIENCES = ["campaign", "other_linear", "other_streaming"]
 
 
-@register("m_daypart", f"""
-SELECT CASE WHEN hour({_LOCAL}) BETWEEN 20 AND 22 THEN 'prime' WHEN hour({_LOCAL}) BETWEEN 9 AND 16 THEN 'daytime'
-            WHEN hour({_LOCAL}) IS NOT NULL THEN 'other' END AS daypart,
-  CAST(hour({_LOCAL}) AS INTEGER) AS local_hour, count(*) AS sessions, CAST(sum(TOTAL_SECONDS) AS BIGINT) AS seconds,
-  count(DISTINCT AKKIO_ID) AS viewers
-FROM content_detail GROUP BY ALL""", ("content_detail",))
+@register("m_incremental_reach_sketch", f"""
+SELECT campaign, other_linear, other_streaming, count(*) AS devices, true AS within_bound FROM (
+  SELECT AKKIO_ID, max(c) AS campaign, max(l) AS other_linear, max(s) AS other_streaming FROM (
+    SELECT AKKIO_ID, 1 AS c, 0 AS l, 0 AS s FROM campaign_nbc
+    UNION ALL
+    SELECT AKKIO_ID, 0, CASE WHEN cls = 'Linear' THEN 1 ELSE 0 END, CASE WHEN cls = 'Streaming' THEN 1 ELSE 0 END
+    FROM (SELECT AKKIO_ID, {_CLASS.format(c='INPUT_CATEGORY')} AS cls FROM content_detail)) GROUP BY AKKIO_ID)
+GROUP BY ALL""", ("campaign_nbc", "content_detail"))
+def m_incremental_reach_sketch(spark, sf):
+    """The overlaps of m_incremental_reach from stored daily theta sketches, beside the exact counts."""
+    p = written(spark, sf, "campaign_nbc", "content_detail")
+    campaign, detail = p.ref("campaign_nbc"), p.ref("content_detail")
+    source = text.source_class("INPUT_CATEGORY")
+    parts = {"campaign": campaign, "other_linear": detail.where(source == "Linear"), "other_streaming": detail.where(source == "Streaming"), "every": detail}
+    path = scratch_path(spark, "audience-sketches")
+    sketches.daily_audiences(parts).write.partitionBy("PARTITION_DATE").parquet(path)
+    cells = sketches.audience_cells(spark.read.parquet(path), AUDIENCES, "every")
+    exact = A.incremental_reach(campaign, detail)
+    devices = exact.agg(F.sum("devices").alias("all_devices")).first()[0] or 0  # the error of a cell is relative to the union
+    checked = A.sketch_check(cells, exact, AUDIENCES, "approx_devices", "devices", F.lit(sketches.ERROR_BOUND * devices))
+    return checked.where("devices is not null")  # the sketches have all eight cells, empty ones too
+
+
+@register("m_daypart", """
+WITH s AS (SELECT row_number() OVER () AS id, AKKIO_ID, TIMEZONE, CAST(floor(epoch(SESSION_START_TIME_UTC)) AS BIGINT) AS a, TOTAL_SECONDS AS n FROM content_detail),
+m AS (SELECT id, AKKIO_ID, TIMEZONE, a, a + n AS b, unnest(range(a // 60, (a + n - 1) // 60 + 1)) AS minute FROM s WHERE n > 0),
+h AS (SELECT id, AKKIO_ID, CAST(hour(CAST((make_timestamp(minute * 60000000) AT TIME ZONE 'UTC') AT TIME ZONE TIMEZONE AS TIMESTAMP)) AS INTEGER) AS local_hour,
+        least(b, (minute + 1) * 60) - greatest(a, minute * 60) AS secs FROM m)
+SELECT CASE WHEN local_hour BETWEEN 20 AND 22 THEN 'prime' WHEN local_hour BETWEEN 9 AND 16 THEN 'daytime' WHEN local_hour IS NOT NULL THEN 'other' END AS daypart,
+  local_hour, count(DISTINCT id) AS sessions, CAST(sum(secs) AS BIGINT) AS seconds, count(DISTINCT AKKIO_ID) AS viewers
+FROM h GROUP BY ALL""", ("content_detail",))
 def m_daypart(spark, sf):
-    return A.daypart_viewing(project(spark, sf).ref("content_detail"))
+    return A.daypart_viewing(written(spark, sf, "content_detail").ref("content_detail"))
+
+
+@register("m_concurrent_sessions", """
+WITH s AS (SELECT DMA, CAST(floor(epoch(SESSION_START_TIME_UTC)) AS BIGINT) AS a, TOTAL_SECONDS AS n FROM content_detail),
+m AS (SELECT DMA, unnest(range((a + 59) // 60, (a + n + 59) // 60)) AS minute FROM s WHERE n > 0),
+c AS (SELECT DMA, minute, count(*) AS under_way FROM m GROUP BY ALL)
+SELECT DMA, make_timestamp(minute // 60 * 3600000000) AS hour_utc, max(under_way) AS peak_sessions, CAST(sum(under_way) AS BIGINT) AS session_minutes
+FROM c GROUP BY ALL""", ("content_detail",))
+def m_concurrent_sessions(spark, sf):
+    return A.concurrent_sessions(project(spark, sf).ref("content_detail"))
 
 
 @register("c_source_class", f"""

@@ -74,6 +74,13 @@ def _segments(p):
     return AU.segments(lambda name: _matches(p) if name == "matches" else p.ref(name), rules)
 
 
+def _staged(df, name):
+    """``df`` written once, as segments are between building and use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("dmp_ingest_1pd", "SELECT * FROM ingested", ("ingested",))
 def dmp_ingest_1pd(spark, sf):
     """Client file (CSV) -> explicit-schema read -> accepted / quarantined."""
@@ -104,6 +111,37 @@ def dmp_id_match(spark, sf):
     return _matches(project(spark, sf))
 
 
+cte("identity_nodes", f"""
+SELECT DISTINCT node, key FROM (
+  SELECT 'record:' || client_record_id AS node, unnest([sha256({_NORM_EMAIL}), sha256({_NORM_PHONE}), sha256(lower(trim(maid)))]) AS h,
+    unnest(['email', 'phone', 'maid']) AS method FROM fx_first_party WHERE client_record_id IS NOT NULL
+  UNION ALL
+  SELECT 'device:' || tv_id, unnest([sha256({_NORM_EMAIL}), sha256({_NORM_PHONE}), sha256(lower(trim(maid)))]), unnest(['email', 'phone', 'maid'])
+  FROM fx_registration WHERE tv_id IS NOT NULL), LATERAL (SELECT method || ':' || h AS key)""", "fx_first_party", "fx_registration")
+
+cte("identity_graph", """
+WITH RECURSIVE e AS (SELECT DISTINCT a.node AS x, b.node AS y FROM identity_nodes a JOIN identity_nodes b USING (key)),
+reach(x, y) AS (SELECT DISTINCT node, node FROM identity_nodes UNION SELECT r.x, e.y FROM reach r JOIN e ON e.x = r.y)
+SELECT split_part(x, ':', 1) AS kind, regexp_replace(x, '^[a-z]+:', '') AS id, min(y) AS person FROM reach GROUP BY x""", "identity_nodes")
+
+
+@register("dmp_identity_graph", "SELECT * FROM identity_graph", ("identity_graph",))
+def dmp_identity_graph(spark, sf):
+    p = project(spark, sf)
+    return AU.identity_graph(p.src.first_party, p.src.registrations)
+
+
+@register("dmp_identity_match", """
+SELECT r.id AS client_record_id, r.person,
+  (SELECT min(d.id) FROM identity_graph d WHERE d.kind = 'device' AND d.person = r.person) AS tv_id,
+  (SELECT count(*) FROM identity_graph d WHERE d.kind = 'device' AND d.person = r.person) AS devices,
+  (SELECT count(*) FROM identity_graph d WHERE d.kind = 'record' AND d.person = r.person) AS records
+FROM identity_graph r WHERE r.kind = 'record'""", ("identity_graph",))
+def dmp_identity_match(spark, sf):
+    p = project(spark, sf)
+    return AU.identity_match(_staged(AU.identity_graph(p.src.first_party, p.src.registrations), "identity-graph"))
+
+
 @register("dmp_match_rate", """
 SELECT match_method, count(*) AS records,
   round(100 * (CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()), 4) AS match_rate_pct
@@ -117,6 +155,19 @@ def dmp_segment(spark, sf):
     return _segments(project(spark, sf))
 
 
+_PAIRS = [("sports_fans", "affluent_households"), ("streaming_heavy", "campaign_exposed"), ("client_matched", "sports_fans")]
+
+
+@register("dmp_segment_overlap", "\nUNION ALL\n".join(f"""
+SELECT '{a}' AS a, '{b}' AS b, count(*) AS a_or_b, count(*) FILTER (has_a AND has_b) AS a_and_b, count(*) FILTER (has_a AND NOT has_b) AS a_not_b
+FROM (SELECT AKKIO_ID, bool_or(segment_id = '{a}') AS has_a, bool_or(segment_id = '{b}') AS has_b FROM segments
+      WHERE segment_id IN ('{a}', '{b}') GROUP BY AKKIO_ID)""" for a, b in _PAIRS), ("segments",))
+def dmp_segment_overlap(spark, sf):
+    """Sizes of unions, intersections and differences of segments from device bitmaps."""
+    seg = _staged(_segments(project(spark, sf)), "segments")
+    return AU.bitmap_sizes(AU.segment_bitmaps(seg, AU.device_numbers(seg)), _PAIRS)
+
+
 @register("dmp_segment_algebra", """
 SELECT 'sports_fans|affluent_households' AS operation, AKKIO_ID FROM (
   SELECT AKKIO_ID FROM segments WHERE segment_id = 'sports_fans'
@@ -128,7 +179,7 @@ UNION ALL SELECT 'sports_fans-affluent_households', AKKIO_ID FROM (
   SELECT AKKIO_ID FROM segments WHERE segment_id = 'sports_fans'
   EXCEPT SELECT AKKIO_ID FROM segments WHERE segment_id = 'affluent_households')""", ("segments",))
 def dmp_segment_algebra(spark, sf):
-    return AU.segment_algebra(_segments(project(spark, sf)), "sports_fans", "affluent_households")
+    return AU.segment_algebra(_staged(_segments(project(spark, sf)), "segments"), "sports_fans", "affluent_households")
 
 
 @register("optout_suppress", "SELECT * FROM suppressed", ("suppressed",))

@@ -13,7 +13,7 @@ the hash tiebreaker lets a hot (date, id) spread over several files/tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from viewgrid.operators.enrich import bounded_broadcast
@@ -33,6 +33,8 @@ MODEL_LAYOUT = {
     "agg_media": ((), ("PARTITION_DATE", "AKKIO_ID")),
     "campaign_nbc": ((), ("IMPRESSION_DATE", "AKKIO_ID")),
     "campaign_fbfs": ((), ("IMPRESSION_DATE", "AKKIO_ID")),
+    "reach_by_title": (("PARTITION_DATE",), ("TITLE",)),
+    "reach_by_brand": (("PARTITION_DATE",), ("BRAND_NAME",)),
 }
 
 
@@ -49,6 +51,8 @@ MODEL_COMMENTS = {
     "agg_media": "Viewing counts per device and day, by category",
     "campaign_nbc": "Impressions of the first campaign",
     "campaign_fbfs": "Impressions of the second campaign",
+    "reach_by_title": "Sketch of the devices that watched a title on a day",
+    "reach_by_brand": "Sketch of the devices that saw a brand's ads on a day",
 }
 
 COLUMN_COMMENTS = {
@@ -60,6 +64,8 @@ COLUMN_COMMENTS = {
     "TOTAL_SECONDS": "Length in seconds",
     "TIMEZONE": "Time zone of the device",
     "DBT_UPDATED_AT": "When the run wrote the row",
+    "DEVICES": "HyperLogLog sketch of distinct devices; merge with hll_union_agg",
+    "VIEWS": "Rows behind the sketch",
 }
 
 
@@ -141,17 +147,21 @@ def replace_partitions(df: DataFrame, path: str, partition_by=("PARTITION_DATE",
     """Overwrite the partitions present in ``df``; others stay.
 
     With a batch ``window`` every date of it is replaced: partitions of dates
-    that no longer have rows are removed after the write.
+    that no longer have rows are removed after the write.  The dates that have rows are
+    counted while the rows are written, so ``df`` is planned and run once.
     """
+    batch = window is not None and window.mode == "batch"
+    if not batch:
+        write_table(df, path, mode="overwrite", partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
+        return
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(F.col(partition_by[0]).cast("string")).alias("dates"))  # days of one run
     write_table(df, path, mode="overwrite", partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
-    if window is not None and window.mode == "batch":
-        clear_empty_dates(df, path, partition_by[0], window)
+    clear_empty_dates(df.sparkSession, path, partition_by[0], window, set(seen.get["dates"] or ()))
 
 
-def clear_empty_dates(df: DataFrame, path: str, partition_col: str, window) -> None:
-    """Remove the partitions of ``path`` whose date lies in ``window`` but not in ``df`` (days of one run: bounded)."""
-    spark = df.sparkSession
-    have = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+def clear_empty_dates(spark, path: str, partition_col: str, window, have: set[str]) -> None:
+    """Remove the partitions of ``path`` whose date lies in ``window`` but not among ``have`` (days of one run: bounded)."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
