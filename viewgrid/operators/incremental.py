@@ -1,7 +1,8 @@
 """Which source dates a model run processes.
 
-Three modes, chosen in this order (SURVEY §2.11):
+Four modes, chosen in this order (SURVEY §2.11):
 
+* changed      -- given dates, those whose rows differ from the last run (``operators.manifest``);
 * batch window -- ``start`` and ``end`` given: ``date BETWEEN start AND end``
   (inclusive), also on a full refresh;
 * high-water   -- the target exists: ``date > max(target date)``;
@@ -26,16 +27,27 @@ class Window:
     start: dt.date | str | None = None
     end: dt.date | str | None = None
     after: dt.date | str | None = None   # high-water mark (exclusive)
+    dates: tuple[dt.date, ...] | None = None
 
     @property
     def mode(self) -> str:
+        if self.dates is not None:
+            return "changed"
         if self.start is not None and self.end is not None:
             return "batch"
         if self.after is not None:
             return "incremental"
         return "full"
 
+    def covers(self, date: str) -> bool:
+        """Whether a run of the window replaces the date (ISO text) whole, even where no row of it is left."""
+        if self.mode == "changed":
+            return date in {str(d) for d in self.dates}
+        return self.mode == "batch" and str(self.start) <= date <= str(self.end)
+
     def predicate(self, date_col: Column) -> Column | None:
+        if self.mode == "changed":
+            return date_col.isin([F.lit(d) for d in self.dates]) if self.dates else F.lit(False)
         if self.mode == "batch":
             return date_col.between(F.lit(_d(self.start)), F.lit(_d(self.end)))
         if self.mode == "incremental":

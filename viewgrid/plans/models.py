@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from viewgrid.functions import decode, text
 from viewgrid.functions.timefn import seconds_between
 from viewgrid.operators.agg import count_entries, count_maps, flat_list, str_list
+from viewgrid.operators.device_state import DeviceState
 from viewgrid.operators.enrich import bounded_broadcast, left_enrich
 from viewgrid.operators.incremental import Window, apply_window
 from viewgrid.operators.topn import first_by, last_by
@@ -216,18 +217,28 @@ def latest_location(device: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # demographics
 # --------------------------------------------------------------------------
+def location_state(spark, root: str) -> DeviceState:
+    """The kept form of ``latest_location``: merged day by day, read in place of the device history."""
+    return DeviceState(spark, root, "hash", LATEST_LOCATION_ORDER, ["city", "iso_state", "dma", "zipcode"])
+
+
+def located(state: DataFrame) -> DataFrame:
+    """Rows of a ``location_state`` in the shape of ``latest_location``."""
+    return state.select("hash", "city", F.col("iso_state").alias("state"), "dma", F.col("zipcode").alias("zip_code"))
+
+
 def attributes_latest(demo: DataFrame, device: DataFrame, as_of: dt.date | None = None,
-                      with_updated_at: bool = False) -> DataFrame:
+                      with_updated_at: bool = False, locations: DataFrame | None = None) -> DataFrame:
     """One row per device: decoded demographics + latest location.
 
     ``as_of`` stamps PARTITION_DATE (default: today); DBT_UPDATED_AT (the
     run timestamp) is added only on request so compared outputs stay
-    deterministic.
+    deterministic.  ``locations`` (``located``) spares the scan of ``device``.
     """
     stamp = F.lit(as_of) if as_of is not None else F.current_date()
     a = demo.filter(F.col("hash").isNotNull()).select(
         F.col("hash").alias("AKKIO_ID"), *decode.decoded_columns())
-    loc = latest_location(device)
+    loc = latest_location(device) if locations is None else locations
     a = a.join(loc, a["AKKIO_ID"] == loc["hash"], "left")
     cols = [
         stamp.alias("PARTITION_DATE"),

@@ -45,11 +45,12 @@ class Project:
     session's current date); ``updated_at`` adds their DBT_UPDATED_AT run stamp."""
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, as_of: dt.date | None = None,
-                 window: Window | None = None, sources=None, updated_at: bool = False):
+                 window: Window | None = None, sources=None, updated_at: bool = False, locations: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.updated_at = updated_at
+        self.locations = locations  # latest location of every device, where it is kept
         self.window = window
         self.src = sources or Sources(spark, sf_dir)
         self._models: dict[str, DataFrame] = {}
@@ -78,7 +79,7 @@ class Project:
         if name == "standard_summary":
             return models.standard_summary(self.ref("standard_detail"))
         if name == "attributes_latest":
-            return models.attributes_latest(s.demographics, s.device, self.as_of, self.updated_at)
+            return models.attributes_latest(s.demographics, s.device, self.as_of, self.updated_at, self.locations)
         if name == "agg_hh":
             return models.agg_hh(self.ref("attributes_latest"))
         if name == "agg_ind":

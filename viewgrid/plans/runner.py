@@ -15,6 +15,13 @@ Per model the write strategy follows its materialisation:
 
 The run window is ``--start/--end`` when given (also on a full refresh),
 otherwise everything after the target's high-water mark, otherwise all.
+``--changed`` reloads, in place of a window, the dates of each feed whose rows differ
+from the last such run (``operators.manifest``): late, corrected and removed rows.
+
+The latest location of every device is kept in ``<out>/_latest_location`` and takes in the
+dates of each run; only a full refresh, or ``--changed`` with dates that lost or changed
+rows, reads the whole device history.
+
 Upstream models that are not selected are read from the warehouse when they
 exist there, and built in memory otherwise.
 """
@@ -23,12 +30,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from viewgrid.operators import quality
-from viewgrid.operators.incremental import window_for
+from viewgrid.operators import manifest, quality
+from viewgrid.operators.incremental import apply_window, window_for
+from viewgrid.operators.manifest import Manifest
+from viewgrid.plans import models
 from viewgrid.plans.project import MODEL_DEPS, REACH, Project
+from viewgrid.session import scratch_path
 from viewgrid.sinks import writers
 from viewgrid.sources.binding import BoundSources
 from viewgrid.sources.fixtures import Sources
@@ -39,6 +50,12 @@ STRATEGY = {
     "reach_by_title": "replace", "reach_by_brand": "replace",
 }
 UPSERT_KEYS = ["PARTITION_DATE", "AKKIO_ID"]
+#: Feed and date column behind each dated model; models over another model go by that one's.
+FEED = {
+    "content_detail": ("content", "date_partition"), "commercial_detail": ("commercial", "date_partition"),
+    "standard_detail": ("device", "date_partition"), "campaign_nbc": ("impressions", "imp_ts"), "campaign_fbfs": ("impressions_fbfs", "imp_ts"),
+}
+BASE = {"commercial_summary": "commercial_detail", "reach_by_title": "content_detail", "reach_by_brand": "commercial_detail"}
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -51,8 +68,20 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _kept_locations(spark: SparkSession, sources, out: str, start, end, rebuild: bool) -> DataFrame:
+    """Latest locations from the kept state, once it has taken in the device rows of the run."""
+    state = models.location_state(spark, f"{out}/_latest_location")
+    have = None if rebuild else state.read()
+    if have is None:
+        state.rebuild(sources.device)
+    else:
+        window = window_for(have, start, end, "date_partition")
+        state.merge(apply_window(sources.device, "date_partition", window))
+    return models.located(state.read())
+
+
 def run_models(spark: SparkSession, sources, out: str, select=None, start=None, end=None,
-               full_refresh: bool = False, as_of: dt.date | None = None) -> dict[str, str]:
+               full_refresh: bool = False, as_of: dt.date | None = None, changed: bool = False) -> dict[str, str]:
     """Run the selected models (default: all) in dependency order; return
     model -> run mode ('full', 'batch', 'incremental', 'table').
 
@@ -63,7 +92,22 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
         sources = Sources(spark, sources)
     out = out.rstrip("/")
     selected = list(MODEL_DEPS) if not select else [m for m in MODEL_DEPS if m in set(select)]
-    base = Project(spark, as_of=as_of, sources=sources, updated_at=True)
+    found = {}  # feed -> its fingerprints, if the run goes by them
+    if changed:
+        for feed, date in {FEED[m] for m in selected if m in FEED}:
+            path = scratch_path(spark, "fingerprints")
+            manifest.fingerprints(getattr(sources, feed), F.to_date(date)).write.parquet(path)
+            found[feed] = spark.read.parquet(path)
+    kept = None
+    if "attributes_latest" in selected:
+        book = Manifest(spark, f"{out}/_manifest/locations")
+        seen = found.get("device")
+        if seen is None and changed:
+            seen = manifest.fingerprints(sources.device, "date_partition")
+        kept = _kept_locations(spark, sources, out, start, end, full_refresh or (changed and bool(book.window(seen).dates)))
+        if changed:
+            book.record(seen)
+    base = Project(spark, as_of=as_of, sources=sources, updated_at=True, locations=kept)
     for name in MODEL_DEPS:                      # upstream models already in the warehouse
         if name not in selected:
             existing = _read(spark, f"{out}/{name}")
@@ -79,12 +123,18 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
             writers.write_model(df, path, name)
             modes[name] = "table"
         else:
-            window = window_for(target, start, end)
+            feed = FEED[BASE.get(name, name)][0]
+            book = Manifest(spark, f"{out}/_manifest/{name}")
+            if changed and feed not in found:
+                found[feed] = manifest.fingerprints(getattr(sources, feed), F.to_date(FEED[BASE.get(name, name)][1]))
+            if changed and target is not None:
+                window = book.window(found[feed])
+            else:
+                window = window_for(target, start, end)
             p = Project(spark, as_of=as_of, window=window, sources=sources, updated_at=True)
             for dep in MODEL_DEPS[name]:
                 p.set_model(dep, base.ref(dep))
             if name == "commercial_summary":     # the summary windows its (already written) detail
-                from viewgrid.plans import models
                 df = models.commercial_summary(base.ref("commercial_detail"), window)
             else:
                 df = p.ref(name)
@@ -92,10 +142,12 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
             cluster = (REACH[name][1],) if name in REACH else ("AKKIO_ID",)
             if target is None:
                 writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=cluster)
-            elif strategy == "upsert":
+            elif strategy == "upsert" and window.mode != "changed":
                 writers.upsert(df, path, UPSERT_KEYS, cluster_by=cluster)
             else:
                 writers.replace_partitions(df, path, cluster_by=cluster, window=window)
+            if changed:
+                book.record(found[feed])
             modes[name] = window.mode
         base.set_model(name, _read(spark, path))
     return modes
@@ -126,6 +178,7 @@ def main(argv=None) -> int:
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--full-refresh", action="store_true")
+    ap.add_argument("--changed", action="store_true", help="reload the dates whose source rows differ from the last such run")
     ap.add_argument("--as-of", help="snapshot date of the demographic models (default: today)")
     ap.add_argument("--master", default="", help="e.g. local[8]; default: as configured by spark-submit")
     a = ap.parse_args(argv)
@@ -134,7 +187,7 @@ def main(argv=None) -> int:
     if a.command in ("run", "build"):
         sources = BoundSources.from_file(spark, a.sources) if a.sources else Sources(spark, a.sf)
         modes = run_models(spark, sources, a.out, [s for s in a.select.split(",") if s] or None, a.start, a.end,
-                           a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None)
+                           a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None, a.changed)
         for k, v in modes.items():
             print(f"{k}: {v}")
     if a.command in ("test", "build"):

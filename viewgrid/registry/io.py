@@ -9,7 +9,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from viewgrid.operators.incremental import Window, window_for
+from viewgrid.operators.incremental import Window, apply_window, window_for
+from viewgrid.operators.manifest import Manifest, fingerprints
 from viewgrid.plans import models
 from viewgrid.registry.base import project, register
 from viewgrid.session import scratch_path
@@ -148,6 +149,39 @@ def inc_merge(spark, sf):
     return writers.read_table(spark, path, like=first)
 
 
+@register("inc_changed_dates", "SELECT * FROM content_detail", ("content_detail",))
+def inc_changed_dates(spark, sf):
+    """A table loaded from a feed that lacked rows of some dates, had other values in some and a date too many;
+    a run by fingerprints reloads those dates alone and leaves what the whole feed gives."""
+    s = Sources(spark, sf)
+    low, high = s.content.agg(F.min("date_partition"), F.max("date_partition")).first()
+    day = F.datediff("date_partition", F.lit(low))
+    stale = s.content.where(~((day % 5 == 1) & (F.minute("ts_start") < 20)))
+    stale = stale.withColumn("zipcode", F.when(day % 5 == 3, F.lit("00000")).otherwise(F.col("zipcode")))
+    later = dt.timedelta(days=7)
+    extra = s.content.where(F.col("date_partition") == F.lit(high)).withColumn("date_partition", F.lit(high + later))
+    path, book = scratch_path(spark, "content_detail"), Manifest(spark, scratch_path(spark, "manifest"))
+    for feed in (stale.unionByName(extra), s.content):
+        now = fingerprints(feed, "date_partition")
+        window = book.window(now)
+        df = models.content_detail(feed, s.genre_map, s.tz_map, window)
+        writers.replace_partitions(df, path, window=window)
+        book.record(now)
+    return writers.read_table(spark, path, like=df)
+
+
+@register("inc_device_state", """
+SELECT l.hash, l.city, l.state, l.dma, l.zip_code FROM latest_location l""", ("latest_location",))
+def inc_device_state(spark, sf):
+    """Latest locations from a bucketed state that takes in the feed a few days at a time, one stretch of days twice."""
+    device = Sources(spark, sf).device
+    state = models.location_state(spark, scratch_path(spark, "latest-location"))
+    one, two = windows(device)
+    for window in (two, one, one):  # out of order, overlapping and repeated
+        state.merge(apply_window(device, "date_partition", window))
+    return models.located(state.read())
+
+
 # ------------------------------------------------------------ streaming
 @register("stream_content_daily", "SELECT * FROM content_detail", ("content_detail",))
 def stream_content_daily(spark, sf):

@@ -146,12 +146,11 @@ def append(df: DataFrame, path: str, partition_by=()) -> None:
 def replace_partitions(df: DataFrame, path: str, partition_by=("PARTITION_DATE",), cluster_by=(), window=None) -> None:
     """Overwrite the partitions present in ``df``; others stay.
 
-    With a batch ``window`` every date of it is replaced: partitions of dates
+    With a ``window`` of given dates every date of it is replaced: partitions of dates
     that no longer have rows are removed after the write.  The dates that have rows are
     counted while the rows are written, so ``df`` is planned and run once.
     """
-    batch = window is not None and window.mode == "batch"
-    if not batch:
+    if window is None or window.mode not in ("batch", "changed"):
         write_table(df, path, mode="overwrite", partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
         return
     seen = Observation()
@@ -167,7 +166,7 @@ def clear_empty_dates(spark, path: str, partition_col: str, window, have: set[st
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in fs.listStatus(root):
         key, _, value = status.getPath().getName().partition("=")
-        if key == partition_col and value not in have and str(window.start) <= value <= str(window.end):
+        if key == partition_col and value not in have and window.covers(value):
             fs.delete(status.getPath(), True)
 
 
