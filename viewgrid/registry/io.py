@@ -16,7 +16,7 @@ from viewgrid.registry.base import project, register
 from viewgrid.session import scratch_path
 from viewgrid.sinks import writers
 from viewgrid.sources.fixtures import Sources
-from viewgrid.streaming import content_stream
+from viewgrid.streaming import content_stream, session_stream
 
 
 def windows(feed) -> tuple[Window, Window]:
@@ -195,3 +195,25 @@ def stream_content_daily(spark, sf):
     content_stream.run(spark, landing, target, ckpt, feed.schema, s.genre_map, s.tz_map)
     like = models.content_detail(feed, s.genre_map, s.tz_map)
     return content_stream.read_target(spark, target).select(*like.columns)
+
+
+@register("stream_connected_sessions", """
+SELECT hash, date_partition, show_title, channel_affiliate, island_start, island_end, sessions, total_seconds FROM connected_islands""",
+          ("connected_islands",))
+def stream_connected_sessions(spark, sf):
+    """The dense sessions landed in two halves, some rows of the first with the second, and the first half twice;
+    a last row long after them closes all sessions."""
+    feed = Sources(spark, sf)["fx_dense"]
+    landing, target, checkpoint = (scratch_path(spark, f"sessions-{n}") for n in ("landing", "target", "checkpoint"))
+    low, high = feed.agg(F.min("date_partition"), F.max("date_partition")).first()
+    early = F.col("date_partition") <= F.lit(low + (high - low) // 2)
+    straggler = F.minute("ts_start") % 7 == 3
+    days = (high - low).days + 2
+    for part in (feed.where(early & ~straggler), feed.where(early & ~straggler), feed.where(~early | straggler)):
+        content_stream.land(part, landing)
+        session_stream.run(spark, landing, target, checkpoint, feed.schema, f"{days} days")
+    last = feed.agg(F.max("ts_end")).first()[0]
+    content_stream.land(session_stream.heartbeat(spark, feed.schema, last + dt.timedelta(days=2 * days)), landing)
+    session_stream.run(spark, landing, target, checkpoint, feed.schema, f"{days} days")
+    out = spark.read.parquet(target)
+    return out.select("hash", F.col("date_partition").cast("date").alias("date_partition"), *(c for c in out.columns if c not in ("hash", "date_partition")))
