@@ -96,3 +96,15 @@ class DeviceState:
     def rebuild(self, rows: DataFrame) -> None:
         """Replace the state by the latest of ``rows``."""
         self._write(self.latest(rows).repartition(self.buckets, self.key), max(self.versions(), default=0) + 1)
+
+    def forget(self, ids: DataFrame) -> None:
+        """Remove the devices in the only column of ``ids``, from older versions too."""
+        state = self.read()
+        if state is None:
+            return
+        gone = ids.select(F.col(ids.columns[0]).alias("__gone")).distinct()
+        version = self.versions()[-1] + 1
+        self._write(state.join(gone, F.col(self.key) == F.col("__gone"), "left_anti"), version)
+        jvm, _, fs = self._fs()
+        for old in self.versions()[:-1]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._place(old)), True)

@@ -3,6 +3,7 @@
     python -m viewgrid run  --sf DIR --out DIR [--select a,b] [--start D --end D] [--full-refresh]
     python -m viewgrid test --sf DIR --out DIR
     python -m viewgrid build ...            (run, then test)
+    python -m viewgrid purge --sf DIR --out DIR     (remove opted-out devices from the built tables)
 
 Per model the write strategy follows its materialisation:
 
@@ -40,7 +41,7 @@ from viewgrid.operators.manifest import Manifest
 from viewgrid.plans import models
 from viewgrid.plans.project import MODEL_DEPS, REACH, Project
 from viewgrid.session import scratch_path
-from viewgrid.sinks import writers
+from viewgrid.sinks import purge, writers
 from viewgrid.sources.binding import BoundSources
 from viewgrid.sources.fixtures import Sources
 
@@ -153,6 +154,25 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
     return modes
 
 
+def purge_optouts(spark: SparkSession, sources, out: str) -> dict[str, int]:
+    """Remove opted-out devices from every table with device rows and from the kept locations; table -> files rewritten.
+
+    Summaries per day and market and the reach sketches hold no ids and stay as they are until they are rebuilt.
+    """
+    if isinstance(sources, str):
+        sources = Sources(spark, sources)
+    out, done = out.rstrip("/"), {}
+    ids = sources.optout.select("hash")
+    for name in MODEL_DEPS:
+        table = _read(spark, f"{out}/{name}")
+        id_col = next((c for c in ("AKKIO_ID", "AKKIO_HH_ID") if table is not None and c in table.columns), None)
+        if id_col:
+            part = ("PARTITION_DATE",) if STRATEGY.get(name) else writers.MODEL_LAYOUT[name][0]
+            done[name] = purge.purge(spark, f"{out}/{name}", ids, id_col, part)
+    models.location_state(spark, f"{out}/_latest_location").forget(ids)
+    return done
+
+
 def test_models(spark: SparkSession, out: str) -> DataFrame:
     """The declared checks over the tables present in the warehouse."""
     tables = {}
@@ -169,7 +189,7 @@ def main(argv=None) -> int:
     from viewgrid.session import get_session
 
     ap = argparse.ArgumentParser(prog="viewgrid")
-    ap.add_argument("command", choices=["run", "test", "build"])
+    ap.add_argument("command", choices=["run", "test", "build", "purge"])
     where = ap.add_mutually_exclusive_group(required=True)
     where.add_argument("--sf", help="folder with the driver's test tables")
     where.add_argument("--sources", help="JSON file that binds every feed to a path, format and columns")
@@ -184,8 +204,11 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
     spark = get_session(master=a.master)
     rc = 0
+    sources = BoundSources.from_file(spark, a.sources) if a.sources else Sources(spark, a.sf)
+    if a.command == "purge":
+        for k, v in purge_optouts(spark, sources, a.out).items():
+            print(f"{k}: {v} files rewritten")
     if a.command in ("run", "build"):
-        sources = BoundSources.from_file(spark, a.sources) if a.sources else Sources(spark, a.sf)
         modes = run_models(spark, sources, a.out, [s for s in a.select.split(",") if s] or None, a.start, a.end,
                            a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None, a.changed)
         for k, v in modes.items():

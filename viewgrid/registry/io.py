@@ -14,7 +14,7 @@ from viewgrid.operators.manifest import Manifest, fingerprints
 from viewgrid.plans import models
 from viewgrid.registry.base import project, register
 from viewgrid.session import scratch_path
-from viewgrid.sinks import writers
+from viewgrid.sinks import purge, writers
 from viewgrid.sources.fixtures import Sources
 from viewgrid.streaming import content_stream, session_stream
 
@@ -182,6 +182,18 @@ def inc_device_state(spark, sf):
     return models.located(state.read())
 
 
+@register("sink_purge", """
+SELECT c.* FROM commercial_detail c WHERE NOT EXISTS (SELECT 1 FROM fx_optout o WHERE o.hash = c.AKKIO_ID)""", ("commercial_detail", "fx_optout"))
+def sink_purge(spark, sf):
+    """A built table after the files that hold opted-out devices were rewritten without them."""
+    p = project(spark, sf)
+    df = p.ref("commercial_detail")
+    path = scratch_path(spark, "commercial_detail")
+    writers.write_model(df, path, "commercial_detail")
+    purge.purge(spark, path, p.src.optout.select("hash"), "AKKIO_ID", ("PARTITION_DATE",))
+    return writers.read_table(spark, path, like=df)
+
+
 # ------------------------------------------------------------ streaming
 @register("stream_content_daily", "SELECT * FROM content_detail", ("content_detail",))
 def stream_content_daily(spark, sf):

@@ -38,8 +38,15 @@ SCHEMAS = {
     "population": _POPULATION,
     "impressions_fbfs": _IMPRESSION,
     "population_fbfs": _POPULATION,
+    "optout": "hash string, optout_date date",
+    "first_party": "client_record_id string, email string, phone string, zip string, ip string, segment_hint string, lifetime_value double, known_tv_id string, maid string",
+    "registrations": "tv_id string, email string, phone string, maid string",
+    "ad_spend": "value string, spend_date date, cost double, clicks bigint, conversions int, revenue double, video_views bigint, video_completions bigint",
 }
 
+#: Feeds that no model reads: audience work, opt-outs and cost metrics fail without them when they are asked for.
+OPTIONAL = {"optout", "first_party", "registrations", "ad_spend"}
+
 #: Key of every feed that is joined as a mapping: a repeated key would multiply fact rows.
 UNIQUE_KEYS = {
     "genre_map": ["episode_id"], "tz_map": ["hash"], "category_map": ["value"], "demographics": ["hash"],
@@ -59,7 +66,7 @@ class BoundSources:
     """Feeds read from their own places; attribute names are those of ``SCHEMAS``."""
 
     def __init__(self, spark: SparkSession, binding: dict[str, dict], check_keys: bool = True):
-        missing, unknown = set(SCHEMAS) - set(binding), set(binding) - set(SCHEMAS)
+        missing, unknown = set(SCHEMAS) - OPTIONAL - set(binding), set(binding) - set(SCHEMAS)
         if missing or unknown:
             raise ValueError(f"feeds not bound: {sorted(missing)}; unknown feeds: {sorted(unknown)}")
         self.spark, self.binding, self.check_keys = spark, binding, check_keys
@@ -85,6 +92,8 @@ class BoundSources:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
+        if name not in self.binding:
+            raise ValueError(f"feed not bound: {name}")
         if name not in self._cache:
             self._cache[name] = self._read(name)
         return self._cache[name]
