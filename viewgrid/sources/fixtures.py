@@ -111,7 +111,7 @@ SELECT concat('CR', CAST(p_partkey AS STRING)) AS value,
   CASE p_partkey % 3 WHEN 0 THEN 'Food / Beverage, Snacks' WHEN 1 THEN 'Auto - Motive' ELSE concat(p_type, ' Retail') END AS commercial_category
 FROM {part} WHERE p_partkey % 6 <> 5"""
 
-_IPAGE = f"""
+_DEVICE = f"""
 SELECT CAST(ts AS DATE) AS date_partition,
   CASE WHEN event_id % 101 = 0 THEN NULL ELSE {_device_id('user_id')} END AS hash,
   ts AS ts_start, ts + INTERVAL '1' SECOND * CAST(floor(value) AS INT) AS ts_end,
@@ -228,7 +228,7 @@ FX_SPARK = {
     "fx_timezone": (_TIMEZONE, ("events",)),
     "fx_commercial": (_COMMERCIAL_SPARK, ("events", "part")),
     "fx_commercial_category": (_CATEGORY, ("part",)),
-    "fx_device": (_IPAGE, ("events",)),
+    "fx_device": (_DEVICE, ("events",)),
     "fx_device_undated": (_DEVICE_UNDATED, ("fx_device",)),
     "fx_demographics": (_DEMO, ("customer",)),
     "fx_attr": (_ATTR, ("events",)),
