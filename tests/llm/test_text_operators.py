@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -277,6 +278,34 @@ def test_contamination_in_blocks(spark, real, monkeypatch):
     assert sorted(contamination.search(frame(spark, real), bench).collect()) == sorted(whole)
 
 
+def test_contamination_of_items_with_a_common_heading():
+    """5,000 items that share a heading, and a document that holds the heading often: settled once, not for each item and hit."""
+    heading = " ".join(prose(1, 12, 10**6))
+    items = [heading + " " + " ".join(prose(1000 + k, 30, 10**6)) for k in range(5000)]
+    index = contamination.Index(list(range(5000)), items)
+    text = " ".join(f"{heading} {' '.join(prose(20_000 + k, 20, 10**6))}" for k in range(100)) + " " + items[77]
+    buf = np.frombuffer(text.encode(), np.uint8)
+    offs = np.array([0, len(buf)])
+    began = time.perf_counter()
+    found = list(index.matches(buf, offs))
+    assert time.perf_counter() - began < 0.5  # a loop over hits and items takes seconds
+    assert [(d, i) for d, i, _ in found] == [(0, 77)]
+
+
+@pytest.mark.parametrize("size", [300, 2000, 9000])
+def test_contamination_finds_long_and_scattered_items(size):
+    r = random.Random(size)
+    items = [prose(size + k, size, 10**6) for k in range(10)]
+    index = contamination.Index(list(range(10)), [" ".join(w) for w in items])
+    for k, w in enumerate(items):
+        parts = [w[a : a + 100] for a in range(0, size, 96)]  # runs that overlap by a shingle
+        text = []
+        for n, part in enumerate(parts):
+            text += part + prose(n, r.randrange(10), 10**6)
+        buf = np.frombuffer(" ".join(text).encode(), np.uint8)
+        assert [i for _, i, _ in index.matches(buf, np.array([0, len(buf)]))] == [k]
+
+
 def test_quality_rules_base_figures(spark, mixed, real):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = real + [(5000 + d, t) for d, t in mixed] + [(None, "loop " * 30)]

@@ -35,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
+from viewgrid.llm.pieces import gather
 from viewgrid.llm.tables import id_and_text
 
 SHINGLE = 5
 PERCENT = 80
 BIN_BITS = 8  # 256 bins
+BIN_SHIFT = ts.U(64 - BIN_BITS)
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
 
@@ -57,74 +59,93 @@ def run_of_all(w: np.ndarray) -> np.ndarray:
     return ts.run_hashes(w, len(w)) if len(w) else np.empty(0, ts.U)
 
 
+def among(values: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Which of ``g`` are in the sorted ``values``."""
+    if not len(values):
+        return np.zeros(len(g), bool)
+    return values[np.minimum(np.searchsorted(values, g), len(values) - 1)] == g
+
+
+def place(cells: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Place of each ``cell`` in the sorted ``cells``; -1 if it isn't there."""
+    return np.where(among(cells, cell), np.searchsorted(cells, cell), -1)
+
+
 class Index:
     """Signatures and shingle sets of a block of items."""
 
     def __init__(self, ids: list, texts: list):
-        self.ids, self.sets, self.unit = [], [], []
-        for key, (a, b, buf, offs) in self._each(ids, texts):
+        self.ids, sets = [], []
+        for a, b, buf, offs in ts.text_chunks(pa.array(texts, pa.string())):
             flat, at = ts.shingle_sets(buf, offs, SHINGLE)
             for k in range(b - a):
-                own = flat[at[k] : at[k + 1]]
-                if len(own):
-                    self.ids.append(key[a + k])
-                    self.sets.append(own)
-                    self.unit.append(1 << max(0, int(len(own) - 1).bit_length()))
-        value, item = [], []
-        for k, own in enumerate(self.sets):
-            bins = own >> ts.U(64 - BIN_BITS)
-            value.append(own[np.concatenate([[True], bins[1:] != bins[:-1]])])  # sorted: the first of each bin is its least
-            item.append(np.full(len(value[-1]), k))
-        self.value = np.concatenate(value) if value else np.empty(0, ts.U)
-        self.item = np.concatenate(item) if item else np.empty(0, np.int64)
-        order = np.argsort(self.value, kind="stable")
-        self.value, self.item = self.value[order], self.item[order]
-
-    @staticmethod
-    def _each(ids: list, texts: list):
-        for chunk in ts.text_chunks(pa.array(texts, pa.string())):
-            yield ids, chunk
-
-    def candidates(self, g: np.ndarray) -> set[int]:
-        """Items of which some signature value is the least of its bin in a segment of the document too."""
-        left = np.searchsorted(self.value, g)
-        hit = np.flatnonzero(left < len(self.value))
-        hit = hit[self.value[left[hit]] == g[hit]]
-        found: set[int] = set()
-        for p in hit.tolist():
-            v = g[p]
-            k = int(left[p])
-            while k < len(self.value) and self.value[k] == v:
-                item = int(self.item[k])
-                if item not in found:
-                    u = self.unit[item]
-                    for first in (p // u - 1, p // u):
-                        part = g[max(first, 0) * u : (first + 2) * u]
-                        if not ((part < v) & (part >> ts.U(64 - BIN_BITS) == v >> ts.U(64 - BIN_BITS))).any():
-                            found.add(item)
-                            break
-                k += 1
-        return found
+                if at[k + 1] > at[k]:
+                    self.ids.append(ids[a + k])
+                    sets.append(flat[at[k] : at[k + 1]])
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        self.ends = np.cumsum(self.sizes)
+        self.flat = np.concatenate(sets) if sets else np.empty(0, ts.U)
+        # sets are sorted: the first shingle of each bin is its least
+        item = np.repeat(np.arange(len(sets)), self.sizes)
+        bins = self.flat >> BIN_SHIFT
+        least = np.ones(len(self.flat), bool)
+        least[1:] = (bins[1:] != bins[:-1]) | (item[1:] != item[:-1])
+        value, item = self.flat[least], item[least]
+        order = np.argsort(value, kind="stable")
+        value, item = value[order], item[order]
+        self.value = value[np.concatenate([[True], value[1:] != value[:-1]])] if len(value) else value
+        exponent = np.frexp((self.sizes - 1).astype(float))[1]  # sizes up to 2**exponent
+        self.units = [(1 << e, value[exponent[item] == e], item[exponent[item] == e]) for e in np.unique(exponent).tolist()]
+
+    def candidates(self, g: np.ndarray) -> np.ndarray:
+        """Items of which some signature value is the least of its bin in a segment of the document too.
+
+        Whether a shingle is the least of its bin depends on the place and the size of the
+        segment, not on the item: it is settled once for all items of a size.
+        """
+        hit = np.flatnonzero(among(self.value, g))
+        bins = (g >> BIN_SHIFT).astype(np.int64)
+        asked = np.zeros(1 << BIN_BITS, bool)
+        asked[bins[hit]] = True
+        rivals = np.flatnonzero(asked[bins])  # other bins have no say
+        found = [np.empty(0, np.int64)]
+        for unit, value, item in self.units:
+            own = hit[among(value, g[hit])]
+            if not len(own):
+                continue
+            cells, at = np.unique((rivals // unit << BIN_BITS) + bins[rivals], return_inverse=True)
+            least = np.full(len(cells) + 1, np.iinfo(ts.U).max, ts.U)  # the last: of a cell without shingles
+            np.minimum.at(least, at, g[rivals])
+            cell = (own // unit << BIN_BITS) + bins[own]
+            before, here, after = (least[place(cells, cell + (d << BIN_BITS))] for d in (-1, 0, 1))
+            v = g[own]
+            good = np.unique(v[(here == v) & ((before >= v) | (after >= v))])
+            first = np.searchsorted(value, good)
+            found.append(gather(item, first, np.searchsorted(value, good, side="right") - first))
+        return np.unique(np.concatenate(found))
+
+    def shared(self, items: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """How many shingles of each item are in the sorted set ``whole``."""
+        sizes = self.sizes[items]
+        inside = np.concatenate([[0], np.cumsum(among(whole, gather(self.flat, self.ends[items] - sizes, sizes)))])
+        ends = np.cumsum(sizes)
+        return inside[ends] - inside[ends - sizes]
 
     def matches(self, buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document index, item index, shared shingles) of every verified pair."""
         w, at = ts.word_hashes(buf, offs, lower=True)
         g = ts.run_hashes(w, SHINGLE)
-        left = np.searchsorted(self.value, g)
-        inside = np.zeros(len(g) + 1, np.int64)
-        if len(self.value):
-            np.cumsum(self.value[np.minimum(left, len(self.value) - 1)] == g, out=inside[1:])
+        inside = np.concatenate([[0], np.cumsum(among(self.value, g))])
         for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
             if b - a >= SHINGLE and inside[b - SHINGLE + 1] == inside[a]:
                 continue  # no shingle of the document is in the index
             own = sequence(w, a, b, g)
-            found = self.candidates(own)
-            if found:
-                whole = np.unique(own)
-                for item in sorted(found):
-                    n = int(np.isin(self.sets[item], whole, assume_unique=True).sum())
-                    if 100 * n >= PERCENT * len(self.sets[item]):
-                        yield k, item, n
+            items = self.candidates(own)
+            if len(items):
+                n = self.shared(items, np.unique(own))
+                held = 100 * n >= PERCENT * self.sizes[items]
+                for item, m in zip(items[held].tolist(), n[held].tolist()):
+                    yield k, item, m
 
 
 def blocks(items: DataFrame) -> Iterator[Index]:
@@ -151,7 +172,7 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
             for batch in batches:
                 keys = batch.column(0).to_pylist()
                 for a, _, buf, offs in ts.text_chunks(batch.column(1)):
-                    rows = [(keys[a + k], ix.ids[i], len(ix.sets[i]), n, n / len(ix.sets[i])) for k, i, n in ix.matches(buf, offs)]
+                    rows = [(keys[a + k], ix.ids[i], int(ix.sizes[i]), n, n / int(ix.sizes[i])) for k, i, n in ix.matches(buf, offs)]
                     columns = list(zip(*rows)) or [()] * 5
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
