@@ -2,12 +2,22 @@
 
 A rolling hash over the last ``WINDOW`` bytes cuts texts at places that depend on
 the content alone, so that passages shared by documents fall into the same
-chunks wherever they stand.  A chunk is encoded once and its ids are reused for
-every later document of the task (bounded by ``MOST_IDS``, emptied beyond).
-Ids next to such a cut may differ from those of the whole text; the join is
-repaired by encoding anew from the last place before the cut to the first one
-after it where the encodings of both sides surely agree (safe cuts of
-``pieces``).  The ids are exactly those of encoding the whole text.
+chunks wherever they stand.
+
+Chunks shared across documents are encoded once: a count of all chunk hashes
+finds those that occur repeatedly, the ones that save the most bytes (about
+``SHARED_BYTES`` of text and ``SHARED_CHUNKS`` chunks) are encoded by Spark tasks of their
+own, and their ids go out as a broadcast dictionary.  Every other chunk is
+encoded by the task that meets it, once as long as its memory holds it
+(``MOST_CHUNKS``, ``MOST_IDS``; emptied beyond, which costs time only).
+
+A chunk is encoded as it stands, cut inside words, so ids next to a cut may
+differ from those of the whole text.  Joins are repaired: the stretch around a
+cut is encoded anew by the tokenizers library, with one more piece on either
+side, until the new ids of those outer pieces agree with the ids of both chunks;
+where they don't, the stretch grows, up to the whole document.  Stretches begin and
+end at safe cuts (``pieces``), where encodings never depend on what is beyond,
+so the ids are exactly those of encoding the whole text.
 
 Defined results: a null or empty text has no ids; rows are independent, so
 repeated rows repeat their results; other columns are ignored.
@@ -17,6 +27,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +37,62 @@ from pyspark.sql import functions as F
 
 from viewgrid.llm import textscan as ts
 from viewgrid.llm.pieces import PieceEncoder, SpanMemory, encoder, gather, safe_cuts
+from viewgrid.llm.tables import staged
 
 WINDOW = 16
 CHUNK_BYTES = 1 << 19  # of text worked on at once; spelling its ids takes some 50 times as much memory
-MEAN_CHUNK = 512  # bytes; a power of two
+MEAN_CHUNK = 256  # bytes; a power of two
 MOST_IDS = 2_000_000
 MOST_CHUNKS = 100_000
+SHARED_BYTES = 8 << 20
+SHARED_CHUNKS = 32_768
 
 
-def rolling_cuts(buf: np.ndarray) -> np.ndarray:
-    """Positions behind a window whose hash is 0 modulo MEAN_CHUNK."""
+def rolling_cuts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Document edges, and the character edges next behind a window of one document whose hash is 0 modulo MEAN_CHUNK."""
     if len(buf) <= WINDOW:
-        return np.empty(0, np.int64)
+        return np.unique(offs)
     sums = ts.prefix(buf)
     n = len(buf) - WINDOW
     h = ts.mix((sums[WINDOW:-1] - sums[:n]) * ts.powers(len(sums))[1][:n])
-    return np.flatnonzero((h & ts.U(MEAN_CHUNK - 1)) == 0) + WINDOW
+    cuts = np.flatnonzero((h & ts.U(MEAN_CHUNK - 1)) == 0)  # starts of the windows
+    cuts = cuts[cuts + WINDOW <= offs[np.searchsorted(offs, cuts, side="right")]] + WINDOW
+    for _ in range(3):  # a character has at most three more bytes
+        cuts = cuts + ((buf[np.minimum(cuts, len(buf) - 1)] & 0xC0 == 0x80) & (cuts < len(buf)))
+    return np.unique(np.concatenate([offs, cuts]))
+
+
+def chunk_keys(buf: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each chunk."""
+    a, b = edges[:-1], edges[1:]
+    return ts.span_hash(ts.prefix(buf), a, b), ts.span_hash(ts.prefix(buf, ts.BASE_2), a, b, ts.BASE_2)
+
+
+class Dictionary(NamedTuple):
+    """Ids of the chunks shared across documents, sorted by key."""
+
+    keys: np.ndarray
+    checks: np.ndarray
+    first: np.ndarray
+    sizes: np.ndarray
+    flat: np.ndarray
+
+
+NOTHING = Dictionary(np.empty(0, ts.U), np.empty(0, ts.U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32))
+
+
+class ChunkMemory(SpanMemory):
+    """A memory that starts from a dictionary, also when it has been emptied."""
+
+    start = NOTHING
+
+    def begin(self, shared: Dictionary) -> None:
+        self.start = shared
+        self.most_spans, self.most_ids = MOST_CHUNKS + len(shared.keys), MOST_IDS + len(shared.flat)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.checks, self.first, self.sizes, self.flat = self.start
 
 
 class ChunkCoder:
@@ -48,7 +100,8 @@ class ChunkCoder:
 
     def __init__(self, path: str):
         self.pieces: PieceEncoder = encoder(path)
-        self.memory = SpanMemory(self.encode_spans, MOST_CHUNKS, MOST_IDS)
+        self.memory = ChunkMemory(self.encode_spans, MOST_CHUNKS, MOST_IDS)
+        self.stretches = SpanMemory(self.encode_whole, MOST_CHUNKS, MOST_IDS)
         tok = self.pieces.tokenizer
         byte = {c: b for b, c in enumerate(self.pieces.alphabet)}
         tokens = [tok.id_to_token(i) or "" for i in range(tok.get_vocab_size(with_added_tokens=True))]
@@ -63,19 +116,64 @@ class ChunkCoder:
         sizes = ends - starts
         return self.pieces.documents(gather(buf, starts, sizes), np.concatenate([[0], np.cumsum(sizes)]))
 
+    def encode_whole(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each span from the library alone."""
+        raw, tok = buf.tobytes(), self.pieces.tokenizer
+        out = [tok.encode(raw[a:b].decode("utf-8"), add_special_tokens=False).ids for a, b in zip(starts.tolist(), ends.tolist())]
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
+
+    def token_edges(self, ids: np.ndarray) -> np.ndarray:
+        """Byte positions where tokens begin and, at last, end."""
+        return np.concatenate([[0], np.cumsum(self.token_at[ids.astype(np.int64) + 1] - self.token_at[ids])])
+
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, end to end, and how many each has."""
         if not len(buf):
             return np.empty(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
+        edges = rolling_cuts(buf, offs)
+        ids, sizes = self.memory.spans(buf, edges[:-1], edges[1:])
+        ids = self.repaired(buf, offs, edges, ids)
+        at = self.token_edges(ids)
+        return ids, np.diff(np.searchsorted(at, offs))
+
+    def repaired(self, buf: np.ndarray, offs: np.ndarray, edges: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """``ids`` of the chunks between ``edges`` with the ids around each join encoded anew, until both sides agree."""
         safe = np.append(safe_cuts(buf, offs), len(buf))
-        cuts = rolling_cuts(buf)
-        left = safe[np.searchsorted(safe, cuts, side="right") - 1]
-        right = safe[np.searchsorted(safe, cuts)]  # left == right: the cut is safe and needs no repair
-        edges = np.unique(np.concatenate([offs, left, right]))
-        starts = edges[:-1]
-        ids, sizes = self.memory.spans(buf, starts, edges[1:])
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(total[np.searchsorted(starts, offs)])
+        last = len(safe) - 1
+        border = np.isin(safe, offs)  # stretches stay inside a document
+        left = np.searchsorted(safe, edges, side="right") - 1
+        right = np.searchsorted(safe, edges)
+        join = left != right  # a cut that is safe needs no repair
+        left, right = left[join], right[join]
+        at = self.token_edges(ids)
+        while len(left):
+            outer_left = np.where(border[left], left, np.maximum(left - 1, 0))
+            outer_right = np.where(border[right], right, np.minimum(right + 1, last))
+            apart = np.concatenate([[True], outer_left[1:] >= outer_right[:-1]])
+            first = np.flatnonzero(apart)  # joins whose stretches overlap have one stretch in common
+            final = np.append(first[1:], len(left)) - 1
+            marks = safe[np.stack([outer_left[first], left[first], right[final], outer_right[final]])]
+            place = np.searchsorted(at, marks)
+            agree = (at[place] == marks).all(axis=0)
+            fresh, sizes = self.stretches.spans(buf, marks[0], marks[3])
+            ends = np.cumsum(sizes)
+            before, behind = place[1] - place[0], place[3] - place[2]
+            agree &= before + behind <= sizes
+            for start, old, n in ((ends - sizes, place[0], before), (ends - behind, place[2], behind)):
+                n = np.where(agree, n, 0)
+                unlike = np.concatenate([[0], np.cumsum(gather(fresh, start, n) != gather(ids, old, n))])
+                agree &= unlike[np.cumsum(n)] == unlike[np.cumsum(n) - n]
+            if agree.all():
+                pool = np.concatenate([ids, fresh])
+                kept_from = np.concatenate([[0], place[2]])
+                kept = np.append(place[1], len(ids)) - kept_from
+                inner = np.append(sizes - before - behind, 0)
+                inner_from = np.append(len(ids) + ends - sizes + before, 0)
+                return gather(pool, np.stack([kept_from, inner_from], axis=1).ravel(), np.stack([kept, inner], axis=1).ravel())
+            wider = np.repeat(~agree, final - first + 1)
+            left, right = np.where(wider, outer_left, left), np.where(wider, outer_right, right)
+        return ids
 
     def spell(self, ids: np.ndarray, table: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The table entries of the ids, end to end, and where each document's begin."""
@@ -99,17 +197,107 @@ def coder(path: str) -> ChunkCoder:
     return _coders[path]
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bytes, chunk edges) of the texts in the first column."""
+    for batch in batches:
+        for _, _, buf, offs in ts.text_chunks(batch.column(0), CHUNK_BYTES):
+            if len(buf):
+                yield buf, rolling_cuts(buf, offs)
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """key, check, size and n of the chunks that occur ``n`` > 1 times in the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for buf, edges in _texts(batches):
+            keys, checks = chunk_keys(buf, edges)
+            columns = [pa.array(ts.signed(keys)), pa.array(ts.signed(checks)), pa.array(np.diff(edges))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "check", "size"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, check long, size long")
+    counts = rows.groupBy("key", "check").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > 1)
+
+
+def most_saving(chunks: DataFrame) -> DataFrame:
+    """key and check of the chunks that save most: about SHARED_BYTES of text and SHARED_CHUNKS chunks.
+
+    Powers of two of the bytes saved are counted, so 64 rows at most reach the driver; of the
+    power that fits in part, chunks are taken by their hash.
+    """
+    level = F.floor(F.log2(F.col("size") * (F.col("n") - 1))).cast("int")
+    counts = chunks.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("chunks"), F.sum("size").alias("bytes")).collect()
+    room, room_bytes, taken = SHARED_CHUNKS, SHARED_BYTES, F.lit(False)
+    for r in sorted(counts, key=lambda r: -r.level):
+        share = min(1.0, room / r.chunks, room_bytes / r.bytes)
+        taken = taken | ((level == r.level) & (F.pmod("check", F.lit(1024)) < int(1024 * share)))
+        room, room_bytes = room - r.chunks, room_bytes - r.bytes
+        if share < 1:
+            break
+    return chunks.where(taken).select("key", "check")
+
+
+def shared_chunks(docs: DataFrame, tokenizer: str) -> Dictionary:
+    """The dictionary of ``docs``; what reaches the driver is bounded by SHARED_BYTES and SHARED_CHUNKS."""
+    wanted = most_saving(staged(repeated(docs), "op9-chunks")).toArrow()
+    keys, checks = (wanted.column(k).to_numpy().view(ts.U) for k in ("key", "check"))
+    order = np.argsort(keys)
+    keys, checks = keys[order], checks[order]
+    alone = np.ones(len(keys), bool)
+    alone[1:] = keys[1:] != keys[:-1]
+    sent = docs.sparkSession.sparkContext.broadcast((keys[alone], checks[alone]))
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, checks = sent.value
+        open_ = np.ones(len(keys) + 1, bool)  # not sent by this task yet; the last is of other chunks
+        open_[-1] = False
+        for buf, edges in _texts(batches):
+            key, check = chunk_keys(buf, edges)
+            at = np.searchsorted(keys, key)
+            near = np.minimum(at, len(keys) - 1)
+            at = np.where((keys[near] == key) & (checks[near] == check), at, len(keys)) if len(keys) else np.zeros_like(at)
+            at, one = np.unique(at, return_index=True)
+            one = one[open_[at]]
+            open_[at] = False
+            raw = [buf[a:b].tobytes() for a, b in zip(edges[one].tolist(), edges[one + 1].tolist())]
+            columns = [pa.array(ts.signed(key[one])), pa.array(ts.signed(check[one])), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "check", "raw"])
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(tokenizer)
+        for batch in batches:
+            raw = batch.column(2).to_pylist()
+            ends = np.cumsum([0, *map(len, raw)])
+            ids, sizes = own.encode_spans(np.frombuffer(b"".join(raw), np.uint8), ends[:-1], ends[1:])
+            packed, cut = ids.astype("<u4"), np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            ids = pa.array([packed[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["key", "check", "ids"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(texts, "key long, check long, raw binary")
+    rows = rows.groupBy("key", "check").agg(F.min("raw").alias("raw"))
+    rows = rows.repartition(16, "key").mapInArrow(encoded, "key long, check long, ids binary").toArrow()
+    keys, checks = (rows.column(k).to_numpy().view(ts.U) for k in ("key", "check"))
+    order = np.argsort(keys)
+    ids = rows.column("ids").to_pylist()
+    ids = [ids[k] for k in order.tolist()]
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    return Dictionary(keys[order], checks[order], np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(ids), "<u4"))
+
+
 def _each(docs: DataFrame, tokenizer: str, fields: str, row) -> DataFrame:
     """A row (doc_id, *row) for each document, from its ids, sizes and the worker's coder."""
+    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)
+        own.memory.begin(shared.value)
         for batch in batches:
             for a, b, buf, offs in ts.text_chunks(batch.column(1), CHUNK_BYTES):
                 ids, sizes = own.encode(buf, offs)
                 columns = row(own, ids.astype(np.int64), sizes)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns.values()], ["doc_id", *columns])
-        own.memory.clear()  # idle workers hold memory that other tasks need
+        own.memory.begin(NOTHING)  # idle workers hold memory that other tasks need
+        own.stretches.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id long, {fields}")
