@@ -247,6 +247,74 @@ def test_super_minhash_estimates_similarity():
     assert (np.sort(few[0] >> np.uint64(32)) == np.arange(near_dedup.SLOTS)).all()  # one element's ranks are a permutation
 
 
+@pytest.mark.parametrize("mean", [2, 16, 256])
+def test_chunk_joins_are_repaired(library, real, mixed, monkeypatch, mean):
+    """Joins everywhere, in words, numbers, white space, special tokens and long runs without any safe place."""
+    monkeypatch.setattr(chunk_bpe, "MEAN_CHUNK", mean)
+    own = chunk_bpe.ChunkCoder(PATH)
+    texts = [t or "" for _, t in real[:60] + mixed] + ["日本語" * 300, "ab" * 2000, "<|endoftext|>" * 40, "1234567890 " * 90, " \n" * 300]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0] + [len(t.encode()) for t in texts])
+    ids, sizes = own.encode(buf, offs)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    edges = chunk_bpe.rolling_cuts(buf, offs)
+    plain, _ = own.memory.spans(buf, edges[:-1], edges[1:])
+    assert plain.tolist() != ids.tolist()  # there was something to repair
+
+
+def test_chunk_joins_widen_until_both_sides_agree(library):
+    """Chunk ids that are wrong next to their cuts, further than one piece, are found out and replaced."""
+    own = chunk_bpe.ChunkCoder(PATH)
+    text = " ".join(prose(7, 900, 10**6))
+    buf = np.frombuffer(text.encode(), np.uint8)
+    offs = np.array([0, len(buf)])
+    edges = chunk_bpe.rolling_cuts(buf, offs)
+    at = [library.token_to_id(c) for c in pieces.byte_alphabet()]
+    wrong = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        ids = own.encode_spans(buf, np.array([a]), np.array([b]))[0]
+        ends = own.token_edges(ids)
+        if len(ids) < 40:
+            wrong += ids.tolist()
+            continue
+        head, tail = (0, 0) if a == 0 else (0, 12), (len(ids), len(ids)) if b == len(buf) else (len(ids) - 12, len(ids))
+        for k, i in enumerate(ids.tolist()):
+            inside = head[0] <= k < head[1] or tail[0] <= k < tail[1]
+            wrong += [at[x] for x in buf[a + ends[k] : a + ends[k + 1]].tolist()] if inside else [i]
+    want = library.encode(text, add_special_tokens=False).ids
+    assert len(edges) > 5 and wrong != want
+    assert own.repaired(buf, offs, edges, np.array(wrong, np.uint32)).tolist() == want
+
+
+def test_chunks_shared_across_documents(spark, library, real, monkeypatch):
+    """Repeated chunks against a plain count; the dictionary holds their library ids, within its bounds; results don't depend on it."""
+    rows = real[:80] + [(3000 + d, "x " + (t or "")) for d, t in real[:80]] + [(d, ODD[7]) for d in range(5)] + [(None, None)]
+    docs = frame(spark, rows).repartition(6)
+    count = {}
+    for _, t in rows:
+        buf = np.frombuffer((t or "").encode(), np.uint8)
+        edges = chunk_bpe.rolling_cuts(buf, np.array([0, len(buf)])).tolist()
+        for a, b in zip(edges, edges[1:]):
+            count[buf[a:b].tobytes()] = count.get(buf[a:b].tobytes(), 0) + 1
+    common = {c: n for c, n in count.items() if n > 1}
+    got = chunk_bpe.repeated(docs).collect()
+    assert sorted((r.size, r.n) for r in got) == sorted((len(c), n) for c, n in common.items()) and len(got) > 50
+    whole = chunk_bpe.shared_chunks(docs, PATH)
+    ids = [whole.flat[a : a + n].tolist() for a, n in zip(whole.first.tolist(), whole.sizes.tolist())]
+    assert sorted(ids) == sorted(library.encode(c.decode(), add_special_tokens=False).ids for c in common)
+    want = sorted(chunk_bpe.digest(docs, PATH).collect(), key=str)
+    for bytes_, chunks in ((0, 9), (3000, 10**6), (10**6, 7)):
+        monkeypatch.setattr(chunk_bpe, "SHARED_BYTES", bytes_)
+        monkeypatch.setattr(chunk_bpe, "SHARED_CHUNKS", chunks)
+        assert len(chunk_bpe.shared_chunks(docs, PATH).keys) <= min(chunks * 2, bytes_)
+        assert sorted(chunk_bpe.digest(docs, PATH).collect(), key=str) == want
+    for r in want:
+        if r.doc_id is not None and r.doc_id >= 3000:
+            t = library.encode("x " + (dict(real)[r.doc_id - 3000] or ""), add_special_tokens=False).ids
+            assert r.ids_sha256 == hashlib.sha256(",".join(map(str, t)).encode()).hexdigest()
+
+
 def test_contamination(spark, real):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = list(real) + [(None, items[0][1]), (990, "one two three"), (991, None)]
