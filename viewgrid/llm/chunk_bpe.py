@@ -142,10 +142,9 @@ class ChunkCoder:
         safe = np.append(safe_cuts(buf, offs), len(buf))
         last = len(safe) - 1
         border = np.isin(safe, offs)  # stretches stay inside a document
-        left = np.searchsorted(safe, edges, side="right") - 1
-        right = np.searchsorted(safe, edges)
-        join = left != right  # a cut that is safe needs no repair
-        left, right = left[join], right[join]
+        joins = np.setdiff1d(edges, offs)
+        left = np.searchsorted(safe, joins, side="right") - 1
+        right = np.searchsorted(safe, joins)
         at = self.token_edges(ids)
         while len(left):
             outer_left = np.where(border[left], left, np.maximum(left - 1, 0))
