@@ -168,3 +168,31 @@ def beside_next(docs, fingerprints):
         near = [len(a & y) / len(a | y) if a | y else 1.0 for y in (b, c)]
         out.append((d, len(t), hashlib.sha256(changed.encode()).hexdigest(), own.text(0), own.text(1), *near))
     return out
+
+
+def ftrl(rows, labels, m):
+    """FTRL-proximal, one coordinate at a time; ``m`` holds the rates.  (weights that aren't 0, bias)"""
+    seen = {}
+    for x in rows:
+        for i in x.tolist():
+            seen[i] = seen.get(i, 0) + 1
+    z, n, bias, bias_n = {}, {}, 0.0, 1.0
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= m.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return (sign * m.L1 - z[i]) / ((m.BETA + math.sqrt(n[i])) / m.RATE + m.L2)
+
+    for _ in range(m.EPOCHS):
+        for x, y in zip(rows, labels):
+            own = [i for i in x.tolist() if seen[i] >= m.LEAST_DOCS]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-(sum(w.values()) + bias))) - y
+            for i in own:
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(old)) / m.RATE * w[i]
+            bias_n += g * g
+            bias -= m.BIAS_RATE * g / math.sqrt(bias_n)
+    return {i: weight(i) for i in z if weight(i)}, bias

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm import brute
 from viewgrid.llm import quality_model, toxicity
 from viewgrid.llm import textscan as ts
 from viewgrid.llm.queries import QUERIES
@@ -88,6 +89,60 @@ def test_odd_rows_and_no_labels(spark):
     assert toxicity.fit(none, labels, F.lit(True)).bias == 0 and quality_model.word_vectors(none).any() == False  # noqa: E712
 
 
+def test_sample_is_the_first_by_hash(spark):
+    """The cut by hash ranges takes the rows that a sort of all would take."""
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic")).repartition(7)
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for bound in (1, 40, 2999, 3000, 9000):
+        assert sorted(r.doc_id for r in labelled_sample(labels, "toxic", F.lit(True), bound).collect()) == sorted(order[:bound])
+
+
+def test_ftrl_against_one_coordinate_at_a_time():
+    r = np.random.default_rng(3)
+    rows = [np.unique(r.integers(0, 60, 12)) for _ in range(150)]
+    labels = np.array([float(3 in x or 7 in x) for x in rows])
+    weight, bias = brute.ftrl(rows, labels, toxicity)
+    model = toxicity.ftrl(rows, labels)
+    assert model.index.tolist() == sorted(weight) and 0 < len(weight) < 60
+    assert np.allclose(model.weight, [weight[i] for i in sorted(weight)]) and np.isclose(model.bias, bias)
+
+
+def test_network_and_temperature():
+    """The network learns a plain rule; its temperature has the least loss of all on the rows kept for it."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(1000, 4))
+    y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(float)
+    net = quality_model.train(x, y)
+    held = np.arange(1000) % 5 == 4
+
+    def loss(part, t=1.0):
+        z = net.logit(x[part]) / t
+        return float(np.mean(np.logaddexp(0, z) - y[part] * z))
+
+    assert loss(~held) < 0.2 and net.temperature in np.geomspace(0.25, 8, 61)
+    assert loss(held, net.temperature) == min(loss(held, t) for t in np.geomspace(0.25, 8, 61))
+
+
+def test_word_vectors_against_a_plain_loop(spark):
+    texts = ["the cat sat, on the mat", "the dog sat", None, "", "one", "cat cat cat dog"]
+    plus, minus = quality_model.index_places()
+    out = np.zeros((quality_model.BUCKETS, quality_model.DIMS))
+    for t in texts:
+        buf = np.frombuffer((t or "").encode(), np.uint8)
+        b = quality_model.bucket(quality_model.tokens(buf, np.array([0, len(buf)]))[0]).tolist()
+        for i, word in enumerate(b):
+            for j in range(max(0, i - quality_model.REACH), min(len(b), i + quality_model.REACH + 1)):
+                if i != j:
+                    out[word, plus[b[j]]] += 1
+                    out[word, minus[b[j]]] -= 1
+    out = np.sign(out) * np.log1p(np.abs(out))
+    used = out.any(axis=1)
+    out[used] -= out[used].mean(axis=0)
+    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    got = quality_model.word_vectors(odd(spark, list(enumerate(texts))).repartition(3))
+    assert used.sum() > 5 and np.allclose(got, out, atol=1e-6)
+
+
 def test_ftrl_finds_the_words_that_matter():
     rng = np.random.default_rng(2)
     rows, labels = [], []

@@ -48,6 +48,16 @@ def labelled_sample(labels: DataFrame, column: str, allowed: Column, bound: int)
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & allowed)
     rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    # the task that sorts gets the rows of the first hash ranges that hold ``bound`` rows, not ``bound`` of each partition
+    part = F.shiftright(F.xxhash64("doc_id"), 48)
+    counts = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # 65,536 ranges at most
+    last, total = None, 0
+    for r in sorted(counts, key=lambda r: r.part):
+        last, total = r.part, total + r.n
+        if total >= bound:
+            break
+    if last is not None:
+        rows = rows.where(part <= last)
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
