@@ -13,7 +13,7 @@ the hash tiebreaker lets a hot (date, id) spread over several files/tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from viewgrid.operators.enrich import bounded_broadcast
@@ -69,6 +69,25 @@ COLUMN_COMMENTS = {
 }
 
 
+#: Columns that are looked up by value: date order alone can't tell which row groups hold an id.
+BLOOM_COLUMNS = ("AKKIO_ID", "AKKIO_HH_ID")
+BLOOM_BYTES = 1 << 20  # of a column in a row group at most; the writer takes the smallest size that fits its ids
+
+
+def with_bloom_filters(w: DataFrameWriter, columns) -> DataFrameWriter:
+    """``w`` with Parquet Bloom filters on the id columns among ``columns``.
+
+    An equality or IN on an id then skips the row groups whose filter rules it out, also
+    where ids are too many for a dictionary.
+    """
+    ids = [c for c in BLOOM_COLUMNS if c in columns]
+    for c in ids:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if ids:
+        w = w.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", BLOOM_BYTES)
+    return w
+
+
 def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort on ``cluster_by`` (with a hash tiebreaker)."""
     cols = [F.col(c) for c in cluster_by]
@@ -118,7 +137,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
         df = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
     elif cluster_by:
         df = clustered(df, cluster_by)
-    w = df.write.mode(mode)
+    w = with_bloom_filters(df.write.mode(mode), df.columns)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if dynamic:
