@@ -33,13 +33,15 @@ from viewgrid.llm import textscan as ts
 from viewgrid.llm.tables import id_and_text, labelled_sample, sampled_texts, staged
 
 FIT_ROWS = 20_000
-BUCKETS = 1 << 14
-DIMS = 32
+BUCKETS = 1 << 17
+DIMS = 64
 REACH = 2
 HIDDEN = 32
 EPOCHS = 30
 THRESHOLD = 0.3
 CHUNK = 1 << 20
+BLOCK = 1 << 16  # tokens whose vectors are looked up at once
+ROWS = 1 << 13  # table rows in an Arrow batch
 SEED = 7
 
 _KIND = np.full(256, 2, np.uint8)
@@ -84,46 +86,74 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 inside = doc[gap:] == doc[:-gap]
                 left, right = b[:-gap][inside], b[gap:][inside]
                 for word, other in ((left, right), (right, left)):
-                    total += np.bincount(word * DIMS + plus[other], minlength=len(total))
-                    total -= np.bincount(word * DIMS + minus[other], minlength=len(total))
+                    np.add.at(total, word * DIMS + plus[other], 1)
+                    np.add.at(total, word * DIMS + minus[other], -1)
     total = total.reshape(BUCKETS, DIMS)
     used = np.flatnonzero(total.any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, k]) for k in range(DIMS))], ["bucket", *(f"d{k}" for k in range(DIMS))])
+    for a in range(0, len(used), ROWS):
+        part = used[a : a + ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(total[part, k]) for k in range(DIMS))], ["bucket", *(f"d{k}" for k in range(DIMS))])
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """BUCKETS x DIMS vectors from all documents; the collected table has that bounded size."""
+    """BUCKETS x DIMS vectors from all documents; the collected table has that bounded size (34 MB)."""
     names = [f"d{k}" for k in range(DIMS)]
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_contexts, "bucket long, " + ", ".join(f"{c} long" for c in names))
-    sums = parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names)).toPandas()
+    sums = parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names))
+    logs = sums.select("bucket", *((F.signum(c) * F.log1p(F.abs(c))).cast("float").alias(c) for c in names)).toArrow()
     out = np.zeros((BUCKETS, DIMS))
-    out[sums["bucket"].to_numpy()] = sums[names].to_numpy()
-    out = np.sign(out) * np.log1p(np.abs(out))
+    at = logs["bucket"].to_numpy()
+    for k, c in enumerate(names):
+        out[at, k] = logs[c].to_numpy()
     used = out.any(axis=1)
     if used.any():
         out[used] -= out[used].mean(axis=0)
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
+def _blocks(at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Token ranges of at most BLOCK: whole documents, and pieces of a longer one that are cut from its own start."""
+    a = 0
+    for start, end in zip(at[:-1].tolist(), at[1:].tolist()):
+        if end - a <= BLOCK:
+            continue
+        if start > a:
+            yield a, start
+            a = start
+        while end - a > BLOCK:
+            yield a, a + BLOCK
+            a += BLOCK
+    if a < at[-1]:
+        yield a, int(at[-1])
+
+
 def pooled(vectors: np.ndarray, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """A row of 3 * DIMS + 3 figures for each document."""
+    """A row of 3 * DIMS + 3 figures for each document; a text has the same figures wherever it stands."""
     w, at = tokens(buf, offs)
     n = len(offs) - 1
     out = np.zeros((n, 3 * DIMS + 3), np.float32)
     some = np.flatnonzero(np.diff(at))
     if not len(some):
         return out
+    doc, place = np.repeat(np.arange(n), np.diff(at)), bucket(w)
+    total, square, near = np.zeros((3, n, DIMS))
+    for a, b in _blocks(at):
+        v = vectors[place[a : b + 1]]  # one more, the neighbour of the last
+        own, nextto = v[: b - a], v[1:]
+        product = own[: len(nextto)] * nextto
+        product[doc[a : a + len(nextto)] != doc[a + 1 : a + 1 + len(nextto)]] = 0  # a document's last token has no neighbour
+        first = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
+        rows = doc[a:b][first]
+        total[rows] += np.add.reduceat(own, first, axis=0)
+        square[rows] += np.add.reduceat(own * own, first, axis=0)
+        if len(product) < b - a:
+            product = np.vstack([product, np.zeros((1, DIMS), product.dtype)])
+        near[rows] += np.add.reduceat(product, first, axis=0)
     size = np.diff(at)[some][:, None]
-    v = vectors[bucket(w)]
-    first = at[:-1][some]
-    mean = np.add.reduceat(v, first, axis=0) / size
-    square = np.add.reduceat(v * v, first, axis=0) / size
-    near = np.zeros_like(v)
-    near[:-1] = v[:-1] * v[1:]
-    near[at[1:][some] - 1] = 0  # a document's last token has no neighbour
+    mean = total[some] / size
     out[some, :DIMS] = mean
-    out[some, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square - mean * mean, 0))
-    out[some, 2 * DIMS : 3 * DIMS] = np.add.reduceat(near, first, axis=0) / np.maximum(size - 1, 1)
+    out[some, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square[some] / size - mean * mean, 0))
+    out[some, 2 * DIMS : 3 * DIMS] = near[some] / np.maximum(size - 1, 1)
     pair = ts.mix(w[:-1] * ts.U(3) + w[1:]) if len(w) > 1 else w[:0]
     for k in some.tolist():
         a, b = int(at[k]), int(at[k + 1])
@@ -210,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = FIT_RO
     vectors = word_vectors(docs)
     sample = staged(labelled_sample(labels, "quality", allowed, bound), "quality-sample")
     rows = sampled_texts(docs, sample).mapInArrow(_pool(spark.sparkContext.broadcast(vectors), 2), "doc_id long, label int, pooled binary")
-    rows = rows.toPandas().sort_values("doc_id")  # at most ``bound`` documents of 396 bytes
+    rows = rows.toPandas().sort_values("doc_id")  # at most ``bound`` documents of 780 bytes
     x = np.frombuffer(b"".join(rows["pooled"]), np.float32).reshape(len(rows), 3 * DIMS + 3)
     order = np.argsort(ts.mix(rows["doc_id"].to_numpy().astype(ts.U)), kind="stable")
     net = train(x[order], rows["label"].to_numpy()[order])
