@@ -40,7 +40,7 @@ HIDDEN = 32
 EPOCHS = 30
 THRESHOLD = 0.3
 CHUNK = 1 << 20
-BLOCK = 1 << 16  # tokens whose vectors are looked up at once
+BLOCK = 1 << 13  # tokens of a document whose vectors are looked up at once
 ROWS = 1 << 13  # table rows in an Arrow batch
 SEED = 7
 
@@ -111,55 +111,28 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def _blocks(at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Token ranges of at most BLOCK: whole documents, and pieces of a longer one that are cut from its own start."""
-    a = 0
-    for start, end in zip(at[:-1].tolist(), at[1:].tolist()):
-        if end - a <= BLOCK:
-            continue
-        if start > a:
-            yield a, start
-            a = start
-        while end - a > BLOCK:
-            yield a, a + BLOCK
-            a += BLOCK
-    if a < at[-1]:
-        yield a, int(at[-1])
-
-
 def pooled(vectors: np.ndarray, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """A row of 3 * DIMS + 3 figures for each document; a text has the same figures wherever it stands."""
     w, at = tokens(buf, offs)
-    n = len(offs) - 1
-    out = np.zeros((n, 3 * DIMS + 3), np.float32)
-    some = np.flatnonzero(np.diff(at))
-    if not len(some):
-        return out
-    doc, place = np.repeat(np.arange(n), np.diff(at)), bucket(w)
-    total, square, near = np.zeros((3, n, DIMS))
-    for a, b in _blocks(at):
-        v = vectors[place[a : b + 1]]  # one more, the neighbour of the last
-        own, nextto = v[: b - a], v[1:]
-        product = own[: len(nextto)] * nextto
-        product[doc[a : a + len(nextto)] != doc[a + 1 : a + 1 + len(nextto)]] = 0  # a document's last token has no neighbour
-        first = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
-        rows = doc[a:b][first]
-        total[rows] += np.add.reduceat(own, first, axis=0)
-        square[rows] += np.add.reduceat(own * own, first, axis=0)
-        if len(product) < b - a:
-            product = np.vstack([product, np.zeros((1, DIMS), product.dtype)])
-        near[rows] += np.add.reduceat(product, first, axis=0)
-    size = np.diff(at)[some][:, None]
-    mean = total[some] / size
-    out[some, :DIMS] = mean
-    out[some, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square[some] / size - mean * mean, 0))
-    out[some, 2 * DIMS : 3 * DIMS] = near[some] / np.maximum(size - 1, 1)
+    out = np.zeros((len(offs) - 1, 3 * DIMS + 3), np.float32)
+    place = bucket(w)
     pair = ts.mix(w[:-1] * ts.U(3) + w[1:]) if len(w) > 1 else w[:0]
-    for k in some.tolist():
+    for k in np.flatnonzero(np.diff(at)).tolist():
         a, b = int(at[k]), int(at[k + 1])
-        out[k, -3] = np.log1p(b - a)
-        out[k, -2] = len(np.unique(w[a:b])) / (b - a)
-        out[k, -1] = len(np.unique(pair[a : b - 1])) / (b - a - 1) if b - a > 1 else 1.0
+        size = b - a
+        total, square, near = np.zeros((3, DIMS))
+        for c in range(a, b, BLOCK):
+            v = vectors[place[c : min(c + BLOCK + 1, b)]]  # one more than a block, the neighbour of its last token
+            total += v[:BLOCK].sum(axis=0)
+            square += np.einsum("ij,ij->j", v[:BLOCK], v[:BLOCK])
+            near += np.einsum("ij,ij->j", v[:-1], v[1:])
+        mean = total / size
+        out[k, :DIMS] = mean
+        out[k, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square / size - mean * mean, 0))
+        out[k, 2 * DIMS : 3 * DIMS] = near / max(size - 1, 1)
+        out[k, -3] = np.log1p(size)
+        out[k, -2] = len(np.unique(w[a:b])) / size
+        out[k, -1] = len(np.unique(pair[a : b - 1])) / (size - 1) if size > 1 else 1.0
     return out
 
 
