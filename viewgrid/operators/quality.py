@@ -2,7 +2,8 @@
 
 A check is (table, columns, kind, argument, severity).  Row-level kinds
 (not_null, expression, range, accepted_values) of one table are evaluated in a
-single aggregation pass (one ``count_if`` per check); key kinds (unique,
+single aggregation pass (one ``count_if`` per check), or observed while the
+table is written, which costs no pass of their own; key kinds (unique,
 unique_combination) are one partial+final hash aggregate per distinct key set.
 The report has one row per check:
 (table_name, column_name, check_name, severity, failing_rows, status).
@@ -30,6 +31,10 @@ class Check:
     arg: object = None   # expression text ('>= 0'), (min, max), or list of values
     severity: str = "error"
 
+    @property
+    def key(self) -> tuple[str, str, str]:
+        return self.table, self.column_name, self.check_name
+
     @property
     def column_name(self) -> str:
         return ",".join(self.columns)
@@ -125,17 +130,30 @@ def failing_row_condition(check: Check) -> Column:
 ROW_KINDS = {"not_null", "expression", "range", "accepted_values"}
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Evaluate ``checks`` (all for the same table) over ``df``."""
+def row_checks(table: str, checks: list[Check] | None = None) -> list[Check]:
+    """The checks of ``table`` that look at one row at a time."""
+    return [c for c in (DECLARED_CHECKS if checks is None else checks) if c.table == table and c.kind in ROW_KINDS]
+
+
+def failing_counts(checks: list[Check]) -> list[Column]:
+    """An aggregate per row-level check, to be observed while its table is written (``sinks.writers.write_table``)."""
+    return [F.count_if(failing_row_condition(c)).alias(f"c{i}") for i, c in enumerate(checks)]
+
+
+def run_checks(df: DataFrame, checks: list[Check], known: dict[tuple, int] | None = None) -> DataFrame:
+    """Evaluate ``checks`` (all for the same table) over ``df``; row-level checks
+    whose failing rows are all ``known`` (by ``Check.key``) read no rows."""
     parts: list[DataFrame] = []
-    row_checks = [c for c in checks if c.kind in ROW_KINDS]
-    if row_checks:
-        counts = df.agg(*[F.count_if(failing_row_condition(c)).alias(f"c{i}")
-                          for i, c in enumerate(row_checks)])
+    by_row = [c for c in checks if c.kind in ROW_KINDS]
+    if by_row:
+        if known is not None and all(c.key in known for c in by_row):
+            counts = df.sparkSession.range(1).select(*[F.lit(known[c.key]).cast("long").alias(f"c{i}") for i, c in enumerate(by_row)])
+        else:
+            counts = df.agg(*failing_counts(by_row))
         entries = F.array(*[F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column_name).alias("column_name"),
                                      F.lit(c.check_name).alias("check_name"), F.lit(c.severity).alias("severity"),
                                      F.col(f"c{i}").alias("failing_rows"))
-                            for i, c in enumerate(row_checks)])
+                            for i, c in enumerate(by_row)])
         parts.append(counts.select(F.explode(entries).alias("r")).select("r.*"))
     dup_cache: dict[tuple, DataFrame] = {}
     for c in checks:
@@ -156,13 +174,13 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
                           .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
 
 
-def report(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
-    """Report for every check whose table is in ``tables``."""
+def report(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS, known: dict[tuple, int] | None = None) -> DataFrame:
+    """Report for every check whose table is in ``tables``; ``known`` as in ``run_checks``."""
     parts = []
     for name, df in tables.items():
         cs = [c for c in checks if c.table == name]
         if cs:
-            parts.append(run_checks(df, cs))
+            parts.append(run_checks(df, cs, known))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

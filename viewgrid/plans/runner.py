@@ -32,7 +32,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewgrid.operators import manifest, quality
@@ -82,12 +82,15 @@ def _kept_locations(spark: SparkSession, sources, out: str, start, end, rebuild:
 
 
 def run_models(spark: SparkSession, sources, out: str, select=None, start=None, end=None,
-               full_refresh: bool = False, as_of: dt.date | None = None, changed: bool = False) -> dict[str, str]:
+               full_refresh: bool = False, as_of: dt.date | None = None, changed: bool = False,
+               known: dict[tuple, int] | None = None) -> dict[str, str]:
     """Run the selected models (default: all) in dependency order; return
     model -> run mode ('full', 'batch', 'incremental', 'table').
 
     ``sources`` is a folder of the driver's tables or any binding of the feeds
     (``sources.fixtures.Sources``, ``sources.binding.BoundSources``).
+    ``known`` takes in the failing rows of the row-level checks of every table that the run
+    writes whole, counted during the write; dates replaced or rows upserted tell nothing of the rest of a table.
     """
     if isinstance(sources, str):
         sources = Sources(spark, sources)
@@ -119,9 +122,12 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
         path = f"{out}/{name}"
         strategy = STRATEGY.get(name, "table")
         target = None if full_refresh else _read(spark, path)
+        checks = [] if known is None or (target is not None and strategy != "table") else quality.row_checks(name)
+        seen = Observation()
+        watch = (seen, quality.failing_counts(checks))
         if strategy == "table":
             df = base.ref(name)
-            writers.write_model(df, path, name)
+            writers.write_model(df, path, name, watch=watch)
             modes[name] = "table"
         else:
             feed = FEED[BASE.get(name, name)][0]
@@ -142,7 +148,7 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
             df = writers.described(df, name)
             cluster = (REACH[name][1],) if name in REACH else ("AKKIO_ID",)
             if target is None:
-                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=cluster)
+                writers.write_table(df, path, mode="overwrite", partition_by=("PARTITION_DATE",), cluster_by=cluster, watch=watch)
             elif strategy == "upsert" and window.mode != "changed":
                 writers.upsert(df, path, UPSERT_KEYS, cluster_by=cluster)
             else:
@@ -150,6 +156,9 @@ def run_models(spark: SparkSession, sources, out: str, select=None, start=None,
             if changed:
                 book.record(found[feed])
             modes[name] = window.mode
+        if checks:
+            counts = seen.get
+            known.update({c.key: counts[f"c{i}"] for i, c in enumerate(checks)})
         base.set_model(name, _read(spark, path))
     return modes
 
@@ -173,14 +182,14 @@ def purge_optouts(spark: SparkSession, sources, out: str) -> dict[str, int]:
     return done
 
 
-def test_models(spark: SparkSession, out: str) -> DataFrame:
-    """The declared checks over the tables present in the warehouse."""
+def test_models(spark: SparkSession, out: str, known: dict[tuple, int] | None = None) -> DataFrame:
+    """The declared checks over the tables present in the warehouse; ``known`` as ``run_models`` left it."""
     tables = {}
     for name in MODEL_DEPS:
         df = _read(spark, f"{out.rstrip('/')}/{name}")
         if df is not None:
             tables[name] = df
-    return quality.report(tables)
+    return quality.report(tables, known=known)
 
 
 def main(argv=None) -> int:
@@ -203,18 +212,18 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default="", help="e.g. local[8]; default: as configured by spark-submit")
     a = ap.parse_args(argv)
     spark = get_session(master=a.master)
-    rc = 0
+    rc, known = 0, {}
     sources = BoundSources.from_file(spark, a.sources) if a.sources else Sources(spark, a.sf)
     if a.command == "purge":
         for k, v in purge_optouts(spark, sources, a.out).items():
             print(f"{k}: {v} files rewritten")
     if a.command in ("run", "build"):
         modes = run_models(spark, sources, a.out, [s for s in a.select.split(",") if s] or None, a.start, a.end,
-                           a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None, a.changed)
+                           a.full_refresh, dt.date.fromisoformat(a.as_of) if a.as_of else None, a.changed, known)
         for k, v in modes.items():
             print(f"{k}: {v}")
     if a.command in ("test", "build"):
-        rep = test_models(spark, a.out)
+        rep = test_models(spark, a.out, known)
         rep.orderBy("table_name", "column_name", "check_name").show(100, truncate=False)
         try:
             quality.raise_on_error(rep)

@@ -88,14 +88,19 @@ def with_bloom_filters(w: DataFrameWriter, columns) -> DataFrameWriter:
     return w
 
 
-def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort on ``cluster_by`` (with a hash tiebreaker)."""
+def ranged(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``cluster_by`` (with a hash tiebreaker)."""
     cols = [F.col(c) for c in cluster_by]
     # deterministic tiebreaker over the hashable columns (maps cannot be hashed)
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     tiebreak = F.xxhash64(*[F.col(c) for c in hashable])
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *cols, tiebreak).sortWithinPartitions(*cols)
+    return df.repartitionByRange(n, *cols, tiebreak)
+
+
+def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> DataFrame:
+    """Range-partition + sort on ``cluster_by`` (with a hash tiebreaker)."""
+    return ranged(df, cluster_by, num_partitions).sortWithinPartitions(*cluster_by)
 
 
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
@@ -122,9 +127,12 @@ def table_comment(df: DataFrame) -> str | None:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(), cluster_by=(),
-                dynamic: bool = False, comments: dict[str, str] | None = None) -> None:
+                dynamic: bool = False, comments: dict[str, str] | None = None, watch: tuple[Observation, list] | None = None) -> None:
     """Write ``df`` as Parquet.
 
+    ``watch`` is an observation and the aggregates of the written rows that it is to hold.
+    They are taken behind the last shuffle, in the tasks that write: stages before it may run
+    again (range partitioning samples its input, lost shuffle files are made anew) and would count twice.
     ``dynamic=True`` with ``mode='overwrite'`` replaces only the partitions
     present in ``df`` (idempotent back-fill of a date window).
     """
@@ -134,9 +142,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
         # REBALANCE: AQE sizes the write partitions evenly per date directory
         # and splits a hot date over several tasks/files (no single-task date).
         # The sort stands behind it, so every file is in order inside its dates.
-        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+        df = df.hint("rebalance", *partition_by)
     elif cluster_by:
-        df = clustered(df, cluster_by)
+        df = ranged(df, cluster_by)
+    if watch and watch[1]:
+        df = df.observe(watch[0], *watch[1])
+    if partition_by or cluster_by:
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
     w = with_bloom_filters(df.write.mode(mode), df.columns)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -145,9 +157,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     w.parquet(path)
 
 
-def write_model(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
+def write_model(df: DataFrame, path: str, name: str, mode: str = "overwrite", watch=None) -> None:
     part, clus = MODEL_LAYOUT.get(name, ((), ()))
-    write_table(described(df, name), path, mode=mode, partition_by=part, cluster_by=clus)
+    write_table(described(df, name), path, mode=mode, partition_by=part, cluster_by=clus, watch=watch)
 
 
 def read_table(spark, path: str, like: DataFrame | None = None) -> DataFrame:
