@@ -64,7 +64,7 @@ def test_every_query_has_an_oracle_or_a_reason():
 
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs) and set(QUERIES) <= set(qs)
-    assert set(QUERIES) - set(orc) == {"dmp_lookalike"}
+    assert set(QUERIES) - set(orc) == {"dmp_lookalike", "dmp_lookalike_media"}
 
 
 def test_entry_smoke(spark):

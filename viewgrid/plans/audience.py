@@ -393,43 +393,96 @@ def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
     return low
 
 
-def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, optout: DataFrame | None = None,
-              top_fraction: float = 0.1, quantile_error: float = 0.0) -> DataFrame:
-    """Score every device by similarity to a seed audience; keep the top share.
+MEDIA_MAPS = ("TITLES_WATCHED", "GENRES_WATCHED", "NETWORKS_WATCHED")
+MEDIA_PLACES = 1 << 12  # places of the hashed media features
 
-    ``quantile_error`` is the rank error allowed for the cut-off (0: exact).
-    Devices in ``optout`` are left out of the result.  The joined base is
-    written to the shared folder once, as every stage of the fit reads it, and so
-    are the scores, which every pass for the cut-off reads.
 
-    Spark ML pipeline (one-hot demographics + viewing volume -> logistic
-    regression, label = in seed).  The cut-off is one quantile
-    of the score (``exact_quantile``: a bounded number of counts on the driver);
-    scoring and filtering stay distributed.
+def _marked(c: str) -> Column:
+    """The keys of map column ``c``, each behind the map's name; empty for null."""
+    keys = F.transform(F.map_keys(c), lambda k: F.concat(F.lit(f"{c}="), k))
+    return F.coalesce(keys, F.array().cast("array<string>"))
+
+
+def media_features(media: DataFrame) -> DataFrame:
+    """(AKKIO_ID, media): the distinct titles, genres and networks of each device, marked by their map.
+
+    ``media`` has the maps of ``agg_media``, one row per device and day.  Sets are combined
+    before the shuffle, so a device's days never meet in one task.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+    marked = F.concat(*(_marked(c) for c in MEDIA_MAPS))
+    return media.select("AKKIO_ID", F.explode_outer(marked).alias("f")).groupBy("AKKIO_ID").agg(F.collect_set("f").alias("media"))
+
 
+def lookalike_base(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, media: DataFrame | None = None) -> DataFrame:
+    """A row per device: demographics, viewing volume, media features and the label (1.0: in the seed audience)."""
     viewing = content_summary.groupBy("AKKIO_ID").agg(
         F.sum("TOTAL_VIEWING_SECONDS").cast("double").alias("seconds"), F.count(F.lit(1)).cast("double").alias("days"))
     base = (ind.select("AKKIO_ID", "GENDER", "AGE_BUCKET", "INCOME_BUCKET", "EDUCATION")
             .join(viewing, "AKKIO_ID", "left").na.fill(0.0, ["seconds", "days"])
             .join(seed.select("AKKIO_ID").distinct().withColumn("label", F.lit(1.0)), "AKKIO_ID", "left")
             .na.fill(0.0, ["label"]))
-    path = scratch_path(base.sparkSession, "lookalike-base")
-    base.write.parquet(path)
-    base = base.sparkSession.read.schema(base.schema).parquet(path)
+    if media is None:
+        return base
+    return base.join(media_features(media), "AKKIO_ID", "left").withColumn("media", F.coalesce("media", F.array().cast("array<string>")))
+
+
+def lookalike_pipeline(base: DataFrame):
+    """Spark ML pipeline over ``lookalike_base``: one-hot demographics, viewing volume and, where ``base`` has them, media
+    features hashed to ``MEDIA_PLACES`` sparse places (so the model's size doesn't grow with the titles) -> logistic regression."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, OneHotEncoder, StringIndexer, VectorAssembler
+
     cats = ["GENDER", "EDUCATION"]
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep", stringOrderType="alphabetAsc")
               for c in cats]
     stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in cats] + ["AGE_BUCKET", "INCOME_BUCKET"],
                                 outputCols=[f"{c}_oh" for c in cats] + ["age_oh", "inc_oh"], handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"{c}_oh" for c in cats] + ["age_oh", "inc_oh", "seconds", "days"],
+    hashed = ["media"] if "media" in base.columns else []
+    stages += [HashingTF(inputCol=c, outputCol=f"{c}_hashed", numFeatures=MEDIA_PLACES, binary=True) for c in hashed]
+    stages.append(VectorAssembler(inputCols=[f"{c}_oh" for c in cats] + ["age_oh", "inc_oh", "seconds", "days"] + [f"{c}_hashed" for c in hashed],
                                   outputCol="features"))
-    stages.append(LogisticRegression(maxIter=20, regParam=0.01, standardization=True))
-    model = Pipeline(stages=stages).fit(base)
+    # many sparse features: fitted until the order in which tasks add their sums no longer shows in the scores
+    effort = {"maxIter": 200, "tol": 1e-12} if hashed else {"maxIter": 20}
+    stages.append(LogisticRegression(regParam=0.01, standardization=True, **effort))
+    return Pipeline(stages=stages)
+
+
+def lookalike_model(base: DataFrame):
+    """``lookalike_pipeline`` fitted on ``base``, written to the shared folder and read back.
+
+    A model fresh from its fit holds a training summary and through that the session, which its
+    tasks can't take along once anything has been observed in that session.
+    """
+    from pyspark.ml import PipelineModel
+
+    path = scratch_path(base.sparkSession, "lookalike-model")
+    lookalike_pipeline(base).fit(base).write().save(path)
+    return PipelineModel.load(path)
+
+
+def lookalike(seed: DataFrame, ind: DataFrame, content_summary: DataFrame, optout: DataFrame | None = None,
+              top_fraction: float = 0.1, quantile_error: float = 0.0, media: DataFrame | None = None) -> DataFrame:
+    """Score every device by similarity to a seed audience; keep the top share.
+
+    ``media`` (``agg_media``) adds what each device watched to the features; leave it out
+    where the seed audience is itself defined by what it watched.
+    ``quantile_error`` is the rank error allowed for the cut-off (0: exact).
+    Devices in ``optout`` are left out of the result.  The joined base is
+    written to the shared folder once, as every stage of the fit reads it, and so
+    are the scores, which every pass for the cut-off reads.
+
+    The model is ``lookalike_pipeline`` (label = in seed).  The cut-off is one quantile
+    of the score (``exact_quantile``: a bounded number of counts on the driver);
+    scoring and filtering stay distributed.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    base = lookalike_base(seed, ind, content_summary, media)
+    path = scratch_path(base.sparkSession, "lookalike-base")
+    base.write.parquet(path)
+    base = base.sparkSession.read.schema(base.schema).parquet(path)
+    model = lookalike_model(base)
     scored = model.transform(base).withColumn("score", vector_to_array("probability")[1])
     scored = scored.filter(F.col("label") == 0).select("AKKIO_ID", "score")
     path = scratch_path(base.sparkSession, "lookalike-scores")

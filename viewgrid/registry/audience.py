@@ -221,3 +221,24 @@ def dmp_lookalike(spark, sf):
     p = project(spark, sf)
     seed = AU.segments(p.ref, [r for r in AU.default_rules() if r.segment_id == "sports_fans"])
     return AU.lookalike(seed, p.ref("agg_ind"), p.ref("content_summary"), p.src.optout)
+
+
+@register("dmp_lookalike_media")
+def dmp_lookalike_media(spark, sf):
+    """Expansion of the client's matched customers by demographics, volume and media maps (no SQL oracle).
+
+    ``dmp_lookalike`` goes without the maps: its seeds are defined by a genre, which the maps would only repeat.
+    """
+    p = project(spark, sf)
+    parts = _segments(p)
+    return AU.lookalike(parts.where(F.col("segment_id") == "client_matched"), p.ref("agg_ind"), p.ref("content_summary"), p.src.optout, media=p.ref("agg_media"))
+
+
+@register("dmp_media_features", """
+SELECT AKKIO_ID, count(DISTINCT category_type || '=' || category) AS n_features,
+  coalesce(string_agg(DISTINCT category_type || '=' || category, '|' ORDER BY category_type || '=' || category), '') AS features
+FROM media_entries WHERE category_type IN ('TITLES_WATCHED', 'GENRES_WATCHED', 'NETWORKS_WATCHED') GROUP BY AKKIO_ID""", ("media_entries",))
+def dmp_media_features(spark, sf):
+    """The look-alike model's media features of every device that watched anything in those maps."""
+    x = AU.media_features(project(spark, sf).ref("agg_media")).where(F.size("media") > 0)
+    return x.select("AKKIO_ID", F.size("media").cast("long").alias("n_features"), F.array_join(F.array_sort("media"), "|").alias("features"))
