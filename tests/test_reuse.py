@@ -159,10 +159,13 @@ def test_a_merge_shuffles_the_day_alone(spark):
     state = DeviceState(spark, scratch_path(spark, "state"), "device", ["at"], ["city"], buckets=5)
     state.merge(df)
     day = spark.createDataFrame([("tv1", 9, "new"), ("tv2", 0, "old"), ("tv999", 1, "first"), (None, 9, "nobody"), ("tv1", 8, "x")], df.schema)
-    merged = state.merged(day)
-    above = plan(merged).split("SortMergeJoin")[1]
-    sides = above.split("FileScan")
-    assert "Exchange" not in sides[0] and "Bucketed: true" in above  # the state's side comes first
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for more in (4, 40):  # fewer and more of them than buckets
+        spark.conf.set("spark.sql.shuffle.partitions", more)
+        above = plan(state.merged(day)).split("SortMergeJoin")[1]
+        sides = above.split("FileScan")
+        assert "Exchange" not in sides[0] and "Bucketed: true" in above  # the state's side comes first
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     state.merge(day)
     got = {r.device: (r["at"], r.city) for r in state.read().collect()}
     assert len(got) == 501 and got["tv1"] == (9, "new") and got["tv2"] == (2, "v2") and got["tv999"] == (1, "first")

@@ -83,7 +83,8 @@ class DeviceState:
         if state is None:
             return day.repartition(self.buckets, self.key)
         new, old = (df.select(F.col(self.key).alias(f"{side}_key"), F.struct(*self.kept).alias(side)) for df, side in ((day, "new"), (state, "old")))
-        both = old.join(new, F.col("old_key") == F.col("new_key"), "full")
+        # the rows come to the state's buckets: with more shuffle partitions than buckets Spark would otherwise move both sides
+        both = old.join(new.repartition(self.buckets, "new_key"), F.col("old_key") == F.col("new_key"), "full")
         order = {side: F.struct(*(F.col(side)[c] for c in self.order)) for side in ("old", "new")}
         best = F.when(F.col("old").isNull() | (order["new"] > order["old"]), F.col("new")).otherwise(F.col("old"))
         best = F.when(F.col("new").isNull(), F.col("old")).otherwise(best)
