@@ -1,6 +1,8 @@
 """The pipeline stage by stage against plain versions, and its registration."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from tests.llm import brute
 from viewgrid.llm.tables import staged
 
@@ -36,3 +38,31 @@ def test_run_and_registration(spark):
     assert queries["pipeline"] is corpus_pipeline.run
     assert sorted(int(q[2:].split("_")[0]) for q in queries if q.startswith("op") and q[2].isdigit()) == list(range(1, 14))
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+CLASHING = ["score", "label", "predicted", "hash", "n", "part", "words", "item_id", "component_id", "kept", "tag", "key", "ids", "n_tokens", "pooled", "class", "start", "end", "value", "k"]
+
+
+def through(spark, docs, name):
+    for stage, function in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = staged(function(spark, docs, SF), f"{name}-{stage}")
+        if stage != "bpe":
+            assert docs.columns == columns
+    return docs
+
+
+def test_empty_table(spark):
+    assert through(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), "empty").count() == 0
+
+
+def test_clashing_columns_and_nulls(spark):
+    """Other columns, whatever their names, and rows without text or id change nothing for the rest."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = docs.unionByName(spark.createDataFrame([(10**9, None), (10**9 + 1, ""), (None, None)], "doc_id long, text string"), allowMissingColumns=True)
+    for k, c in enumerate(c for c in CLASHING if c not in docs.columns):
+        odd = odd.withColumn(c, F.lit(k) if k % 2 else F.lit("x"))
+    plain = {r.doc_id: r.ids_sha256 for r in through(spark, docs, "plain").collect()}
+    got = [(r.doc_id, r.ids_sha256) for r in through(spark, odd, "odd").collect()]
+    assert {d: x for d, x in got if d is not None and d < 10**9} == plain
+    assert sorted(d for d, _ in got if d is not None and d >= 10**9) == [10**9, 10**9 + 1]
