@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from viewgrid.session import scratch_path
 
-NAMES = ["std_brand"]
+NAMES = ["std_brand", "std_category"]
 
 
 @pytest.fixture(scope="module")
