@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from viewgrid.session import scratch_path
 
-NAMES = ["std_brand", "std_category"]
+NAMES = ["std_brand", "std_category", "std_title_regex"]
 
 
 @pytest.fixture(scope="module")
