@@ -6,8 +6,10 @@ a mapping table.  Two sizes of mapping table exist:
 * dimension-sized (genre per episode, category per creative, population per
   market): broadcast, but only after proving the row count is below a bound;
   beyond the bound the plain join stays and AQE picks the strategy.
-* device-sized (time zone per device, attributes per device): never hinted.
-  AQE broadcasts it at runtime if it turns out small, otherwise it is a
+* device-sized (time zone per device, attributes per device): where the fact
+  rows are wide (the detail models' time zones), broadcast within tighter
+  bounds, so that the wide rows aren't shuffled; elsewhere, and beyond the bounds, never hinted.
+  AQE then broadcasts it at runtime if it turns out small, otherwise it is a
   sort-merge join whose skewed (hot-device) partitions AQE splits.
 
 Duplicate keys in a mapping table fan fact rows out, as in the reference; use
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 # rows AND this many bytes of payload (measured, not estimated).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+# The same for a map with a row per device.
+DEVICE_BROADCAST_ROWS = 1_000_000
+DEVICE_BROADCAST_BYTES = 32 * 1024 * 1024
 
 _FIXED_WIDTH = {"ByteType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4, "FloatType": 4,
                 "BooleanType": 1}
@@ -60,7 +65,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 def left_enrich(fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str,
                 columns: dict[str, str], small: bool = False,
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """fact LEFT JOIN mapping ON fact_key = map_key, adding ``columns``.
 
     ``columns`` maps mapping-table column -> output name.  ``small`` marks a
@@ -69,5 +74,11 @@ def left_enrich(fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str
     m = mapping.select(F.col(map_key).alias("__k"),
                        *[F.col(src).alias(dst) for src, dst in columns.items()])
     if small:
-        m = bounded_broadcast(m, max_rows)
+        m = bounded_broadcast(m, max_rows, max_bytes)
     return fact.join(m, fact[fact_key] == m["__k"], "left").drop("__k")
+
+
+def with_timezone(fact: DataFrame, tz_map: DataFrame) -> DataFrame:
+    """Wide ``fact`` rows with the TIMEZONE of their device (``hash``); the map is broadcast within the device bounds."""
+    return left_enrich(fact, tz_map, "hash", "hash", {"timezone": "TIMEZONE"}, small=True,
+                       max_rows=DEVICE_BROADCAST_ROWS, max_bytes=DEVICE_BROADCAST_BYTES)

@@ -15,7 +15,7 @@ from viewgrid.functions import decode, text
 from viewgrid.functions.timefn import seconds_between
 from viewgrid.operators.agg import count_entries, count_maps, flat_list, str_list
 from viewgrid.operators.device_state import DeviceState
-from viewgrid.operators.enrich import bounded_broadcast, left_enrich
+from viewgrid.operators.enrich import bounded_broadcast, left_enrich, with_timezone
 from viewgrid.operators.incremental import Window, apply_window
 from viewgrid.operators.topn import first_by, last_by
 
@@ -32,9 +32,9 @@ def content_detail(content: DataFrame, genre_map: DataFrame, tz_map: DataFrame,
 
     Plan: the window, NULL-id/title and duration filters run in the scan stage
     (date filter -> parquet PartitionFilters); the genre map (one row per
-    episode) is a size-checked broadcast; the device time-zone map is left to
-    AQE.  No aggregation, so the only shuffle is the tz join (none if AQE
-    broadcasts it).
+    episode) is a size-checked broadcast, as is the device time-zone map within the
+    device bounds.  No aggregation, so the only shuffle is the tz join of more
+    devices than that (none if AQE broadcasts it).
     """
     secs = seconds_between("ts_start", "ts_end")
     c = apply_window(content, "date_partition", window)
@@ -43,7 +43,7 @@ def content_detail(content: DataFrame, genre_map: DataFrame, tz_map: DataFrame,
          .filter(F.col("__secs") > min_seconds))
     g = genre_map.select(F.col("episode_id").alias("__ep"), F.col("genre").alias("__genre"))
     c = c.join(bounded_broadcast(g), c["episode_id"] == F.col("__ep"), "left")
-    c = left_enrich(c, tz_map, "hash", "hash", {"timezone": "TIMEZONE"})
+    c = with_timezone(c, tz_map)
     return c.select(
         F.col("date_partition").alias("PARTITION_DATE"),
         F.col("date_partition").alias("VIEWED_DATE"),
@@ -99,14 +99,14 @@ def commercial_detail(ads: DataFrame, category_map: DataFrame, tz_map: DataFrame
                       window: Window | None = None, strip_apostrophes: bool = False) -> DataFrame:
     """Ad exposures with positive duration, with prev/next content context.
 
-    Plan: filters in the scan; category map size-checked broadcast; tz map
-    via AQE.  ``ip`` is read by the reference but not emitted.
+    Plan: filters in the scan; category and tz map size-checked
+    broadcasts, so the wide rows are not shuffled.  ``ip`` is read by the reference but not emitted.
     """
     a = apply_window(ads, "date_partition", window)
     a = a.filter(F.col("hash").isNotNull() & (F.col("duration") > 0))
     a = left_enrich(a, category_map, "value", "value",
                     {"commercial_category": "__category"}, small=True)
-    a = left_enrich(a, tz_map, "hash", "hash", {"timezone": "TIMEZONE"})
+    a = with_timezone(a, tz_map)
     return a.select(
         F.col("date_partition").alias("PARTITION_DATE"),
         F.col("date_partition").alias("VIEWED_DATE"),

@@ -103,6 +103,41 @@ def clustered(df: DataFrame, cluster_by, num_partitions: int | None = None) -> D
     return ranged(df, cluster_by, num_partitions).sortWithinPartitions(*cluster_by)
 
 
+#: Input files' bytes for one more bucket of a date in the shuffle before a write by dates, and the most buckets.
+BUCKET_BYTES = 16 << 20
+MAX_BUCKETS = 16
+
+
+def buckets(df: DataFrame) -> int:
+    """Into how many parts the rows of a date are dealt before a write by dates; from the sizes of the files behind ``df``."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        if size >= BUCKET_BYTES * MAX_BUCKETS:
+            break
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))  # the names are URL-encoded
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return min(MAX_BUCKETS, 1 + size // BUCKET_BYTES)
+
+
+def rebalanced(df: DataFrame, partition_by, cluster_by=()) -> DataFrame:
+    """``df`` dealt out by ``partition_by`` for a write in such partitions.
+
+    REBALANCE: AQE sizes the write partitions evenly and splits a hot date over several
+    tasks/files.  It can't split what one task before the shuffle wrote for a partition, so
+    dates of large inputs are dealt in buckets by their ids (rows without: by a hash of the row), over more partitions.
+    """
+    k = buckets(df)
+    if k == 1:
+        return df.hint("rebalance", *partition_by)
+    n = k * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [c for c in (*cluster_by, *BLOOM_COLUMNS) if c in df.columns and c not in partition_by]  # one id's rows compress well together
+    by = by or [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]  # maps cannot be hashed
+    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*by), F.lit(k)))
+    return dealt.hint("rebalance", n, *partition_by, "__bucket").drop("__bucket")
+
+
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     """Attach column comments as schema metadata (persisted in Parquet); names that ``df`` lacks are ignored."""
     for c, text in comments.items():
@@ -139,10 +174,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     if comments:
         df = with_comments(df, comments)
     if partition_by:
-        # REBALANCE: AQE sizes the write partitions evenly per date directory
-        # and splits a hot date over several tasks/files (no single-task date).
-        # The sort stands behind it, so every file is in order inside its dates.
-        df = df.hint("rebalance", *partition_by)
+        # the sort stands behind it, so every file is in order inside its dates
+        df = rebalanced(df, partition_by, cluster_by)
     elif cluster_by:
         df = ranged(df, cluster_by)
     if watch and watch[1]:
