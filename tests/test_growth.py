@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from viewgrid.operators import enrich
 from viewgrid.plans import models
 from viewgrid.session import scratch_path
-from viewgrid.sinks import writers
+from viewgrid.sinks import purge, writers
 
 
 @pytest.fixture
@@ -99,3 +99,21 @@ def test_small_inputs_are_dealt_by_date_alone(spark):
     path = scratch_path(spark, "few-written")
     writers.write_table(rows, path, partition_by=("day",))
     assert len(data_files(path)) == 3
+
+
+def test_a_purge_keeps_files_and_their_order(spark, no_small_tables):
+    path = scratch_path(spark, "in-order")
+    rows = spark.range(1200).selectExpr("if(id % 4 = 3, NULL, id % 4) AS day", "concat('tv', lpad(id div 8 % 50, 2, '0')) AS device", "id")
+    for part in ("device < 'tv25'", "device >= 'tv25'"):
+        rows.where(part).coalesce(1).sortWithinPartitions("day", "device").write.mode("append").partitionBy("day").parquet(path)
+    before = data_files(path)
+    ids = spark.createDataFrame([("tv03",), ("tv40",), (None,)], "hash string")
+    assert purge.purge(spark, path, ids, "device", ("day",)) == len(before) == 8
+    after = data_files(path)
+    assert len(after) <= 8 and not set(after) & set(before)
+    for f in after:
+        devices = [r.device for r in spark.read.parquet(f).collect()]
+        assert devices == sorted(devices)
+    got = sorted((str(r.day), r.device, r.id) for r in spark.read.parquet(path).collect())
+    assert got == sorted((str(r.day), r.device, r.id) for r in rows.where("device NOT IN ('tv03', 'tv40')").collect())
+    assert not os.path.exists(f"{path.removeprefix('file:')}/_purge")

@@ -2,8 +2,8 @@
 
 An opt-out concerns few devices and few files.  The files that hold one of them are found by
 a scan of the id column alone; the rows of these files that stay are written beside the
-table, then the old files go and the new ones take their places.  All other files keep
-their names and times.
+table, partition by partition and without a shuffle, then the old files go and the new ones
+take their places.  All other files keep their names and times.
 
 The list of old files is written last and is the commit: a purge that stops before it has
 changed nothing and starts over, one that stops after it is finished by the next
@@ -12,10 +12,17 @@ call.  Readers may miss rows of the rewritten files while files are being exchan
 
 from __future__ import annotations
 
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewgrid.operators.enrich import bounded_broadcast
+
 WORK = "_purge"  # readers skip folders with an underscore
+FILE_BYTES = 128 << 20  # of old files for one task
+THREADS = 4  # partitions rewritten at a time
 
 
 class _Files:
@@ -34,6 +41,9 @@ class _Files:
     def drop(self, path: str) -> None:
         self.fs.delete(self.at(path), True)
 
+    def length(self, path: str) -> int:
+        return self.fs.getFileStatus(self.at(path)).getLen()
+
     def data_files(self, root: str) -> list[str]:
         """Relative paths of the Parquet files under ``root``."""
         top, out = self.fs.makeQualified(self.at(root)).toString(), []
@@ -65,18 +75,29 @@ def purge(spark: SparkSession, path: str, ids: DataFrame, id_col: str, partition
     """Remove the rows of the table at ``path`` whose ``id_col`` is in the only column of ``ids``; the number of files rewritten."""
     path = path.rstrip("/")
     finish(spark, path)
-    gone = ids.select(F.col(ids.columns[0]).alias("__gone")).distinct()
+    files, work = _Files(spark, path), f"{path}/{WORK}"
+    ids.select(F.col(ids.columns[0]).alias("__gone")).distinct().write.parquet(f"{work}/ids")  # every partition reads them
+    gone = bounded_broadcast(spark.read.parquet(f"{work}/ids"))  # few: the table's rows aren't shuffled for them
     rows = spark.read.parquet(path).select(F.col(id_col).alias("__id"), F.col("_metadata.file_path").alias("file"))
     hit = rows.join(gone, F.col("__id") == F.col("__gone"), "left_semi").select("file").distinct()
     old = [r.file for r in hit.collect()]  # names of files, at most those of the table
     if not old:
+        files.drop(work)
         return 0
-    kept = spark.read.option("basePath", path).parquet(*old)
-    kept = kept.join(gone, kept[id_col] == gone["__gone"], "left_anti")
-    if partition_by:
-        kept = kept.hint("rebalance", *partition_by)
-    w = kept.write
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{WORK}/rows")
-    spark.createDataFrame([(f,) for f in old], "value string").coalesce(1).write.text(f"{path}/{WORK}/old")
+    folders = defaultdict(list)  # of one partition each, relative to the table
+    for f in old:
+        folders["/".join(f.split("/")[-1 - len(partition_by):-1]) if partition_by else ""].append(f)
+
+    def rewrite(folder: str) -> None:
+        """Files are read and written by the same tasks: they keep their order, and no more files come than there were or tasks need."""
+        some = folders[folder]
+        kept = spark.read.option("basePath", path).parquet(*some)
+        kept = kept.join(gone, kept[id_col] == gone["__gone"], "left_anti").drop(*partition_by)
+        tasks = sum(-(-files.length(f) // FILE_BYTES) for f in some)
+        kept.coalesce(tasks).write.parquet(f"{work}/rows/{folder}")
+
+    with ThreadPoolExecutor(max_workers=THREADS) as pool:
+        list(pool.map(rewrite, folders))
+    spark.createDataFrame([(f,) for f in old], "value string").coalesce(1).write.text(f"{work}/old")
     finish(spark, path)
     return len(old)
