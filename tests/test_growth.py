@@ -72,6 +72,17 @@ def test_content_takes_the_same_step(spark, no_small_tables):
     assert joins(models.content_detail(feed, genres, ads(spark)[2])) == (0, 2)
 
 
+def test_checked_tables_take_the_same_step(spark, no_small_tables, tmp_path):
+    """What dq_expression writes before its checks: the feed's own join of events and parts is the only shuffled one."""
+    from viewgrid.registry.base import project
+
+    spark.range(40).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type",
+                               "1.5D AS value").write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(9).selectExpr("id AS p_partkey", "concat('n', id) AS p_name", "'b' AS p_brand", "'t' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    df = project(spark, str(tmp_path)).ref("commercial_detail")
+    assert joins(df) == (1, 2) and df.count() > 0
+
+
 @pytest.mark.parametrize("cluster", [(), ("AKKIO_ID",)])
 def test_dates_of_large_inputs_are_dealt_over_many_tasks(spark, monkeypatch, cluster):
     rows = one_file(spark, spark.range(900).selectExpr(
