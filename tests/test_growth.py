@@ -62,6 +62,30 @@ def test_wide_ads_are_not_shuffled_for_time_zones(spark, no_small_tables, monkey
     assert df.where("TIMEZONE IS NULL").count() > 0 == df.where("TIMEZONE = 'D'").count()
 
 
+def test_joins_with_maps_beyond_their_bounds_are_dealt_over_many_tasks(spark, no_small_tables, monkeypatch):
+    """Where a map is too large for a broadcast, wide rows go to more tasks than Spark's own number if the input is large."""
+    monkeypatch.setattr(enrich, "bounded_broadcast", lambda df, *bounds: df)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, categories, zones = ads(spark)
+    rows = rows.withColumn("value", F.expr("CASE WHEN title = 'title 0' THEN NULL WHEN title = 'title 1' THEN 'CR1' ELSE value END"))
+    feed = one_file(spark, rows.unionAll(rows.limit(5)), "ads-twice"), categories.unionAll(categories), zones  # maps with repeated keys
+    places = lambda df, where="true": df.where(where).select(F.spark_partition_id()).distinct().count()
+    plain = models.commercial_detail(*feed)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        monkeypatch.setattr(enrich, "JOIN_BYTES", 100, raising=False)
+        dealt = models.commercial_detail(*feed)
+        assert joins(dealt) == (2, 0)
+        assert dealt.exceptAll(plain).count() == 0 and plain.exceptAll(dealt).count() == 0 and dealt.count() == plain.count() > 60
+        once = enrich.left_enrich(feed[0], categories, "value", "value", {"commercial_category": "c"}, small=True, spread_by=("hash",))
+        assert places(once) > own
+        assert places(once, "value IS NULL") > 1 and places(once, "value = 'CR1'") > 1  # no key is one task's alone
+        assert "__place" not in once.columns and "__at" not in once.columns
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
 def test_content_takes_the_same_step(spark, no_small_tables):
     feed = one_file(spark, spark.range(30).selectExpr(
         "DATE'2024-01-01' AS date_partition", "concat('tv', id % 7) AS hash", "timestamp_ntz'2024-01-01 00:00:00' AS ts_start",

@@ -100,12 +100,13 @@ def commercial_detail(ads: DataFrame, category_map: DataFrame, tz_map: DataFrame
     """Ad exposures with positive duration, with prev/next content context.
 
     Plan: filters in the scan; category and tz map size-checked
-    broadcasts, so the wide rows are not shuffled.  ``ip`` is read by the reference but not emitted.
+    broadcasts, so the wide rows are not shuffled; for a map beyond its bounds they are
+    dealt over tasks in number with the input.  ``ip`` is read by the reference but not emitted.
     """
     a = apply_window(ads, "date_partition", window)
     a = a.filter(F.col("hash").isNotNull() & (F.col("duration") > 0))
     a = left_enrich(a, category_map, "value", "value",
-                    {"commercial_category": "__category"}, small=True)
+                    {"commercial_category": "__category"}, small=True, spread_by=("hash",))
     a = with_timezone(a, tz_map)
     return a.select(
         F.col("date_partition").alias("PARTITION_DATE"),

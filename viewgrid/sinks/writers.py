@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from viewgrid.operators.enrich import bounded_broadcast
+from viewgrid.operators.sizes import input_bytes
 from viewgrid.session import scratch_path
 
 # model -> (partition columns, cluster columns), from the models' configs
@@ -110,15 +111,7 @@ MAX_BUCKETS = 16
 
 def buckets(df: DataFrame) -> int:
     """Into how many parts the rows of a date are dealt before a write by dates; from the sizes of the files behind ``df``."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in df.inputFiles():
-        if size >= BUCKET_BYTES * MAX_BUCKETS:
-            break
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))  # the names are URL-encoded
-        size += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return min(MAX_BUCKETS, 1 + size // BUCKET_BYTES)
+    return min(MAX_BUCKETS, 1 + input_bytes(df, BUCKET_BYTES * MAX_BUCKETS) // BUCKET_BYTES)
 
 
 def rebalanced(df: DataFrame, partition_by, cluster_by=()) -> DataFrame:
